@@ -9,6 +9,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values -----------------------------------------------------------
 ZERO_WIDTH = "\ufeff\u200b\u200e\u200f"
@@ -48,12 +49,12 @@ _SPECIAL = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_and_compose(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", html.unescape(t)), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 

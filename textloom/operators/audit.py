@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
-from textloom.sizing import HOT_ROWS, PER_CLASS_TABLE, skew_safe_lookup
+from textloom.sizing import HOT_ROWS, per_class_table, skew_safe_lookup
 
 
 def digest(column: str):
@@ -103,7 +103,7 @@ def class_distribution(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> Dat
 
 def with_share(counts: DataFrame, n: str, share: str) -> DataFrame:
     """Adds ``n / total`` to a table with one row per class."""
-    return counts.withColumn(share, F.col(n) / F.sum(n).over(PER_CLASS_TABLE))
+    return counts.withColumn(share, F.col(n) / F.sum(n).over(per_class_table()))
 
 
 def split_overlap(df: DataFrame, split: str = "split", columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -128,7 +128,7 @@ def split_distribution(df: DataFrame, split: str = "split", columns: Columns = D
     )
 
     def pct(n: str):
-        return F.round(F.try_divide(F.col(n) * 100, F.sum(n).over(PER_CLASS_TABLE)), 4)
+        return F.round(F.try_divide(F.col(n) * 100, F.sum(n).over(per_class_table())), 4)
 
     return counts.select(
         "label", "total", "train", "test", pct("train").alias("train_pct"), pct("test").alias("test_pct")

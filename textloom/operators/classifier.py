@@ -192,8 +192,8 @@ def class_counts(train: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> list[t
 
 def class_weights(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Balanced class weights ``n / (K * n_c)``, one row per label."""
-    from textloom.sizing import PER_CLASS_TABLE
+    from textloom.sizing import per_class_table
 
     counts = df.groupBy(F.col(columns.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total, classes = F.sum("n").over(PER_CLASS_TABLE), F.count(F.lit(1)).over(PER_CLASS_TABLE)
+    total, classes = F.sum("n").over(per_class_table()), F.count(F.lit(1)).over(per_class_table())
     return counts.select("label", "n", (total / (classes * F.col("n"))).alias("weight"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
-from textloom.sizing import PER_CLASS_TABLE
+from textloom.sizing import per_class_table
 
 
 def confusion_counts(predictions: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -154,7 +154,7 @@ def confidence_strata(predictions: DataFrame, columns: Columns = DEFAULT_COLUMNS
     }
     counted = errors_only(predictions, columns).agg(*[F.count_if(c).alias(s) for s, c in strata.items()])
     rows = counted.select(F.inline(F.array(*[F.struct(F.lit(s).alias("stratum"), F.col(s).alias("n")) for s in strata])))
-    return rows.withColumn("pct", F.round(F.try_divide(F.col("n") * 100, F.sum("n").over(PER_CLASS_TABLE)), 2))
+    return rows.withColumn("pct", F.round(F.try_divide(F.col("n") * 100, F.sum("n").over(per_class_table())), 2))
 
 
 def error_analysis(

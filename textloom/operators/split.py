@@ -20,7 +20,7 @@ from textloom.operators.audit import digest
 from textloom.sizing import (
     HOT_ROWS,
     MAX_CLASSES,
-    PER_CLASS_TABLE,
+    per_class_table,
     bounded_broadcast,
     bounded_collect,
     skew_safe_lookup,
@@ -40,13 +40,13 @@ def split_quota(df: DataFrame, test_size: float = 0.2, columns: Columns = DEFAUL
     """Test rows per label: ``ceil(test_size * N)`` rows shared out by largest remainder."""
     counts = df.groupBy(F.col(columns.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     shares = (
-        counts.withColumn("_total", F.sum("n").over(PER_CLASS_TABLE))
+        counts.withColumn("_total", F.sum("n").over(per_class_table()))
         .withColumn("_draws", F.ceil(F.col("_total") * F.lit(test_size)).cast("long"))
         .withColumn("_base", F.floor(F.col("_draws") * F.col("n") / F.col("_total")).cast("long"))
         .withColumn("_remainder", F.col("_draws") * F.col("n") - F.col("_base") * F.col("_total"))
     )
-    by_remainder = PER_CLASS_TABLE.orderBy(F.desc("_remainder"), F.asc("label"))
-    left_over = F.col("_draws") - F.sum("_base").over(PER_CLASS_TABLE)
+    by_remainder = per_class_table().orderBy(F.desc("_remainder"), F.asc("label"))
+    left_over = F.col("_draws") - F.sum("_base").over(per_class_table())
     extra = (F.row_number().over(by_remainder) <= left_over).cast("long")
     return shares.select("label", "n", (F.col("_base") + extra).alias("n_test")).select(
         "label", "n", (F.col("n") - F.col("n_test")).alias("n_train"), "n_test"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.columns import DEFAULT_COLUMNS, Columns, text_column
 from textloom.functions.profile import word_count
 from textloom.operators.split import order_key
-from textloom.sizing import PER_CLASS_TABLE
+from textloom.sizing import per_class_table
 
 
 def corpus_statistics(df: DataFrame, split: str = "split", columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -18,15 +18,15 @@ def corpus_statistics(df: DataFrame, split: str = "split", columns: Columns = DE
         F.count_if(F.col(split) == "train").alias("_train"),
         F.count_if(F.col(split) == "test").alias("_test"),
     )
-    total = F.sum("n").over(PER_CLASS_TABLE)
+    total = F.sum("n").over(per_class_table())
     return counts.select(
         "label",
         "n",
         F.round(F.col("n") / total * 100, 2).alias("pct"),
         total.alias("total_records"),
-        F.count("label").over(PER_CLASS_TABLE).alias("total_categories"),
-        F.sum("_train").over(PER_CLASS_TABLE).alias("train_records"),
-        F.sum("_test").over(PER_CLASS_TABLE).alias("test_records"),
+        F.count("label").over(per_class_table()).alias("total_categories"),
+        F.sum("_train").over(per_class_table()).alias("train_records"),
+        F.sum("_test").over(per_class_table()).alias("test_records"),
     )
 
 
@@ -53,7 +53,7 @@ def category_profile(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataF
     return counts.select(
         "label",
         "record_count",
-        F.round(F.col("record_count") / F.sum("record_count").over(PER_CLASS_TABLE) * 100, 2).alias("percentage"),
+        F.round(F.col("record_count") / F.sum("record_count").over(per_class_table()) * 100, 2).alias("percentage"),
         F.round(F.col("_words") / F.col("record_count"), 1).alias("avg_words"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # A class list, or anything with one row per class.
@@ -14,8 +14,10 @@ HOT_ROWS = 1_000_000
 # N rows hold at most N / HOT_ROWS hot keys; the join fails loudly beyond this.
 MAX_HOT_KEYS = 1_000_000
 
-# Totals over a table that has one row per class. Never for a table that grows with the data.
-PER_CLASS_TABLE = Window.partitionBy(F.lit(0))
+
+def per_class_table() -> WindowSpec:
+    """A window for totals over a table that has one row per class, never one that grows with the data."""
+    return Window.partitionBy(F.lit(0))
 
 
 def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:

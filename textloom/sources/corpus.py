@@ -12,7 +12,7 @@ from textloom.columns import CORPUS_SCHEMA, DEFAULT_COLUMNS, PREPARED_COLUMNS, C
 
 SPLITS = ("train", "test")
 # Excel-style UTF-8: the mark before the first header name.
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEMA) -> DataFrame:
