@@ -16,9 +16,10 @@ BROWSER = r"\x{09}-\x{0d}\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 
 
 def _decode(x: str) -> str:
-    """The character references that occur in the tables; the ampersand comes last."""
-    for name, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
-        x = f"replace({x}, '{name}', '{char}')"
+    """The character references that occur in the tables; their semicolon may be
+    missing, as HTML allows for these names. The ampersand comes last."""
+    for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
     return x
 
 

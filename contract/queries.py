@@ -33,26 +33,28 @@ ROLES = ["user", "assistant", "system"]
 # Inputs -----------------------------------------------------------------
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread`` is for queries that work through the texts."""
     names = {"ID": "doc_id", "Text": "text", "Label": "lang", "Original_Label": "source"}
-    return corpus.read_parquet(spark, f"{sf_dir}/documents.parquet", names)
+    return corpus.read_parquet(spark, f"{sf_dir}/documents.parquet", names, "ID" if spread else None)
 
 
 def _turn_id(conversations: DataFrame) -> DataFrame:
     return conversations.withColumn("ID", F.col("conv_id") * 1_000_000 + F.col("turn"))
 
 
-def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _turn_id(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return table.select("ID", F.col("text").alias("Text"), F.col("role").alias("Label"), "conv_id", "turn")
+def conversations(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    names = {"Text": "text", "Label": "role", "conv_id": "conv_id", "turn": "turn"}
+    table = _turn_id(corpus.read_parquet(spark, f"{sf_dir}/conversations.parquet", names))
+    return corpus.spread(table, "ID") if spread else table
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare(documents(spark, sf_dir))
+    return prepare.prepare(documents(spark, sf_dir, spread=True))
 
 
 def prepared_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare(conversations(spark, sf_dir))
+    return prepare.prepare(conversations(spark, sf_dir, spread=True))
 
 
 @lru_cache(maxsize=16)
@@ -70,11 +72,11 @@ def _side(fitted: split.StratifiedSplit, rows: DataFrame, side: str) -> DataFram
 
 
 def document_side(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
-    return _side(_document_split(spark, sf_dir), documents(spark, sf_dir), side)
+    return _side(_document_split(spark, sf_dir), documents(spark, sf_dir, spread=True), side)
 
 
 def turn_side(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
-    return _side(_turn_split(spark, sf_dir), conversations(spark, sf_dir), side)
+    return _side(_turn_split(spark, sf_dir), conversations(spark, sf_dir, spread=True), side)
 
 
 # Fitted stages ----------------------------------------------------------
@@ -126,14 +128,17 @@ def q_clean_text(spark, sf_dir):
     return prepared(spark, sf_dir).select("ID", "Cleaned_Text")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {"page_id": "page_id", "html": "html"}
+    return corpus.read_parquet(spark, f"{sf_dir}/pages.parquet", names, spread_by="page_id")
+
+
 def q_clean_pages(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select("page_id", clean_text(F.col("html")).alias("cleaned_html"))
+    return pages(spark, sf_dir).select("page_id", clean_text(F.col("html")).alias("cleaned_html"))
 
 
 def q_html_unescape(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select("page_id", unescape_html(F.col("html")).alias("decoded"))
+    return pages(spark, sf_dir).select("page_id", unescape_html(F.col("html")).alias("decoded"))
 
 
 def q_clean_keep_case(spark, sf_dir):
@@ -165,7 +170,7 @@ def q_ngram_counts(spark, sf_dir):
 
 
 def q_text_profile(spark, sf_dir):
-    rows = prepare.with_profile(documents(spark, sf_dir), F.col("Text"))
+    rows = prepare.with_profile(documents(spark, sf_dir, spread=True), F.col("Text"))
     return rows.select("ID", "words", "chars", "devanagari_pct", "latin_pct", "digits")
 
 
@@ -179,7 +184,7 @@ def q_validate_rows(spark, sf_dir):
 
 
 def q_word_count(spark, sf_dir):
-    return documents(spark, sf_dir).select("ID", profile.word_count(F.col("Text")).alias("n_words"))
+    return documents(spark, sf_dir, spread=True).select("ID", profile.word_count(F.col("Text")).alias("n_words"))
 
 
 # Audits and statistics --------------------------------------------------
@@ -229,7 +234,7 @@ def q_corpus_stats(spark, sf_dir):
 
 
 def q_category_profile(spark, sf_dir):
-    return stats.category_profile(documents(spark, sf_dir))
+    return stats.category_profile(documents(spark, sf_dir, spread=True))
 
 
 def q_category_samples(spark, sf_dir):
@@ -481,12 +486,12 @@ def _with_blanks(rows: DataFrame) -> DataFrame:
 
 
 def q_batch_errors(spark, sf_dir):
-    rows = _with_blanks(conversations(spark, sf_dir))
+    rows = _with_blanks(conversations(spark, sf_dir, spread=True))
     return _scored(scoring.score_batch(turn_bayes(spark, sf_dir), rows))
 
 
 def q_predict_and_explain(spark, sf_dir):
-    record = scoring.score_and_explain(turn_bayes(spark, sf_dir), conversations(spark, sf_dir))
+    record = scoring.score_and_explain(turn_bayes(spark, sf_dir), conversations(spark, sf_dir, spread=True))
     return record.select(
         "ID",
         "predicted_label",
@@ -505,7 +510,7 @@ def q_score_unseen(spark, sf_dir):
 
 
 def q_prediction_export(spark, sf_dir):
-    scored = scoring.score_batch(turn_bayes(spark, sf_dir), conversations(spark, sf_dir))
+    scored = scoring.score_batch(turn_bayes(spark, sf_dir), conversations(spark, sf_dir, spread=True))
     report = export.prediction_report(scored, at=F.timestamp_seconds(F.col("ID")))
     path = new_path(spark, "report-csv")
     export.write_prediction_report(report, path)
@@ -590,7 +595,7 @@ def q_full_evaluation(spark, sf_dir):
 
 
 def q_lr_explain(spark, sf_dir):
-    return scoring.explain_only(turn_logistic(spark, sf_dir, True), conversations(spark, sf_dir))
+    return scoring.explain_only(turn_logistic(spark, sf_dir, True), conversations(spark, sf_dir, spread=True))
 
 
 def q_lr_top_features(spark, sf_dir):

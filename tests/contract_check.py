@@ -60,10 +60,11 @@ def compare(spark, con, name, query, sql, sf_dir) -> str:
     wanted = cursor.fetchall()
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
-    kinds = {c: k.__name__ for r in wanted[:1] for c, k in zip(columns, map(type, r))}
-    mine = {c: k.__name__ for r in got[:1] for c, k in zip(df.columns, map(type, r))}
-    if {c for c in kinds if kinds[c] != mine.get(c) and "NoneType" not in (kinds[c], mine.get(c))}:
-        return f"types {mine} against {kinds}"
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    theirs = dict(zip(columns, (str(d[1]) for d in cursor.description)))
+    differ = {c: (t, theirs[c]) for c, t in df.dtypes if types.get(t) != theirs[c]}
+    if differ:
+        return f"types {differ}"
     a, b = rows_of(df.columns, got), rows_of(columns, wanted)
     if a == b:
         return ""

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textloom.functions.text import EDGE_BLANKS, clean_text, strip
+from textloom.functions.text import clean_text, strip
 
 # Fixed values -----------------------------------------------------------
 DEVANAGARI = "\\u0900-\\u097F"
 LATIN = "A-Za-z"
 DIGITS = "0-9\\u0966-\\u096F"
 ASTRAL = "\\x{10000}-\\x{10FFFF}"
-# What a browser trims and splits at.
-BROWSER_BLANKS = "\\t-\\r \\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff"
+# Blanks of str.split(), and of a browser. \p{Z} holds all Unicode space separators.
+BLANKS = "\\t-\\r\\x1c-\\x1f\\x85\\p{Z}"
+BROWSER_BLANKS = "\\t-\\r\\ufeff\\p{Z}"
 # ------------------------------------------------------------------------
 
 INPUT_IS_NULL = "input is null"
@@ -27,36 +28,36 @@ def count_of(text: Column, character_class: str) -> Column:
 
 
 def _count_words(text: Column, blanks: str) -> Column:
-    """Runs of non-blanks. Each one is cut down to a single mark, then the marks are counted."""
-    return F.length(F.regexp_replace(F.regexp_replace(text, f"[^{blanks}]+", "w"), f"[{blanks}]+", "")).cast("long")
+    """Runs of non-blanks: each run and the blanks after it become one mark, the marks are counted."""
+    led = F.regexp_replace(text, f"^[{blanks}]+", "")
+    return F.length(F.regexp_replace(led, f"[^{blanks}]+[{blanks}]*", "w")).cast("long")
 
 
 def word_count(text: Column) -> Column:
     """Number of blank-separated words, blanks as in ``str.split()``."""
-    return _count_words(text, EDGE_BLANKS)
+    return _count_words(text, BLANKS)
 
 
 def _half_up(x: Column) -> Column:
     return F.floor(x + 0.5).cast("long")
 
 
-def text_profile(text: Column) -> dict[str, Column]:
-    """Words, UTF-16 length, Devanagari and Latin share in percent, digits."""
-    devanagari, latin = count_of(text, DEVANAGARI), count_of(text, LATIN)
-    letters = F.nullif(devanagari + latin, F.lit(0))
-
-    def share(part: Column) -> Column:
-        return F.coalesce(_half_up(part / letters * 100), F.lit(0).cast("long"))
-
+def text_counts(text: Column) -> dict[str, Column]:
+    """Words, UTF-16 length, Devanagari and Latin letters, digits."""
     return {
         "words": _count_words(text, BROWSER_BLANKS),
         "chars": F.length(text).cast("long") + count_of(text, ASTRAL),
-        "devanagari_pct": share(devanagari),
-        "latin_pct": share(latin),
+        "devanagari": count_of(text, DEVANAGARI),
+        "latin": count_of(text, LATIN),
         "digits": count_of(text, DIGITS),
     }
 
 
+def letter_share(part: Column, other: Column) -> Column:
+    """``part`` in percent of both letter counts, rounded half up; 0 without letters."""
+    return F.coalesce(_half_up(F.try_divide(part, part + other) * 100), F.lit(0).cast("long"))
+
+
 def has_devanagari(text: Column) -> Column:
     return text.rlike(f"[{DEVANAGARI}]")
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.functions.profile import percentage
+from textloom.functions.text import let
 from textloom.operators.tfidf import TfidfConfig, by_document, lookup_terms, term_rows
-from textloom.sizing import MAX_CLASSES, bounded_collect
+from textloom.sizing import MAX_CLASSES, bounded_collect, per_class_table
 
 DISCLAIMER = (
     "Terms with the highest TF-IDF contributions to the predicted class in this text; "
@@ -25,6 +26,16 @@ DISCLAIMER = (
 )
 
 
+def _softmax(margins: Column) -> Column:
+    def shifted(m: Column) -> Column:
+        return let(F.array_max(m), lambda top: F.transform(m, lambda z: F.exp(z - top)))
+
+    def scaled(e: Column) -> Column:
+        return let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total))
+
+    return let(margins, lambda m: let(shifted(m), scaled))
+
+
 @dataclass(frozen=True)
 class TextClassifier:
     """``terms`` has one row per term: ``term, df, idf, weights``, the weights in the order of ``labels``."""
@@ -59,9 +70,7 @@ class TextClassifier:
         ]
         scored = sums.withColumn("margins", F.array(*margins)).drop("_squares", *[f"_s{i}" for i in range(len(self.labels))])
         if self.has_probability:
-            scored = scored.withColumn("_exp", F.transform("margins", lambda z: F.exp(z - F.array_max("margins"))))
-            total = F.aggregate("_exp", F.lit(0.0), lambda a, x: a + x)
-            scored = scored.withColumn("_score", F.transform("_exp", lambda e: e / total)).drop("_exp")
+            scored = scored.withColumn("_score", _softmax(F.col("margins")))
         else:
             scored = scored.withColumn("_score", F.col("margins"))
         entries = [
@@ -114,11 +123,12 @@ class TextClassifier:
             .agg(*self._sums(), F.collect_list(known).alias("_terms"))
             .withColumn("_length", F.sqrt("_squares"))
         )
-        ranked = self._with_ranking(sums).withColumn("_at", F.get("_ranked", F.lit(0))["at"])
+        ranked = self._with_ranking(sums)
+        document = F.struct(F.col("_length").alias("length"), F.get("_ranked", F.lit(0))["at"].alias("at"))
 
-        def entry(t: Column) -> Column:
-            tfidf = t["raw"] / F.col("_length")
-            weight = F.get(t["weights"], F.col("_at"))
+        def entry(t: Column, of: Column) -> Column:
+            tfidf = t["raw"] / of["length"]
+            weight = F.get(t["weights"], of["at"])
             contribution = tfidf * weight
             return F.struct(
                 (-F.round(contribution, 4)).alias("down"),
@@ -133,7 +143,9 @@ class TextClassifier:
             fields = ("term", "contribution", "tfidf", "coefficient", "is_positive")
             return F.struct(*[e[f].alias(f) for f in fields])
 
-        ordered = F.transform(F.sort_array(F.transform("_terms", entry)), shown)
+        # Bound once per document; a lambda would evaluate the ranking again for every term.
+        contributions = let(document, lambda of: F.transform("_terms", lambda t: entry(t, of)))
+        ordered = F.transform(F.sort_array(contributions), shown)
         positive = F.filter("all_present_features", lambda e: e["contribution"] > 0)
         return (
             self._finish(ranked.withColumn("all_present_features", ordered), keep, "all_present_features")
@@ -167,8 +179,6 @@ class TextClassifier:
 
     def top_terms(self, top_n: int = 20) -> DataFrame:
         """The ``top_n`` terms with the highest weight per class: ``Class, Rank, Feature, Coefficient``."""
-        from pyspark.sql import Window
-
         pairs = F.array(
             *[F.struct(F.lit(label).alias("Class"), F.get("weights", F.lit(i)).alias("w")) for i, label in enumerate(self.labels)]
         )
@@ -192,8 +202,6 @@ def class_counts(train: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> list[t
 
 def class_weights(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Balanced class weights ``n / (K * n_c)``, one row per label."""
-    from textloom.sizing import per_class_table
-
     counts = df.groupBy(F.col(columns.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     total, classes = F.sum("n").over(per_class_table()), F.count(F.lit(1)).over(per_class_table())
     return counts.select("label", "n", (total / (classes * F.col("n"))).alias("weight"))

@@ -32,7 +32,18 @@ def empty_after_cleaning(prepared: DataFrame, columns: Columns = DEFAULT_COLUMNS
 
 
 def with_profile(df: DataFrame, text: Column) -> DataFrame:
-    return df.select("*", *[c.alias(name) for name, c in profile.text_profile(text).items()])
+    """Adds ``words, chars, devanagari_pct, latin_pct, digits``; the letter counts are made once."""
+    devanagari, latin = F.col("devanagari"), F.col("latin")
+    return (
+        df.withColumns(profile.text_counts(text))
+        .withColumns(
+            {
+                "devanagari_pct": profile.letter_share(devanagari, latin),
+                "latin_pct": profile.letter_share(latin, devanagari),
+            }
+        )
+        .drop("devanagari", "latin")
+    )
 
 
 def script_flags(prepared: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:

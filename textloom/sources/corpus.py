@@ -31,9 +31,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEM
     )
 
 
-def read_parquet(spark: SparkSession, path: str, mapping: dict[str, str]) -> DataFrame:
-    """A Parquet table under corpus names; ``mapping`` goes from corpus name to stored name."""
-    return spark.read.parquet(path).select(*[F.col(stored).alias(name) for name, stored in mapping.items()])
+def read_parquet(spark: SparkSession, path: str, mapping: dict[str, str], spread_by: str | None = None) -> DataFrame:
+    """A Parquet table under corpus names; ``mapping`` goes from corpus name to stored name.
+
+    With ``spread_by`` a file of a few large row groups is handed to all cores.
+    A table that already has a partition per core is read as it lies.
+    """
+    table = spark.read.parquet(path).select(*[F.col(stored).alias(name) for name, stored in mapping.items()])
+    return table if spread_by is None else spread(table, spread_by)
+
+
+def spread(scan: DataFrame, by: str) -> DataFrame:
+    """Text work costs far more than moving the text, so a scan with fewer
+    partitions than cores is spread by hash first. Large scans are left alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(2 * cores, by)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
