@@ -143,7 +143,7 @@ def fit_svm(data: TrainingSet, balanced: bool = False, c: float = 1.0, max_iter:
         return svm.fit(rows)
 
     with ThreadPool(min(len(data.labels), 8)) as pool:
-        models = pool.map(inheritable_thread_target(fit_one), data.labels)
+        models = pool.map(inheritable_thread_target(data.vectors.sparkSession)(fit_one), data.labels)
     return data.classifier(
         SVM_BALANCED if balanced else SVM,
         np.vstack([m.coefficients.toArray() for m in models]),
