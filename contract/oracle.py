@@ -288,6 +288,7 @@ FROM sides d LEFT JOIN feat f ON f."ID" = d."ID" LEFT JOIN positions USING (term
     + """SELECT n::BIGINT AS n_docs, v AS n_terms, nz AS n_nonzero, round(100 * (1 - nz / (n * v)), 6) AS sparsity_pct
 FROM nd, (SELECT count(*) AS v FROM vocab), (SELECT count(*) AS nz FROM feat WHERE split = 'train')""",
     # Naive Bayes
+    "label_encoding": """SELECT doc_id AS "ID", lang AS "Label", (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS label_index FROM documents""",
     "class_weights": _with(DOCUMENTS, PREPARED, SPLIT)
     + """SELECT "Label" AS label, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
 FROM sides WHERE split = 'train' GROUP BY 1""",

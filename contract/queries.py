@@ -17,7 +17,7 @@ from textloom.columns import Columns
 from textloom.functions import profile
 from textloom.functions.text import clean_text, ngrams, tokens, unescape_html
 from textloom.operators import audit, metrics, prepare, split, stats, tfidf
-from textloom.operators.classifier import TextClassifier, class_weights
+from textloom.operators.classifier import TextClassifier, class_weights, with_label_index
 from textloom.operators.linear import TrainingSet, fit_logistic, fit_svm
 from textloom.operators.naive_bayes import fit_naive_bayes
 from textloom.plans import evaluation, scoring, training
@@ -359,6 +359,11 @@ def q_sparsity(spark, sf_dir):
 # Naive Bayes ------------------------------------------------------------
 
 
+def q_label_encoding(spark, sf_dir):
+    encoded = with_label_index(documents(spark, sf_dir), LANGUAGES)
+    return encoded.select("ID", "Label", F.col("label_index").cast("long").alias("label_index"))
+
+
 def q_class_weights(spark, sf_dir):
     return class_weights(document_side(spark, sf_dir, "train")).withColumn("weight", F.round("weight", 6))
 
@@ -603,9 +608,9 @@ def q_lr_top_features(spark, sf_dir):
 
 
 def q_production_refit(spark, sf_dir):
-    classifier = training.refit_on_everything(prepared_turns(spark, sf_dir))
+    rows = prepare.prepare(_turn_split(spark, sf_dir).assign(conversations(spark, sf_dir, spread=True)))
     path = new_path(spark, "production")
-    artifacts.save_classifier(classifier, path)
+    training.train_production(rows, path)
     return artifacts.read_metadata(spark, path)
 
 

@@ -62,7 +62,7 @@ def close(a: dict, b: dict) -> bool:
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_tfidf_is_the_definition(headlines, monkeypatch, config, broadcast):
     if not broadcast:
-        monkeypatch.setattr(tfidf, "MAX_BROADCAST_TERMS", 0)
+        monkeypatch.setattr(tfidf, "MAX_BROADCAST_BYTES", 0)
     train, test = headlines.filter("ID % 4 > 0"), headlines.filter("ID % 4 = 0")
     model, on_train, on_test = tfidf.fit_transform_split(train, test, config)
     for side, got_df in ((train, on_train), (test, on_test)):
@@ -156,7 +156,7 @@ def test_naive_bayes_is_the_definition(spark, headlines, bayes):
 
 def test_scores_do_not_depend_on_the_join(headlines, bayes, monkeypatch):
     want = {r.ID: r.margins for r in bayes.predict(headlines).collect()}
-    monkeypatch.setattr(tfidf, "MAX_BROADCAST_TERMS", 0)
+    monkeypatch.setattr(tfidf, "MAX_BROADCAST_BYTES", 0)
     got = {r.ID: r.margins for r in bayes.predict(headlines).collect()}
     assert all(np.allclose(got[i], want[i], rtol=1e-12) for i in want)
 
@@ -194,6 +194,11 @@ def test_balanced_weights(headlines, training_set):
     assert {r.label: r.weight for r in classifier.class_weights(headlines).collect()} == pytest.approx(want)
 
 
+def test_label_index(headlines):
+    rows = classifier.with_label_index(headlines, ["Sports", "Politics", "Business"]).collect()
+    assert {(r.Label, r.label_index) for r in rows} == {("Business", 0), ("Politics", 1), ("Sports", 2), ("Tech", None)}
+
+
 def test_svm_has_no_probabilities_and_separates(headlines, training_set):
     for balanced in (False, True):
         model = linear.fit_svm(training_set, balanced)
@@ -217,6 +222,18 @@ def test_comparison_and_selection(headlines):
     assert best.Macro_F1 == max(r.Macro_F1 for r in rows.values() if r.Supports_Proba)
 
 
+def test_production_artifacts(spark, headlines, tmp_path):
+    rows = headlines.withColumn("split", F.when(F.col("ID").isin(1, 5, 9), "test").otherwise("train"))
+    training.train_production(rows, str(tmp_path))
+    meta = artifacts.read_metadata(spark, str(tmp_path)).first()
+    assert meta.training_documents == 13 and meta.classes == ["Business", "Politics", "Sports", "Tech"]
+    held_out = linear.fit_logistic(linear.TrainingSet(rows.filter("split = 'train'")), balanced=True)
+    wanted = held_out.predict(rows.filter("split = 'test'"), ["Label"])
+    right = wanted.filter("Label = predicted_label").count()
+    assert meta.evaluation["Accuracy"] == pytest.approx(right / 3)
+    assert set(meta.per_class_f1) == set(meta.classes)
+
+
 def test_too_many_coefficients_are_refused(headlines, monkeypatch):
     monkeypatch.setattr(linear, "MAX_COEFFICIENTS", 3)
     with pytest.raises(ValueError, match="max_features"):

@@ -8,12 +8,14 @@ text before anything moves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.sizing import HOT_ROWS, per_class_table, skew_safe_lookup
+from textloom.storage import materialise
 
 
 def digest(column: str):
@@ -135,35 +137,41 @@ def split_distribution(df: DataFrame, split: str = "split", columns: Columns = D
     )
 
 
+def fingerprints(prepared: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """A narrow stored table with digests in place of texts: the one pass over the texts
+    that all checks of :func:`integrity_report` share."""
+    nulls = sum((F.col(c).isNull().cast("int") for c in prepared.columns), F.lit(0))
+    return materialise(
+        prepared.select(
+            columns.id,
+            columns.label,
+            digest(columns.text).alias(columns.text),
+            digest(columns.cleaned).alias(columns.cleaned),
+            nulls.alias("n_null"),
+        ),
+        "fingerprints",
+    )
+
+
 def integrity_report(
     prepared: DataFrame, expected_labels: Sequence[str], columns: Columns = DEFAULT_COLUMNS
 ) -> DataFrame:
     """The checks a corpus has to pass before it is split: ``check, value, passed``."""
+    rows = fingerprints(prepared, columns)
 
     def one(df: DataFrame, check: str, value, blocking: bool = True) -> DataFrame:
         row = df.agg(F.coalesce(value, F.lit(0)).cast("long").alias("value"))
         passed = (F.col("value") == 0) if blocking else F.lit(True)
         return row.select(F.lit(check).alias("check"), "value", passed.alias("passed"))
 
-    duplicates = [
-        (columns.id, False, True),
-        (columns.text, True, False),
-        (columns.cleaned, True, False),
-    ]
+    blocking = {columns.id: True, columns.text: False, columns.cleaned: False}
     parts = [
-        one(null_counts(prepared), "null_values", F.sum("n_null")),
-        one(
-            label_domain(prepared, expected_labels, columns),
-            "labels_off_domain",
-            F.count_if(F.col("status") != "ok"),
-        ),
+        one(rows, "null_values", F.sum("n_null")),
+        one(label_domain(rows, expected_labels, columns), "labels_off_domain", F.count_if(F.col("status") != "ok")),
         *[
-            one(duplicate_summary(prepared, c, as_text), f"duplicate_{c}", F.sum("n_rows"), blocking)
-            for c, as_text, blocking in duplicates
+            one(duplicate_summary(rows, c, as_text=False), f"duplicate_{c}", F.sum("n_rows"), blocks)
+            for c, blocks in blocking.items()
         ],
-        one(label_conflicts(prepared, columns), "conflicting_labels", F.count(F.lit(1))),
+        one(label_conflicts(rows, columns), "conflicting_labels", F.count(F.lit(1))),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)

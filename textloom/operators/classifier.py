@@ -52,7 +52,7 @@ class TextClassifier:
 
     def weighted_terms(self, df: DataFrame, keep: list[str]) -> DataFrame:
         rows = term_rows(df, self.config, self.columns, keep, outer=True)
-        known = lookup_terms(rows, self.terms, self.n_terms, self.columns.id, outer=True)
+        known = lookup_terms(rows, self.terms, self.n_terms, self.columns.id, outer=True, weights=len(self.labels))
         return known.withColumn("raw", self.config.term_weight() * F.col("idf"))
 
     def _sums(self) -> list[Column]:
@@ -200,6 +200,12 @@ def class_counts(train: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> list[t
     return sorted((r["label"], r["n"]) for r in rows)
 
 
+def with_label_index(df: DataFrame, labels: list[str], columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """Adds ``label_index``, the position in the alphabetical class list; NULL for other labels."""
+    pairs = [F.lit(x) for i, label in enumerate(sorted(labels)) for x in (label, i)]
+    return df.withColumn("label_index", F.try_element_at(F.create_map(*pairs), F.col(columns.label)))
+
+
 def class_weights(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Balanced class weights ``n / (K * n_c)``, one row per label."""
     counts = df.groupBy(F.col(columns.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))

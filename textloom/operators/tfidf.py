@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.functions.text import cleaned_term_counts
-from textloom.sizing import HOT_ROWS, MAX_BROADCAST_TERMS, skew_safe_lookup
+from textloom.sizing import BYTES_PER_TERM, HOT_ROWS, MAX_BROADCAST_BYTES, skew_safe_lookup
 from textloom.storage import materialise, new_path
 
 
@@ -136,16 +136,22 @@ def by_document(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def lookup_terms(
-    terms: DataFrame, table: DataFrame, n_terms: int, id_column: str, outer: bool, hot_rows: int = HOT_ROWS
+    terms: DataFrame,
+    table: DataFrame,
+    n_terms: int,
+    id_column: str,
+    outer: bool,
+    weights: int = 0,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join terms to a per-term table that has a ``df`` column.
+    """Join terms to a per-term table that has a ``df`` column and maybe ``weights`` numbers.
 
-    Up to ``MAX_BROADCAST_TERMS`` entries travel to every executor. A larger
-    table is joined by shuffle, with the terms that occur in very many documents
-    taken out of it.
+    Up to ``MAX_BROADCAST_BYTES``, by the counted terms, the table travels to
+    every executor. A larger one is joined by shuffle, with the terms that occur
+    in very many documents taken out of it.
     """
     how = "left" if outer else "inner"
-    if n_terms <= MAX_BROADCAST_TERMS:
+    if n_terms * (BYTES_PER_TERM + 8 * weights) <= MAX_BROADCAST_BYTES:
         return terms.join(F.broadcast(table), "term", how)
     return skew_safe_lookup(terms, table, "term", id_column, "df", how, hot_rows)
 

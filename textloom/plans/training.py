@@ -12,6 +12,7 @@ from textloom.columns import DEFAULT_COLUMNS, METRIC_COLUMNS, Columns
 from textloom.operators import linear, metrics, naive_bayes
 from textloom.operators.classifier import TextClassifier
 from textloom.operators.tfidf import TfidfConfig, fit_tfidf
+from textloom.sources.artifacts import save_classifier
 from textloom.storage import materialise
 
 Fit = Callable[[], TextClassifier]
@@ -77,3 +78,23 @@ def refit_on_everything(
     Its training rows include the test side, so it must not be evaluated there.
     """
     return linear.fit_logistic(linear.TrainingSet(corpus, config, columns), balanced=True)
+
+
+def train_production(
+    corpus: DataFrame,
+    path: str,
+    config: TfidfConfig = TfidfConfig(),
+    columns: Columns = DEFAULT_COLUMNS,
+    split: str = "split",
+) -> TextClassifier:
+    """Measure on the held-out side, refit on all rows, store the model with what was measured."""
+    train, test = (corpus.filter(F.col(split) == side) for side in ("train", "test"))
+    held_out = linear.fit_logistic(linear.TrainingSet(train, config, columns), balanced=True)
+    counts = materialise(
+        metrics.confusion_counts(held_out.predict(test, keep=[columns.label]), columns), "confusion"
+    )
+    measured = metrics.overall_metrics(counts, held_out.labels).first().asDict()
+    per_class = {r["label"]: r["f1"] for r in metrics.class_report(counts, held_out.labels).collect()}
+    production = refit_on_everything(corpus, config, columns)
+    save_classifier(production, path, measured, per_class)
+    return production

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # A class list, or anything with one row per class.
 MAX_CLASSES = 1_000
-# A vocabulary up to this many terms is sent to every executor.
-MAX_BROADCAST_TERMS = 1_000_000
+# A per-term table up to this size is sent to every executor.
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+BYTES_PER_TERM = 64
 # A key with at least this many rows is joined by broadcast instead of by shuffle.
 HOT_ROWS = 1_000_000
 # N rows hold at most N / HOT_ROWS hot keys; the join fails loudly beyond this.
