@@ -259,6 +259,10 @@ ORDER BY md5('42:' || doc_id), doc_id LIMIT 10""",
     "stratified_split": _with(DOCUMENTS, PREPARED, SPLIT) + 'SELECT "ID", "Label", split FROM sides',
     "split_distribution": _with(DOCUMENTS, PREPARED, SPLIT)
     + """SELECT label, total, train, test, round(train * 100 / sum(train) OVER (), 4) AS train_pct, round(test * 100 / sum(test) OVER (), 4) AS test_pct
+FROM (SELECT "Label" AS label, count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test
+  FROM sides GROUP BY 1)""",
+    "prepare_corpus": _with(DOCUMENTS, PREPARED, SPLIT)
+    + """SELECT label, total, train, test, round(train * 100 / sum(train) OVER (), 4) AS train_pct, round(test * 100 / sum(test) OVER (), 4) AS test_pct
 FROM (SELECT "Label" AS label, count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test
   FROM sides GROUP BY 1)""",
     "split_overlap": _with(DOCUMENTS, PREPARED, SPLIT) + OVERLAP.format(table="sides"),

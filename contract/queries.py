@@ -20,7 +20,7 @@ from textloom.operators import audit, metrics, prepare, split, stats, tfidf
 from textloom.operators.classifier import TextClassifier, class_weights, with_label_index
 from textloom.operators.linear import TrainingSet, fit_logistic, fit_svm
 from textloom.operators.naive_bayes import fit_naive_bayes
-from textloom.plans import evaluation, scoring, training
+from textloom.plans import evaluation, preparation, scoring, training
 from textloom.sources import artifacts, corpus, export
 from textloom.storage import materialise, new_path
 from textloom.streaming.recent import recent_predictions as latest
@@ -296,6 +296,12 @@ def q_split_scan(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+def q_prepare_corpus(spark, sf_dir):
+    """Audit, split, store and re-read in one go."""
+    path = new_path(spark, "corpus")
+    return preparation.prepare_corpus(documents(spark, sf_dir, spread=True), path, LANGUAGES)["distribution"]
+
+
 def q_csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "corpus-csv")
     corpus.write_csv(documents(spark, sf_dir), path)
@@ -440,7 +446,7 @@ def q_metric_gate(spark, sf_dir):
 
 
 def q_error_analysis(spark, sf_dir):
-    return metrics.error_analysis(turn_predictions(spark, sf_dir), prepared_turns(spark, sf_dir))
+    return metrics.error_analysis(turn_predictions(spark, sf_dir), conversations(spark, sf_dir))
 
 
 def q_error_pairs(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textloom import sizing
 from textloom.columns import Columns
 from textloom.operators import audit, prepare, split, stats
+from textloom.plans import preparation
 from textloom.sources import corpus
 
 
@@ -189,3 +190,20 @@ def test_other_column_names(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "b")], "key long, kind string")
     rows = split.stratified_split(df, 0.5, columns=Columns(id="key", label="kind"))
     assert Counter((r.kind, r.split) for r in rows.collect()) == {("a", "train"): 1, ("a", "test"): 1, ("b", "train"): 1, ("b", "test"): 1}
+
+
+def test_prepare_corpus(spark, headlines, tmp_path):
+    raw = headlines.drop("Cleaned_Text")
+    labels = ["Sports", "Politics", "Tech", "Business"]
+    reports = preparation.prepare_corpus(raw, str(tmp_path / "a"), labels)
+    assert all(r.passed for r in reports["integrity"].collect())
+    assert all(r.rows_match and r.columns_match for r in reports["written"].collect())
+    assert reports["table"].count() == 13 and reports["overlap"].first().n_overlap == 0
+    assert sum(r.total for r in reports["distribution"].collect()) == 13
+    doubled = raw.unionByName(raw.withColumn("ID", F.col("ID") + 100))
+    assert preparation.prepare_corpus(doubled, str(tmp_path / "b"), labels, by_text=True)["overlap"].first().n_overlap == 0
+    with pytest.raises(ValueError, match="labels_off_domain"):
+        preparation.prepare_corpus(raw, str(tmp_path / "c"), ["Sports"])
+    with pytest.raises(ValueError, match="duplicate_ID"):
+        preparation.prepare_corpus(raw.unionByName(raw), str(tmp_path / "d"), labels)
+    assert not (tmp_path / "c").exists() and not (tmp_path / "d").exists()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
+from textloom.operators.prepare import prepare
 from textloom.sizing import per_class_table
 
 
@@ -158,7 +159,8 @@ def error_analysis(
 ) -> DataFrame:
     """Misclassified rows with their texts and the three best classes.
 
-    Texts join only the errors. Classes a model does not have give NULLs.
+    Raw texts join the errors and only those are cleaned, unless ``documents``
+    brings the cleaned text along. Classes a model does not have give NULLs.
     """
     ranks = [
         c
@@ -175,6 +177,8 @@ def error_analysis(
         F.round("predicted_probability", 4).alias("Prediction_Confidence"),
         *ranks,
     )
-    texts = documents.select(columns.id, columns.text, columns.cleaned)
+    texts = [columns.text, *([columns.cleaned] if columns.cleaned in documents.columns else [])]
+    joined = errors.join(documents.select(columns.id, *texts), columns.id)
+    complete = joined if columns.cleaned in texts else prepare(joined, columns)
     rest = [c for c in errors.columns if c != columns.id]
-    return errors.join(texts, columns.id).select(columns.id, columns.text, columns.cleaned, *rest)
+    return complete.select(columns.id, columns.text, columns.cleaned, *rest)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,59 +48,61 @@ def spread(scan: DataFrame, by: str) -> DataFrame:
     return scan.repartition(2 * cores, by)
 
 
+def _with_mark(df: DataFrame) -> DataFrame:
+    """The first column's name starts with the mark, so every written file does."""
+    return df.withColumnRenamed(df.columns[0], BYTE_ORDER_MARK + df.columns[0])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV whose files start with a byte-order mark, as spreadsheet programs expect."""
-    first, *rest = df.columns
-    marked = df.select(F.col(first).alias(BYTE_ORDER_MARK + first), *rest)
-    marked.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    _with_mark(df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+
+
+def _split_columns(df: DataFrame) -> list[str]:
+    return [c for c in PREPARED_COLUMNS if c in df.columns]
 
 
 def write_splits(df: DataFrame, path: str, split: str = "split", as_csv: bool = False) -> None:
-    """One table per side with the five corpus columns."""
-    columns = [c for c in PREPARED_COLUMNS if c in df.columns]
-    for side in SPLITS:
-        rows = df.filter(F.col(split) == side).select(*columns)
-        if as_csv:
-            write_csv(rows, f"{path}/{side}")
-        else:
-            rows.write.mode("overwrite").parquet(f"{path}/{side}")
+    """The corpus columns under ``split=train`` and ``split=test``, in one pass over the rows."""
+    rows = df.select(*_split_columns(df), F.col(split).alias("split"))
+    if as_csv:
+        writer = _with_mark(rows).write.option("header", True).option("escape", '"').option("emptyValue", "")
+        writer.mode("overwrite").partitionBy("split").csv(path)
+    else:
+        rows.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_split(
     spark: SparkSession, path: str, side: str, columns: Columns = DEFAULT_COLUMNS, as_csv: bool = False
 ) -> DataFrame:
     """Id, cleaned text and label of one side; Parquet reads just these."""
+    folder = f"{path}/split={side}"
     if as_csv:
         fields = {f.name: f for f in CORPUS_SCHEMA.fields}
         schema = T.StructType([fields.get(c, T.StructField(c, T.StringType())) for c in PREPARED_COLUMNS])
-        table = read_csv(spark, f"{path}/{side}", schema)
+        table = read_csv(spark, folder, schema)
     else:
-        table = spark.read.parquet(f"{path}/{side}")
+        table = spark.read.parquet(folder)
     return table.select(columns.id, columns.cleaned, columns.label)
 
 
 def verify_splits(df: DataFrame, path: str, split: str = "split") -> DataFrame:
     """Re-read what was written: rows and columns per side against the source."""
-    spark = df.sparkSession
-    wanted = {c for c in PREPARED_COLUMNS if c in df.columns}
-    sources = df.groupBy(F.col(split).alias("split")).agg(F.count(F.lit(1)).alias("expected_rows"))
-    written = []
-    for side in SPLITS:
-        table = spark.read.parquet(f"{path}/{side}")
-        written.append(
-            table.agg(
-                F.lit(side).alias("split"),
-                F.count(F.lit(1)).alias("written_rows"),
-                F.lit(set(table.columns) == wanted).alias("columns_match"),
-            )
+    table = df.sparkSession.read.parquet(path)
+    columns_match = set(table.columns) == {*_split_columns(df), "split"}
+    expected = df.groupBy(F.col(split).alias("split")).agg(F.count(F.lit(1)).alias("expected_rows"))
+    written = table.groupBy("split").agg(F.count(F.lit(1)).alias("written_rows"))
+    zero = F.lit(0).cast("long")
+    return (
+        expected.join(written, "split", "full_outer")
+        .withColumns({c: F.coalesce(c, zero) for c in ("expected_rows", "written_rows")})
+        .select(
+            "split",
+            "expected_rows",
+            "written_rows",
+            F.lit(columns_match).alias("columns_match"),
+            (F.col("expected_rows") == F.col("written_rows")).alias("rows_match"),
         )
-    found = reduce(DataFrame.unionByName, written)
-    return found.join(sources, "split", "left").select(
-        "split",
-        F.coalesce("expected_rows", F.lit(0)).cast("long").alias("expected_rows"),
-        "written_rows",
-        "columns_match",
-        (F.coalesce("expected_rows", F.lit(0)) == F.col("written_rows")).alias("rows_match"),
     )
 
 
