@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from textloom import jobs
 from textloom.functions import profile
 from textloom.operators import linear, naive_bayes
 from textloom.plans import scoring
@@ -100,6 +101,24 @@ def test_explain_record(models, inputs):
     assert best.top_contributing_features[0].term in {"5g", "स्मार्टफोन", "लाँच", "किंमत", "नवीन"}
 
 
+def test_texts_keep_their_order(spark, models):
+    table = scoring.texts_table(spark, ["विजय", "  ", "नवीन 5G स्मार्टफोन"])
+    rows = scoring.score_batch(models[0], table).orderBy("ID").collect()
+    assert [r.predicted_label for r in rows] == ["Sports", None, "Tech"] and rows[1].error == profile.INPUT_IS_BLANK
+
+
+def test_jobs(spark, headlines, tmp_path):
+    corpus_path, data, model = (str(tmp_path / n) for n in ("corpus", "data", "model"))
+    headlines.drop("Cleaned_Text").write.parquet(corpus_path)
+    jobs.main(["prepare", "--corpus", corpus_path, "--out", data, "--test-size", "0.3"])
+    jobs.main(["evaluate", "--data", data, "--out", str(tmp_path / "reports")])
+    jobs.main(["produce", "--data", data, "--out", model])
+    jobs.main(["score", "--model", model, "--texts", corpus_path, "--out", str(tmp_path / "scores"), "--explain"])
+    scored = spark.read.parquet(str(tmp_path / "scores"))
+    assert scored.count() == 13 and scored.filter("size(top_contributing_features) = 0").count() == 0
+    assert len(jobs.parser().parse_args(["compare", "--data", "a", "--out", "b"]).data) == 1
+
+
 def test_report(spark, models, tmp_path):
     rows = spark.createDataFrame([(1, 'विजय "मोठा" विजय'), (2, " ")], "ID long, Text string")
     scored = scoring.score_batch(models[0], rows)

@@ -96,7 +96,7 @@ class TfidfModel:
 
     def indexed_vocabulary(self) -> DataFrame:
         """The vocabulary with ``idx``: the position of the term in code-point order."""
-        return with_sorted_position(self.vocabulary, "term", "idx")
+        return with_sorted_position(self.vocabulary, "idx", F.asc("term"))
 
     def vectors(self, df: DataFrame, indexed: DataFrame, keep: list[str] = ()) -> DataFrame:
         """Features as Spark ML sparse vectors: id, ``keep``, ``features``.
@@ -167,9 +167,8 @@ def fit_tfidf(df: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Colum
         & (F.col("df") <= _absolute(config.max_df, n_docs))
     )
     if config.max_features is not None:
-        kept = materialise(
-            kept.orderBy(F.desc("tf"), F.asc("term")).limit(config.max_features), "top-terms"
-        )
+        ranked = with_sorted_position(kept, "_rank", F.desc("tf"), F.asc("term"))
+        kept = ranked.filter(F.col("_rank") < config.max_features).drop("_rank")
     vocabulary = kept.withColumn("idf", config.idf(n_docs))
     return TfidfModel(config, columns, vocabulary, n_docs, kept.count())
 
@@ -189,16 +188,16 @@ def term_statistics(df: DataFrame, config: TfidfConfig, columns: Columns = DEFAU
     return statistics
 
 
-def with_sorted_position(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Adds the global 0-based rank by ``key`` without sorting in one task.
+def with_sorted_position(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """Adds the global 0-based rank in ``order`` without sorting in one task.
 
     Range partitions are sorted on their own and stored, so that their borders
     stay fixed; a partition's offset is the sum of the sizes before it, and there
     are only as many sizes as partitions.
     """
     placed = materialise(
-        df.repartitionByRange(key)
-        .sortWithinPartitions(key)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", 33)),
         "sorted",
