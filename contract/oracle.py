@@ -163,10 +163,6 @@ EVERY_TEXT = f"""every_text AS (
 GROUP_ROWS = """grouped AS (
   SELECT t.doc_id, t."Cleaned_Text", s.split FROM every_text t JOIN sides s ON s."ID" = sha256(t."Cleaned_Text"))"""
 
-# The error rows of the batch query: system turns without a readable text.
-BLANKED = """corpus AS (
-  SELECT conv_id * 1000000 + turn AS "ID", text AS "Text", role AS "Label" FROM conversations)"""
-
 ORACLE_SQL = {
     # Text
     "clean_text": _with(DOCUMENTS, PREPARED) + 'SELECT "ID", "Cleaned_Text" FROM prepared',
