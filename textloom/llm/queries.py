@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm.common import table
+from textloom.llm.decontamination import LEAKS_SQL, leaks_query
 from textloom.llm.line_dedup import LINES_SQL, lines_query
 from textloom.llm.mixing import MIXING_SQL, mixing_query
 from textloom.llm.simhash import simhash_near_duplicates
+from textloom.llm.substring_dedup import PASSAGES_SQL, remove_repeated_passages
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_query(table(spark, sf_dir, "documents"))
 
@@ -24,11 +34,15 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
 }
 
 ORACLE_SQL = {
+    "op3_substring_dedup": PASSAGES_SQL,
+    "op4_benchmark_decontamination": LEAKS_SQL,
     "op5_line_dedup": LINES_SQL,
     "op6_source_mixing": MIXING_SQL,
 }
