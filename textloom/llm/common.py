@@ -68,21 +68,20 @@ def with_offsets(df: DataFrame, group: str, part: str, order: list[str], value:
     )
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Whole groups of a key out of batches that are sorted by it.
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups out of batches that are sorted by ``keys``, none of them null.
 
-    Yields tables that end where a group ends; a group that goes on in the next batch is
-    held back until it is complete.
+    A group that may go on in the next batch is held back until it is complete.
     """
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        if held and held[-1].column(key)[-1].as_py() != keys[0]:
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns, strict=True)):
             yield pa.Table.from_batches(held)
             held = []
-        last = int(np.searchsorted(keys, keys[-1], side="left"))
+        last = int(np.argmax(np.logical_and.reduce([c == c[-1] for c in columns])))
         if last:
             yield pa.Table.from_batches([*held, batch.slice(0, last)])
             held = []

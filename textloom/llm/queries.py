@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textloom.llm.chat import format_chats
 from textloom.llm.common import table
 from textloom.llm.decontamination import LEAKS_SQL, leaks_query
 from textloom.llm.line_dedup import LINES_SQL, lines_query
 from textloom.llm.mixing import MIXING_SQL, mixing_query
+from textloom.llm.parsing import compare_with_next
+from textloom.llm.secrets import scan_secrets
 from textloom.llm.simhash import simhash_near_duplicates
 from textloom.llm.substring_dedup import PASSAGES_SQL, remove_repeated_passages
 
@@ -16,6 +19,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -32,12 +39,23 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_query(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_secret_scans": op7_secret_scans,
+    "op8_chat_formatting": op8_chat_formatting,
 }
 
 ORACLE_SQL = {

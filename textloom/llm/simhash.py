@@ -153,7 +153,7 @@ def _search(fps: np.ndarray, config: PigeonringConfig) -> tuple[list[np.ndarray]
 
 
 def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig) -> Iterator[pa.RecordBatch]:
-    for table in sorted_groups(batches, "key"):
+    for table in sorted_groups(batches, ["key"]):
         key = table.column("key").to_numpy()
         fps = table.column("fp").to_numpy().view(np.uint64)
         own = table.column("own").to_numpy()
