@@ -10,9 +10,11 @@ from textloom.llm.decontamination import LEAKS_SQL, leaks_query
 from textloom.llm.line_dedup import LINES_SQL, lines_query
 from textloom.llm.mixing import MIXING_SQL, mixing_query
 from textloom.llm.parsing import compare_with_next
+from textloom.llm.quality import score_quality
 from textloom.llm.secrets import scan_secrets
 from textloom.llm.simhash import simhash_near_duplicates
 from textloom.llm.substring_dedup import PASSAGES_SQL, remove_repeated_passages
+from textloom.llm.toxicity import score_toxicity
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,14 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -56,6 +66,8 @@ QUERIES = {
     "op6_source_mixing": op6_source_mixing,
     "op7_secret_scans": op7_secret_scans,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
