@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Stands for a missing id where ids are ordered: before all others.
-NO_ID = -(2**63)
+# Stand for a missing id where ids are ordered: before and after all others.
+NO_ID, NO_ID_LAST = -(2**63), 2**63 - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,10 +11,14 @@ distance last.
 
 A file's fingerprints are linked by search from one to the next among those not reached
 yet, so a file of many near copies costs and gives about one link each, not all pairs.
+
+A signature is one or more such fingerprints and perhaps a wide fingerprint that a link has
+to agree with too.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -25,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import hex64, sorted_groups
+from textloom.llm.common import NO_ID_LAST, hex64, sorted_groups, text_digest
 from textloom.llm.components import connected
 from textloom.storage import materialise
 
@@ -38,11 +42,13 @@ SMALL_FILE = 16
 
 @dataclass(frozen=True)
 class PigeonringConfig:
-    """``chain`` boxes make up a key. A longer chain means fewer false candidates and more keys."""
+    """``chain`` boxes make up a key. A longer chain means fewer false candidates and more keys.
+    ``wide`` is how many bits the wide fingerprints of a link may differ in, if there are any."""
 
     budget: int = 4
     boxes: int = 5
     chain: int = 2
+    wide: int = 0
 
     def __post_init__(self):
         if not self.budget < self.boxes <= 16 or not 1 <= self.chain <= self.boxes:
@@ -75,24 +81,46 @@ class PigeonringConfig:
         return sorted(patterns, key=lambda p: (p.bit_count(), p))
 
 
-def fingerprint(text: bytes | None, words: int = 4) -> int:
-    """The 64-bit SimHash of a text's word shingles, repeats included; 0 without words."""
-    found = (text or b"").lower().split()  # on bytes: A-Z only, and the six blanks only
-    if not found:
-        return 0
+def _majority(hashes: list[bytes]) -> bytes:
+    """Bits set in over half of the hashes."""
+    width = len(hashes[0])
+    ones = np.zeros(8 * width, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        some = np.frombuffer(b"".join(hashes[at : at + BLOCK]), np.uint8).reshape(-1, width)
+        ones += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes)).tobytes()
+
+
+def shingles(found: list[bytes], words: int) -> Iterator[bytes]:
+    """All runs of so many words, joined by one space; a shorter text is one shingle."""
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(found) - words + 1)
-    digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, BLOCK):
-        upto = min(n, at + BLOCK)
-        last = ends[np.minimum(np.arange(at, upto) + words - 1, len(found) - 1)]
-        spans = zip(starts[at:upto].tolist(), last.tolist(), strict=True)
-        hashes = np.array([digest(joined[s:e], SEED) for s, e in spans], ">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+    last = ends[np.minimum(np.arange(n) + words - 1, len(found) - 1)]
+    return (joined[s:e] for s, e in zip(starts[:n].tolist(), last.tolist(), strict=True))
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()  # on bytes: A-Z only, and the six blanks only
+
+
+def fingerprint(text: bytes | None, words: int = 4) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included; 0 without words."""
+    found = words_of(text)
+    if not found:
+        return 0
+    digest = xxhash.xxh64_digest
+    return int.from_bytes(_majority([digest(s, SEED) for s in shingles(found, words)]), "big")
+
+
+def signature(text: bytes | None, words: int = 5) -> bytes:
+    """Two 64-bit SimHashes of the distinct words and a 128-bit one of the distinct shingles; zeros without words."""
+    found = words_of(text)
+    if not found:
+        return bytes(32)
+    digest = xxhash.xxh3_128_digest
+    return _majority([digest(w) for w in set(found)]) + _majority([digest(s) for s in set(shingles(found, words))])
 
 
 def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4) -> DataFrame:
@@ -108,105 +136,113 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: s
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def ring_keys(fp: Column, config: PigeonringConfig) -> Column:
-    """Array of ``(key, own)``: the files of a fingerprint. ``own`` marks those of its own bits."""
-    edges, keys = config.edges(), []
+def ring_keys(fp: Column, config: PigeonringConfig, part: int = 0) -> list[Column]:
+    """``(key, own)`` structs: the files of a fingerprint. ``own`` marks those of its own bits."""
+    edges, keys, room = config.edges(), [], config.key_bits()
     for start in range(config.boxes):
         at, length = edges[start], sum(config.width(start + i) for i in range(config.chain))
         turned = F.shiftrightunsigned(fp, at).bitwiseOR(F.shiftleft(fp, 64 - at)) if at else fp
         bits = turned.bitwiseAND(F.lit((1 << length) - 1))
         for flip in config.flips(start):
-            key = bits.bitwiseXOR(F.lit(flip)).bitwiseOR(F.lit(start << config.key_bits()))
+            key = bits.bitwiseXOR(F.lit(flip)).bitwiseOR(F.lit((part << 4 | start) << room))
             keys.append(F.struct(key.alias("key"), F.lit(flip == 0).alias("own")))
-    return F.array(*keys)
+    return keys
 
 
-def _within(a: np.ndarray, b: np.ndarray, key: np.ndarray, config: PigeonringConfig) -> np.ndarray:
+def _chained(differ: np.ndarray, start: np.ndarray, config: PigeonringConfig) -> np.ndarray:
     """Chains of growing length from the key's start, then the whole Hamming distance."""
-    differ = a ^ b
-    good = np.ones(len(differ), bool)
-    edges, start = config.edges(), key >> config.key_bits()
+    edges = config.edges()
     masks = np.array([((1 << config.width(i)) - 1) << edges[i] for i in range(config.boxes)], np.uint64)
-    total = np.zeros(len(differ), np.int64)
+    good, total = np.ones(len(differ), bool), np.zeros(len(differ), np.int64)
     for length in range(1, config.boxes + 1):
         total += np.bitwise_count(differ & masks[(start + length - 1) % config.boxes])
         good &= total <= config.allowed(length)
     return good & (np.bitwise_count(differ) <= config.budget)
 
 
-def _search(fps: np.ndarray, config: PigeonringConfig) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links that connect whatever is connected among ``fps``: each one is compared to those not reached yet."""
-    left, a, b = fps, [], []
+def _agree(a: np.ndarray, b: np.ndarray, config: PigeonringConfig) -> np.ndarray:
+    """Whether wide fingerprints are within their budget."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= config.wide
+
+
+def _search(fps: np.ndarray, wide: np.ndarray, config: PigeonringConfig) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links, as positions, that connect whatever is connected: each one is compared to those not reached yet."""
+    left, links = np.arange(len(fps)), []
     while len(left):
-        frontier, left = [left[:1]], left[1:]
+        frontier, left = [int(left[0])], left[1:]
         while frontier and len(left):
-            for one in frontier.pop():
-                near = np.bitwise_count(left ^ one) <= config.budget
-                if near.any():
-                    reached, left = left[near], left[~near]
-                    a.append(np.full(len(reached), one))
-                    b.append(reached)
-                    frontier.append(reached)
-                if not len(left):
-                    break
-    return a, b
-
-
-def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig) -> Iterator[pa.RecordBatch]:
+            one = frontier.pop()
+            near = (np.bitwise_count(fps[left] ^ fps[one]) <= config.budget) & _agree(wide[left], wide[one], config)
+            if near.any():
+                links.append((np.full(int(near.sum()), one), left[near]))
+                frontier += left[near].tolist()
+                left = left[~near]
+    return links
+
+
+def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig, parts: int) -> Iterator[pa.RecordBatch]:
+    """Links between signatures; ``parts`` of their words have files, the others are the wide fingerprint."""
     for table in sorted_groups(batches, ["key"]):
         key = table.column("key").to_numpy()
-        fps = table.column("fp").to_numpy().view(np.uint64)
         own = table.column("own").to_numpy()
+        if table.schema.field("node").type == pa.int64():
+            words = table.column("node").to_numpy().view(np.uint64)[:, None]
+        else:
+            words = np.frombuffer(b"".join(table.column("node").to_pylist()), ">u8").astype(np.uint64).reshape(len(key), -1)
+        part, start = key >> (config.key_bits() + 4), (key >> config.key_bits()) & 15
+        fps, wide = words[np.arange(len(key)), part], words[:, parts:]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(first, len(key)))
         # A file is of use only with someone's own bits in it.
         useful = (size > 1) & np.logical_or.reduceat(own, first)
-        pairs_a, pairs_b = [], []
-        small = np.repeat(useful & (size <= SMALL_FILE), size)
-        k, f, o = key[small], fps[small], own[small]
-        for shift in range(1, min(SMALL_FILE, len(k))):
-            met = (k[shift:] == k[:-shift]) & (o[shift:] | o[:-shift])
-            if not met.any():
+        found = []
+        small = np.flatnonzero(np.repeat(useful & (size <= SMALL_FILE), size))
+        for shift in range(1, min(SMALL_FILE, len(small))):
+            a, b = small[:-shift], small[shift:]
+            met = (key[a] == key[b]) & (own[a] | own[b])
+            a, b = a[met], b[met]
+            if not len(a):
                 break
-            a, b = f[:-shift][met], f[shift:][met]
-            good = _within(a, b, k[shift:][met], config)
-            pairs_a.append(a[good])
-            pairs_b.append(b[good])
+            a, b = (x[_chained(fps[a] ^ fps[b], start[a], config)] for x in (a, b))
+            found.append((a, b))
         for at, n in zip(first[useful & (size > SMALL_FILE)], size[useful & (size > SMALL_FILE)], strict=True):
-            a, b = _search(np.unique(fps[at : at + n]), config)
-            pairs_a += a
-            pairs_b += b
-        if pairs_a:
-            both = np.stack([np.concatenate(pairs_a), np.concatenate(pairs_b)], axis=1).view(np.int64)
-            both = np.unique(np.sort(both, axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-
-def near_links(distinct: DataFrame, config: PigeonringConfig = PigeonringConfig()) -> DataFrame:
-    """``(a, b)``: links that connect every two of the distinct fingerprints ``distinct(fp)`` within the budget.
-
-    Files grow with the number of distinct fingerprints only; the largest holds those around
-    one fingerprint, 8 bytes each, and stays in the memory of a task.
+            distinct = at + np.unique(words[at : at + n], axis=0, return_index=True)[1]
+            found += [(distinct[a], distinct[b]) for a, b in _search(fps[distinct], wide[distinct], config)]
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            if wide.shape[1]:
+                a, b = (x[_agree(wide[a], wide[b], config)] for x in (a, b))
+            node = table.column("node").combine_chunks()
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], ["a", "b"])
+
+
+def near_links(distinct: DataFrame, config: PigeonringConfig, words: list[Column], kind: str) -> DataFrame:
+    """``(a, b)``: links that connect every two of the distinct signatures ``distinct(node)`` within the budget.
+
+    ``words`` are the 64-bit fingerprints of a node that have files. Files grow with the
+    number of distinct signatures only; the largest holds those around one fingerprint and
+    stays in the memory of a task.
     """
-    filed = distinct.select("fp", F.explode(ring_keys(F.col("fp"), config)).alias("k"))
-    filed = filed.select(F.col("k.key").alias("key"), "fp", F.col("k.own").alias("own"))
-    return filed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _links(b, config), "a long, b long")
+    keys = F.array(*[k for part, word in enumerate(words) for k in ring_keys(word, config, part)])
+    filed = distinct.select("node", F.explode(keys).alias("k")).select(F.col("k.key").alias("key"), "node", F.col("k.own").alias("own"))
+    placed = filed.repartition("key").sortWithinPartitions("key")
+    parts = len(words)
+    return placed.mapInArrow(lambda b: _links(b, config, parts), f"a {kind}, b {kind}")
 
 
-def near_components(prints: DataFrame, config: PigeonringConfig = PigeonringConfig()) -> DataFrame:
-    """``prints(doc_id, fp)`` with ``component_id``, the smallest id that links reach.
+def near_components(prints: DataFrame, config: PigeonringConfig, words: list[Column], kind: str) -> DataFrame:
+    """``prints(doc_id, node)`` with ``component_id``, the smallest id that links reach.
 
-    Equal fingerprints are one from the start, so exact copies never meet in a file. A null
+    Equal signatures are one from the start, so exact copies never meet in a file. A null
     id never is the smallest while there is another.
     """
-    prints = materialise(prints, "fingerprints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    labels = connected(near_links(distinct, config))
-    labelled = distinct.join(labels.toDF("fp", "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    labelled = materialise(labelled, "labelled-fingerprints")
+    distinct = materialise(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "distinct-signatures")
+    labels = connected(near_links(distinct, config, words, kind))
+    labelled = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = materialise(labelled, "labelled-signatures")
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(smallest, "label").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = labelled.join(smallest, "label").select("node", "component_id", "label")
+    return prints.join(classes, "node")
 
 
 def simhash_near_duplicates(
@@ -223,5 +259,50 @@ def simhash_near_duplicates(
     fingerprints and keep their rows. Null ids keep their rows too; a component of null ids
     only has a null id. An empty table gives an empty table. Other columns are not read.
     """
-    found = near_components(fingerprints(documents, id_column, text_column, words), config)
-    return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
+    prints = materialise(fingerprints(documents, id_column, text_column, words).withColumnRenamed("fp", "node"), "fingerprints")
+    found = near_components(prints, config, [F.col("node")], "long")
+    return found.select("doc_id", hex64(F.col("node")).alias("fingerprint"), "component_id")
+
+
+def wide_budget(similarity: float, bits: int = 128) -> int:
+    """Bits in which SimHashes of shingle sets of this Jaccard similarity differ, and two standard deviations more."""
+    cosine = 2 * similarity / (1 + similarity)
+    share = math.acos(cosine) / math.pi
+    return int(bits * share + 2 * math.sqrt(bits * share * (1 - share)))
+
+
+def drop_near_duplicates(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """``documents`` with one row of each group of near-duplicates, the one of the smallest id.
+
+    A near copy of similarity 0.8 in five-word shingles has a few per cent of its words
+    changed. That moves a SimHash of shingles by some ten of 64 bits, but one of the
+    distinct words by four or so. So two SimHashes of the words, under different hashes, have
+    files with a budget of four, and a link counts if the 128-bit SimHashes of the shingles
+    are within what the similarity allows.
+
+    Defined cases: texts without words are one group. Of equal ids the smaller text digest
+    stays, of equal rows one. A null id comes last. An empty table gives an empty table.
+    All columns stay, whatever their names.
+    """
+    text = F.col(text_column)
+    rows = documents.select(
+        F.struct(*documents.columns).alias("row"),
+        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID_LAST)).alias("doc_id"),
+        text_digest(text).alias("digest"),
+        text.cast("binary").alias("text"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = pa.array([signature(t.as_py(), words) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), nodes], ["doc_id", "digest", "node"])
+
+    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, node binary")
+    prints = materialise(prints, "signatures")
+    halves = [F.conv(F.hex(F.substring("node", 1 + 8 * i, 8)), 16, -10).cast("long") for i in range(2)]
+    grouped = near_components(prints, PigeonringConfig(wide=wide_budget(similarity)), halves, "binary")
+    stays = grouped.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
+    kept = rows.select("row", "doc_id", "digest").join(stays, ["doc_id", "digest"], "left_semi")
+    return kept.dropDuplicates(["doc_id", "digest"]).select("row.*")

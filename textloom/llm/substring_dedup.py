@@ -25,9 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import null_safe
+from textloom.llm.common import NO_ID_LAST, null_safe
 
-NO_ID_LAST = 2**63 - 1
 BLOCK = 65_536
 TRAVEL = "bucket int, ids binary, marks binary, run_doc binary, run_start binary, words binary, from_word binary, to_word binary"
 SPANS = "id long, mark long, from_word int, to_word int"

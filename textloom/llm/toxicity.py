@@ -39,10 +39,12 @@ class ToxicityConfig:
     per_label: int = 3_000
     unlabelled: int = 2_000
     voters: int = 400
-    features: int = 3_000
+    evidence: float = 30.0
+    features: int = 400
     rounds: int = 25
     label_accuracy: float = 0.95
-    ridge: float = 0.02
+    ridge: float = 1.0
+    lexicon_weight: float = 1.5
     threshold: float = 0.5
 
 
@@ -84,17 +86,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def suspicious_stems(found: list[set[str]], labels: np.ndarray, most: int) -> list[str]:
-    """Stems of toxic documents that clean ones lack, the best first; labels are 1, 0 or -1 for none."""
+def suspicious_stems(found: list[set[str]], labels: np.ndarray, most: int, evidence: float) -> list[str]:
+    """Stems that toxic documents have far more often than clean ones, the best first; labels are 1, 0 or -1 for none.
+
+    A stem needs a likelihood ratio of ``evidence`` against one common rate, as many are tried.
+    """
     toxic, clean = Counter(), Counter()
     for s, y in zip(found, labels, strict=True):
         if y >= 0:
             (toxic if y else clean).update(s)
-    n, m = max(1, int((labels == 1).sum())), max(1, int((labels == 0).sum()))
-    least = max(3, n // 300)
-    odds = {s: np.log((k + 0.5) / (n + 1)) - np.log((clean[s] + 0.5) / (m + 1)) for s, k in toxic.items() if k >= least}
-    good = [s for s in odds if odds[s] > 1.5]
-    return sorted(good, key=lambda s: (-odds[s] * np.sqrt(toxic[s]), s))[:most]
+    n, m = int((labels == 1).sum()), int((labels == 0).sum())
+    if not n or not m:
+        return []
+    ratio = {}
+    for stem, k in toxic.items():
+        other = clean[stem]
+        expected = (k + other) * n / (n + m)
+        if k / n > 4 * (other + 0.5) / m:
+            ratio[stem] = 2 * (k * np.log(k / expected) + (other * np.log(other / (k + other - expected)) if other else 0))
+    good = [stem for stem in ratio if ratio[stem] >= evidence]
+    return sorted(good, key=lambda stem: (-ratio[stem], stem))[:most]
 
 
 def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, config: ToxicityConfig) -> np.ndarray:
@@ -123,20 +134,21 @@ def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, config: Tox
     return posterior
 
 
-def linear_fit(x: np.ndarray, target: np.ndarray, ridge: float, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps."""
-    n, target = max(1, len(x)), target.astype(np.float32)
-    step = 4.0 / (max(1.0, float((x**2).sum(axis=1).max(initial=0))) + 1)
-    w, bias = np.zeros(x.shape[1], np.float32), 0.0
-    before = (w, bias)
-    for t in range(rounds):
-        pull = t / (t + 3)
-        ahead, ahead_bias = w + np.float32(pull) * (w - before[0]), bias + pull * (bias - before[1])
-        error = _sigmoid(x @ ahead + np.float32(ahead_bias)) - target
-        before = (w, bias)
-        w = ahead - np.float32(step / n) * (error @ x + np.float32(ridge) * ahead)
-        bias = ahead_bias - step * float(error.mean())
-    return w, bias
+def linear_fit(x: np.ndarray, target: np.ndarray, start: np.ndarray, ridge: float, rounds: int = 12) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by Newton steps; weights are drawn to ``start``, the bias to nothing."""
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-6
+    drawn = np.append(start, 0.0)
+    w = drawn.copy()
+    for _ in range(rounds):
+        p = _sigmoid((x @ w.astype(x.dtype)).astype(np.float64))
+        curve = np.maximum(p * (1 - p), 1e-4).astype(x.dtype)
+        hessian = (x.T @ (x * curve[:, None])).astype(np.float64)
+        hessian[np.diag_indices_from(hessian)] += penalty
+        gradient = ((p - target).astype(x.dtype) @ x).astype(np.float64) + penalty * (w - drawn)
+        w -= np.linalg.solve(hessian, gradient)
+    return w[:-1], float(w[-1])
 
 
 @dataclass(frozen=True)
@@ -172,28 +184,34 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, config: ToxicityConfig
     y = np.array([r.label for r in rows], np.int64)
     held = [{s for w in r.words for s in stems(w)} for r in rows]
 
-    voters = list(dict.fromkeys([*LEXICON, *suspicious_stems(held, y, config.voters)]))
-    votes = np.zeros((len(rows), len(voters) + N_PATTERNS))
-    for i, (row, s) in enumerate(zip(rows, held, strict=True)):
-        votes[i] = [*(v in s for v in voters), *row.patterns]
+    return learned(held, np.array([r.patterns for r in rows], bool).reshape(-1, N_PATTERNS), y, share, config)
+
+
+def learned(held: list[set[str]], shapes: np.ndarray, y: np.ndarray, share: float, config: ToxicityConfig) -> ToxicityModel:
+    """The model from the stems and patterns of documents with labels 1, 0 or -1; ``share`` is that of label 1 in the corpus."""
+    if not len(held):
+        return ToxicityModel(config, {s: 4.0 for s in LEXICON}, -2.0)
+    voters = list(dict.fromkeys([*LEXICON, *suspicious_stems(held, y, config.voters, config.evidence)]))
+    votes = np.zeros((len(held), len(voters) + N_PATTERNS))
+    for i, s in enumerate(held):
+        votes[i] = [*(v in s for v in voters), *shapes[i]]
     balance = float((y == 1).sum() + 0.5) / float((y >= 0).sum() + 1)
-    posterior = label_model(votes, y, balance, config) if len(rows) else np.zeros(0)
+    posterior = label_model(votes, y, balance, config)
 
     seen, toxic = Counter(), Counter()
     for s, p in zip(held, posterior, strict=True):
         seen.update(s)
         if p >= 0.5:
             toxic.update(s)
-    rate = (posterior >= 0.5).mean() if len(rows) else 0.0
-    gain = {s: abs(toxic[s] - rate * n) / np.sqrt(n) for s, n in seen.items() if n >= 3}
+    rate = (posterior >= 0.5).mean()
+    gain = {s: abs(toxic[s] - rate * n) / np.sqrt(n) for s, n in seen.items() if n >= 10}
     names = sorted({*voters, *sorted(gain, key=lambda s: (-gain[s], s))[: config.features]})
     column = {s: i for i, s in enumerate(names)}
-    x = np.zeros((len(rows), len(names)), np.float32)
+    x = np.zeros((len(held), len(names)), np.float32)
     for i, s in enumerate(held):
         x[i, [column[t] for t in s if t in column]] = 1
-    if not len(rows):
-        return ToxicityModel(config, {s: 4.0 for s in LEXICON}, -2.0)
-    weights, bias = linear_fit(x, posterior, config.ridge)
+    start = np.where(np.isin(names, LEXICON), config.lexicon_weight, 0.0)
+    weights, bias = linear_fit(x, posterior, start, config.ridge)
     # The sample has more toxic documents than the labels; the bias goes back to their share.
     share = min(max(share, 1e-3), 1 - 1e-3)
     if (y >= 0).any():
