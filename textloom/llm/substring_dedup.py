@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from textloom.llm.common import NO_ID_LAST, null_safe
 
 BLOCK = 65_536
-TRAVEL = "bucket int, ids binary, marks binary, run_doc binary, run_start binary, words binary, from_word binary, to_word binary"
-SPANS = "id long, mark long, from_word int, to_word int"
+TRAVEL = "bucket int, places binary, words binary"
+SPANS = "id long, mark int, from_word int, to_word int"
+# Blobs are written once and moved once, so they are packed well rather than fast.
+LEVEL = 6
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,24 @@ def _runs(flags: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, end
 
 
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Integers as differences, byte by byte of their places, compressed."""
+    parts = [np.array([len(a) for a in arrays], np.int64).tobytes()]
+    for a in arrays:
+        parts.append(np.diff(a.astype(np.int64), prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes())
+    return zstandard.compress(b"".join(parts), LEVEL)
+
+
+def _unpacked(data: bytes, n: int) -> list[np.ndarray]:
+    data = zstandard.decompress(data)
+    sizes, at, out = np.frombuffer(data, np.int64, n), 8 * n, []
+    for size in sizes.tolist():
+        planes = np.frombuffer(data, np.uint8, 8 * size, at).reshape(8, size)
+        out.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel()))
+        at += 8 * size
+    return out
+
+
 def _travel(batches: Iterator[pa.RecordBatch], buckets: int, config: SuperKmerConfig) -> Iterator[pa.RecordBatch]:
     """Rows for the buckets: the chunk's super-k-mers, and what the chunk itself has decided."""
     held: list[tuple[int, int, bytes]] = []
@@ -142,16 +162,13 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
     starts = np.flatnonzero(inside)
     known = np.zeros(n, bool)
     known[starts] = _seen_before(numbers, hashes, starts, ids[doc[starts]], config.window)
-    columns: list[list] = [[] for _ in range(8)]
+    out: dict[str, list] = {"bucket": [], "places": [], "words": []}
 
-    def row(bucket, run_doc, run_start, packed, from_word, to_word):
-        used, local = np.unique(run_doc, return_inverse=True)
-        values = (
-            bucket, ids[used], marks[used], local.astype(np.int32), run_start.astype(np.int32),
-            zstandard.compress(packed, 1) if packed else b"", from_word.astype(np.int32), to_word.astype(np.int32),
-        )
-        for column, value in zip(columns, values, strict=True):
-            column.append(value.tobytes() if isinstance(value, np.ndarray) else value)
+    def row(bucket: int, of: np.ndarray, starts: np.ndarray, ends: np.ndarray, packed: bytes) -> None:
+        used, local = np.unique(of, return_inverse=True)
+        out["bucket"].append(bucket)
+        out["places"].append(_packed([ids[used], marks[used], local, starts, ends]))
+        out["words"].append(zstandard.compress(packed, LEVEL) if packed else b"")
 
     none = np.zeros(0, np.int32)
     if known.any():
@@ -160,7 +177,7 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
         np.add.at(covered, np.flatnonzero(known) + config.window, -1)
         begin, end = _runs(np.cumsum(covered[:-1]) > 0, doc[1:] == doc[:-1])
         of = doc[begin]
-        row(int(marks[of[0]]) % buckets, of, none, b"", begin - begins[of], end - begins[of])
+        row(int(marks[of[0]]) % buckets, of, begin - begins[of], end - begins[of], b"")
     if n:
         grams = _weighted(hashes, config.gram)
         least = _sliding_minimum(grams, config.window - config.gram + 1)
@@ -179,10 +196,9 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
                 spans = zip(heads[begin[some]].tolist(), ends[end[some] + config.window - 2].tolist(), strict=True)
                 packed = b"\n".join([joined[s:e] for s, e in spans])
                 of = doc[begin[some]]
-                row(int(bucket[some[0]]), of, begin[some] - begins[of], packed, none, none)
-    types = [pa.int32(), *[pa.binary()] * 7]
-    names = [field.split()[0] for field in TRAVEL.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+                row(int(bucket[some[0]]), of, begin[some] - begins[of], none, packed)
+    types = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), types, strict=True)], list(out))
 
 
 def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
@@ -190,16 +206,14 @@ def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     out = []
     lines, ids, marks, run_start = [], [], [], []
     for r in rows.itertuples():
-        own_ids, own_marks = np.frombuffer(r.ids, np.int64), np.frombuffer(r.marks, np.int64)
-        of = np.frombuffer(r.run_doc, np.int32)
+        own_ids, own_marks, of, starts, ends = _unpacked(r.places, 5)
         if r.words:
             lines += zstandard.decompress(r.words).split(b"\n")
             ids.append(own_ids[of])
             marks.append(own_marks[of])
-            run_start.append(np.frombuffer(r.run_start, np.int32))
+            run_start.append(starts)
         else:
-            spans = (np.frombuffer(r.from_word, np.int32), np.frombuffer(r.to_word, np.int32))
-            out.append((own_ids[of], own_marks[of], *spans))
+            out.append((own_ids[of], own_marks[of], starts, ends))
     if lines:
         words: list[bytes] = []
         counts = np.zeros(len(lines), np.int64)
@@ -208,10 +222,11 @@ def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
             counts[i] = len(found)
             words += found
         ids, marks, run_start = np.concatenate(ids), np.concatenate(marks), np.concatenate(run_start)
-        run = np.repeat(np.arange(len(lines)), counts)
+        run = np.repeat(np.arange(len(counts)), counts)
         begins = np.cumsum(counts) - counts
         numbers, hashes = _numbered(words)
-        n = len(words) - window + 1
+        del words, lines
+        n = len(numbers) - window + 1
         starts = np.flatnonzero(run[:n] == run[window - 1 :])
         seen = np.zeros(n, bool)
         seen[starts] = _seen_before(numbers, hashes, starts, ids[run[starts]], window)
@@ -221,11 +236,14 @@ def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
         out.append((ids[of], marks[of], begin + shift, end + window - 1 + shift))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
     frame = pd.DataFrame(dict(zip(("id", "mark", "from_word", "to_word"), columns, strict=True)))
-    return frame.astype({"id": "int64", "mark": "int64", "from_word": "int32", "to_word": "int32"})
+    return frame.astype({"id": "int64", "mark": "int32", "from_word": "int32", "to_word": "int32"})
 
 
 def repeated_spans(documents: DataFrame, config: SuperKmerConfig = SuperKmerConfig()) -> DataFrame:
-    """``(id, mark, from_word, to_word)`` out of ``documents(id, mark, text)``: the words to remove, spans may overlap."""
+    """``(id, mark, from_word, to_word)`` out of ``documents(id, mark, text)``: the words to remove, spans may overlap.
+
+    A bucket holds about ``bucket_bytes`` of text, however many buckets that makes.
+    """
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // config.bucket_bytes))
     travelling = documents.select("id", "mark", F.col("text").cast("binary").alias("text")).mapInArrow(
@@ -273,7 +291,7 @@ def remove_repeated_passages(
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID_LAST)).alias("id"),
-        F.xxhash64(F.col(text_column)).alias("mark"),
+        F.hash(F.col(text_column)).alias("mark"),  # tells rows of one id apart
         F.col(text_column).alias("text"),
     )
     spans = repeated_spans(rows.select("id", "mark", "text"), config)
