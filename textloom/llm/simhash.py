@@ -11,14 +11,11 @@ distance last.
 
 A file's fingerprints are linked by search from one to the next among those not reached
 yet, so a file of many near copies costs and gives about one link each, not all pairs.
-
-A signature is one or more such fingerprints and perhaps a wide fingerprint that a link has
-to agree with too.
 """
 
 from __future__ import annotations
 
-import math
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -26,10 +23,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NO_ID_LAST, hex64, sorted_groups, text_digest
+from textloom.llm.common import NO_ID_LAST, hex64, sorted_groups
 from textloom.llm.components import connected
 from textloom.storage import materialise
 
@@ -42,13 +39,11 @@ SMALL_FILE = 16
 
 @dataclass(frozen=True)
 class PigeonringConfig:
-    """``chain`` boxes make up a key. A longer chain means fewer false candidates and more keys.
-    ``wide`` is how many bits the wide fingerprints of a link may differ in, if there are any."""
+    """``chain`` boxes make up a key. A longer chain means fewer false candidates and more keys."""
 
     budget: int = 4
     boxes: int = 5
     chain: int = 2
-    wide: int = 0
 
     def __post_init__(self):
         if not self.budget < self.boxes <= 16 or not 1 <= self.chain <= self.boxes:
@@ -114,13 +109,19 @@ def fingerprint(text: bytes | None, words: int = 4) -> int:
     return int.from_bytes(_majority([digest(s, SEED) for s in shingles(found, words)]), "big")
 
 
-def signature(text: bytes | None, words: int = 5) -> bytes:
-    """Two 64-bit SimHashes of the distinct words and a 128-bit one of the distinct shingles; zeros without words."""
-    found = words_of(text)
+def word_fingerprints(text: bytes | None) -> tuple[int, int]:
+    """Two 64-bit SimHashes of the distinct words, under different hashes; zeros without words."""
+    found = set(words_of(text))
     if not found:
-        return bytes(32)
-    digest = xxhash.xxh3_128_digest
-    return _majority([digest(w) for w in set(found)]) + _majority([digest(s) for s in set(shingles(found, words))])
+        return 0, 0
+    both = _majority([xxhash.xxh3_128_digest(w) for w in found])
+    return int.from_bytes(both[:8], "big"), int.from_bytes(both[8:], "big")
+
+
+def similarity_of(a: bytes | None, b: bytes | None, words: int) -> float:
+    """Jaccard similarity of the shingle sets; 1 for two texts without words."""
+    mine, theirs = (set(shingles(found, words)) if (found := words_of(t)) else set() for t in (a, b))
+    return len(mine & theirs) / len(mine | theirs) if mine or theirs else 1.0
 
 
 def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4) -> DataFrame:
@@ -136,17 +137,21 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: s
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def ring_keys(fp: Column, config: PigeonringConfig, part: int = 0) -> list[Column]:
-    """``(key, own)`` structs: the files of a fingerprint. ``own`` marks those of its own bits."""
-    edges, keys, room = config.edges(), [], config.key_bits()
-    for start in range(config.boxes):
-        at, length = edges[start], sum(config.width(start + i) for i in range(config.chain))
-        turned = F.shiftrightunsigned(fp, at).bitwiseOR(F.shiftleft(fp, 64 - at)) if at else fp
-        bits = turned.bitwiseAND(F.lit((1 << length) - 1))
-        for flip in config.flips(start):
-            key = bits.bitwiseXOR(F.lit(flip)).bitwiseOR(F.lit((part << 4 | start) << room))
-            keys.append(F.struct(key.alias("key"), F.lit(flip == 0).alias("own")))
-    return keys
+def filed(distinct: DataFrame, fingerprint_columns: list[str], config: PigeonringConfig) -> DataFrame:
+    """``(key, node, fp, own)``: the files of every node under each of its fingerprints; ``own`` marks those of its own bits."""
+    edges, room, files = config.edges(), config.key_bits(), []
+    for part in range(len(fingerprint_columns)):
+        for start in range(config.boxes):
+            mask = (1 << sum(config.width(start + i) for i in range(config.chain))) - 1
+            files += [(part, edges[start], mask, flip, (part << 4 | start) << room) for flip in config.flips(start)]
+    fields = ("part", "at", "mask", "flip", "tag")
+    kind = "array<struct<part:int,at:int,mask:long,flip:long,tag:long>>"
+    listed = F.from_json(F.lit(json.dumps([dict(zip(fields, f, strict=True)) for f in files])), kind)
+    rows = distinct.select("node", F.array(*fingerprint_columns).alias("fps"), F.explode(listed).alias("f"))
+    rows = rows.select("node", F.get("fps", F.col("f.part")).alias("fp"), "f.*")
+    turned = F.expr("shiftrightunsigned(fp, at) | shiftleft(fp, 64 - at)")  # by 64 bits is by none
+    key = turned.bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip")).bitwiseOR(F.col("tag"))
+    return rows.select(key.alias("key"), "node", "fp", (F.col("flip") == 0).alias("own"))
 
 
 def _chained(differ: np.ndarray, start: np.ndarray, config: PigeonringConfig) -> np.ndarray:
@@ -160,19 +165,22 @@ def _chained(differ: np.ndarray, start: np.ndarray, config: PigeonringConfig) ->
     return good & (np.bitwise_count(differ) <= config.budget)
 
 
-def _agree(a: np.ndarray, b: np.ndarray, config: PigeonringConfig) -> np.ndarray:
-    """Whether wide fingerprints are within their budget."""
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= config.wide
+def _middle(fps: np.ndarray) -> int:
+    """The fingerprint nearest to the majority of all, by position: of edited copies it is the least edited."""
+    bits = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1)
+    majority = np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(fps)).view(np.uint64)
+    return int(np.argmin(np.bitwise_count(fps ^ majority[0])))
 
 
-def _search(fps: np.ndarray, wide: np.ndarray, config: PigeonringConfig) -> list[tuple[np.ndarray, np.ndarray]]:
+def _search(fps: np.ndarray, config: PigeonringConfig) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links, as positions, that connect whatever is connected: each one is compared to those not reached yet."""
     left, links = np.arange(len(fps)), []
     while len(left):
-        frontier, left = [int(left[0])], left[1:]
+        frontier = [int(left[_middle(fps[left])])]
+        left = left[left != frontier[0]]
         while frontier and len(left):
             one = frontier.pop()
-            near = (np.bitwise_count(fps[left] ^ fps[one]) <= config.budget) & _agree(wide[left], wide[one], config)
+            near = np.bitwise_count(fps[left] ^ fps[one]) <= config.budget
             if near.any():
                 links.append((np.full(int(near.sum()), one), left[near]))
                 frontier += left[near].tolist()
@@ -180,17 +188,11 @@ def _search(fps: np.ndarray, wide: np.ndarray, config: PigeonringConfig) -> list
     return links
 
 
-def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig, parts: int) -> Iterator[pa.RecordBatch]:
-    """Links between signatures; ``parts`` of their words have files, the others are the wide fingerprint."""
+def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig) -> Iterator[pa.RecordBatch]:
     for table in sorted_groups(batches, ["key"]):
-        key = table.column("key").to_numpy()
-        own = table.column("own").to_numpy()
-        if table.schema.field("node").type == pa.int64():
-            words = table.column("node").to_numpy().view(np.uint64)[:, None]
-        else:
-            words = np.frombuffer(b"".join(table.column("node").to_pylist()), ">u8").astype(np.uint64).reshape(len(key), -1)
-        part, start = key >> (config.key_bits() + 4), (key >> config.key_bits()) & 15
-        fps, wide = words[np.arange(len(key)), part], words[:, parts:]
+        key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+        fps, own = table.column("fp").to_numpy().view(np.uint64), table.column("own").to_numpy()
+        start = (key >> config.key_bits()) & 15
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(first, len(key)))
         # A file is of use only with someone's own bits in it.
@@ -203,46 +205,25 @@ def _links(batches: Iterator[pa.RecordBatch], config: PigeonringConfig, parts: i
             a, b = a[met], b[met]
             if not len(a):
                 break
-            a, b = (x[_chained(fps[a] ^ fps[b], start[a], config)] for x in (a, b))
-            found.append((a, b))
+            good = _chained(fps[a] ^ fps[b], start[a], config)
+            found.append((a[good], b[good]))
         for at, n in zip(first[useful & (size > SMALL_FILE)], size[useful & (size > SMALL_FILE)], strict=True):
-            distinct = at + np.unique(words[at : at + n], axis=0, return_index=True)[1]
-            found += [(distinct[a], distinct[b]) for a, b in _search(fps[distinct], wide[distinct], config)]
+            distinct = at + np.unique(node[at : at + n], return_index=True)[1]
+            found += [(distinct[a], distinct[b]) for a, b in _search(fps[distinct], config)]
         if found:
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            if wide.shape[1]:
-                a, b = (x[_agree(wide[a], wide[b], config)] for x in (a, b))
-            node = table.column("node").combine_chunks()
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], ["a", "b"])
-
+            pairs = np.sort(np.stack([node[np.concatenate(x)] for x in zip(*found, strict=True)], axis=1), axis=1)
+            pairs = np.unique(pairs, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-def near_links(distinct: DataFrame, config: PigeonringConfig, words: list[Column], kind: str) -> DataFrame:
-    """``(a, b)``: links that connect every two of the distinct signatures ``distinct(node)`` within the budget.
 
-    ``words`` are the 64-bit fingerprints of a node that have files. Files grow with the
-    number of distinct signatures only; the largest holds those around one fingerprint and
-    stays in the memory of a task.
-    """
-    keys = F.array(*[k for part, word in enumerate(words) for k in ring_keys(word, config, part)])
-    filed = distinct.select("node", F.explode(keys).alias("k")).select(F.col("k.key").alias("key"), "node", F.col("k.own").alias("own"))
-    placed = filed.repartition("key").sortWithinPartitions("key")
-    parts = len(words)
-    return placed.mapInArrow(lambda b: _links(b, config, parts), f"a {kind}, b {kind}")
-
-
-def near_components(prints: DataFrame, config: PigeonringConfig, words: list[Column], kind: str) -> DataFrame:
-    """``prints(doc_id, node)`` with ``component_id``, the smallest id that links reach.
+def near_links(distinct: DataFrame, fingerprint_columns: list[str], config: PigeonringConfig = PigeonringConfig()) -> DataFrame:
+    """``(a, b)``: links that connect every two nodes of ``distinct(node, ...)`` with a fingerprint within the budget.
 
-    Equal signatures are one from the start, so exact copies never meet in a file. A null
-    id never is the smallest while there is another.
+    Files grow with the number of distinct nodes only; the largest holds those around one
+    fingerprint, 16 bytes each, and stays in the memory of a task.
     """
-    distinct = materialise(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "distinct-signatures")
-    labels = connected(near_links(distinct, config, words, kind))
-    labelled = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = materialise(labelled, "labelled-signatures")
-    smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(smallest, "label").select("node", "component_id", "label")
-    return prints.join(classes, "node")
+    placed = filed(distinct, fingerprint_columns, config).repartition("key").sortWithinPartitions("key")
+    return placed.mapInArrow(lambda b: _links(b, config), "a long, b long")
 
 
 def simhash_near_duplicates(
@@ -259,28 +240,50 @@ def simhash_near_duplicates(
     fingerprints and keep their rows. Null ids keep their rows too; a component of null ids
     only has a null id. An empty table gives an empty table. Other columns are not read.
     """
-    prints = materialise(fingerprints(documents, id_column, text_column, words).withColumnRenamed("fp", "node"), "fingerprints")
-    found = near_components(prints, config, [F.col("node")], "long")
-    return found.select("doc_id", hex64(F.col("node")).alias("fingerprint"), "component_id")
+    prints = materialise(fingerprints(documents, id_column, text_column, words), "fingerprints")
+    # Equal fingerprints are one node from the start, so exact copies never meet in a file.
+    distinct = prints.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"))
+    distinct = materialise(distinct.withColumn("fp", F.col("node")), "distinct-fingerprints")
+    labelled = _labelled(distinct, near_links(distinct, ["fp"], config))
+    smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    classes = labelled.join(smallest, "label").select("fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def wide_budget(similarity: float, bits: int = 128) -> int:
-    """Bits in which SimHashes of shingle sets of this Jaccard similarity differ, and two standard deviations more."""
-    cosine = 2 * similarity / (1 + similarity)
-    share = math.acos(cosine) / math.pi
-    return int(bits * share + 2 * math.sqrt(bits * share * (1 - share)))
+def _labelled(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """``distinct`` with the ``label`` of each node's component."""
+    labelled = distinct.join(connected(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return materialise(labelled, "labelled-nodes")
+
+
+def _verified(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The links whose texts, ``texts(node, text)``, are as similar as that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(batch.column("text"), batch.column("other"), strict=True)
+            good = pa.array([similarity_of(x.as_py(), y.as_py(), words) >= similarity for x, y in sides], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    pairs = links.join(texts.toDF("a", "text"), "a").join(texts.toDF("b", "other"), "b")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
 def drop_near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, similarity: float = 0.8
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    config: PigeonringConfig = PigeonringConfig(),
 ) -> DataFrame:
     """``documents`` with one row of each group of near-duplicates, the one of the smallest id.
 
     A near copy of similarity 0.8 in five-word shingles has a few per cent of its words
-    changed. That moves a SimHash of shingles by some ten of 64 bits, but one of the
-    distinct words by four or so. So two SimHashes of the words, under different hashes, have
-    files with a budget of four, and a link counts if the 128-bit SimHashes of the shingles
-    are within what the similarity allows.
+    changed. That moves a SimHash of the shingles by some ten of 64 bits, but one of the
+    distinct words by four or so. So two SimHashes of the words, under different hashes,
+    have files, and links between them count if the shingle sets are as similar as asked.
+    A near copy is missed if both of its fingerprints are beyond the budget.
 
     Defined cases: texts without words are one group. Of equal ids the smaller text digest
     stays, of equal rows one. A null id comes last. An empty table gives an empty table.
@@ -290,19 +293,25 @@ def drop_near_duplicates(
     rows = documents.select(
         F.struct(*documents.columns).alias("row"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID_LAST)).alias("doc_id"),
-        text_digest(text).alias("digest"),
+        F.md5(F.coalesce(text, F.lit(""))).alias("digest"),
         text.cast("binary").alias("text"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = pa.array([signature(t.as_py(), words) for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), nodes], ["doc_id", "digest", "node"])
-
-    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, node binary")
-    prints = materialise(prints, "signatures")
-    halves = [F.conv(F.hex(F.substring("node", 1 + 8 * i, 8)), 16, -10).cast("long") for i in range(2)]
-    grouped = near_components(prints, PigeonringConfig(wide=wide_budget(similarity)), halves, "binary")
-    stays = grouped.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
+            both = np.array([word_fingerprints(t.as_py()) for t in batch.column("text")], np.uint64).reshape(-1, 2).view(np.int64)
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(both[:, 0]), pa.array(both[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "fp0", "fp1"])
+
+    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest string, fp0 long, fp1 long")
+    # A node is a text, under the smallest id that has it.
+    distinct = prints.groupBy("digest", "fp0", "fp1").agg(F.min("doc_id").alias("doc_id"))
+    distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
+    links = materialise(near_links(distinct, ["fp0", "fp1"], config).distinct(), "near-links")
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = distinct.join(linked, "node").select("node", "doc_id", "digest")
+    texts = rows.join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
+    labelled = _labelled(distinct, _verified(links, materialise(texts, "near-texts"), words, similarity))
+    stays = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
     kept = rows.select("row", "doc_id", "digest").join(stays, ["doc_id", "digest"], "left_semi")
     return kept.dropDuplicates(["doc_id", "digest"]).select("row.*")
