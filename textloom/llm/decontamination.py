@@ -141,7 +141,7 @@ def _find(batches: Iterator[pa.RecordBatch], phrases: Phrases, config: LeakConfi
 def _merge(spans: pd.Series) -> pd.Series:
     def one(found):
         out = []
-        for low, high in sorted((s["from_word"], s["to_word"]) for part in found for s in part):
+        for low, high in sorted((s["from_word"], s["to_word"]) for s in found):
             if out and low <= out[-1]["to_word"]:
                 out[-1]["to_word"] = max(out[-1]["to_word"], high)
             else:
@@ -194,7 +194,7 @@ def benchmark_spans(
     merged = F.pandas_udf(_merge, "array<struct<from_word:int,to_word:int>>")
     together = found.groupBy("doc_id", "digest").agg(
         F.max("n_words").alias("n_words"),
-        F.collect_list("spans").alias("spans"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     together = together.withColumn("spans", merged("spans"))

@@ -35,7 +35,7 @@ class MixtureConfig:
     repeats: int = 2
     min_slot_bits: int = 17
     max_block: int = 65_536
-    rows_per_part: int = 50_000
+    rows_per_part: int = 8_000
 
 
 @dataclass(frozen=True)

@@ -35,7 +35,7 @@ class ParsingConfig:
     """Phrases of ``min_phrase`` code points or more go into the sketch of ``sketch`` hashes.
     Chunks and buckets are sizes of work, neither changes a result."""
 
-    min_phrase: int = 16
+    min_phrase: int = 4
     sketch: int = 64
     chunk_chars: int = 1 << 19
     bucket_bytes: int = 32 << 20
