@@ -1,0 +1,184 @@
+"""Secret scans, chat formatting, fingerprints by parsing."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from textloom.llm import chat
+from textloom.llm.parsing import ParsingConfig, compare_with_next, edited_text, fingerprints, likeness
+from textloom.llm.secrets import find_secrets, scan_secrets
+from tests.llm.conftest import texts
+
+SECRET = 'api_key: "abcDEF123456789"'
+
+
+def brute_scan(text):
+    """The three patterns as they are written down."""
+    assign = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    return sorted(found + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16])
+
+
+def percent(text):
+    return "".join(f"%{b:02X}" for b in text.encode())
+
+
+ENCODERS = {
+    "percent": percent,
+    "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+    "entities": lambda t: "".join(f"&#{ord(c)};" for c in t),
+    "base64": lambda t: base64.b64encode(t.encode()).decode(),
+    "gzip": lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+    "zlib": lambda t: base64.urlsafe_b64encode(zlib.compress(t.encode())).decode(),
+}
+
+
+@pytest.mark.parametrize("names", [(a,) for a in ENCODERS] + [("percent", "base64"), ("base64", "gzip"), ("unicode", "percent"), ("zlib", "base64", "percent")])
+def test_layers_are_unwrapped(names):
+    hidden = SECRET
+    for name in names:
+        hidden = ENCODERS[name](hidden)
+    text = f"é before {hidden} after"
+    base, spans, layers = find_secrets(text)
+    assert base == brute_scan(text) and layers > 1 and set(base) <= set(spans)
+    low, _, high = next(s for s in spans if s[1] == 0)
+    begin = text.index(hidden)
+    assert begin <= low < high <= begin + len(hidden) and high - low >= 0.9 * len(hidden.rstrip("="))
+
+
+def test_part_of_a_layer_maps_to_its_own_place():
+    text = "x " + base64.b64encode(b"nothing here, then token=abcdefghijkl and more").decode()
+    _, [(low, kind, high)], _ = find_secrets(text)
+    assert kind == 0 and b"token=abcdefghijkl" in base64.b64decode(text[2:] + "=")[(low - 2) * 3 // 4 : (high - 2) * 3 // 4 + 1]
+    text = "pass%77ord=abc%64efghijklmn and pass%77ord=short"
+    assert find_secrets(text)[1] == [(0, 0, text.index(" and"))]
+
+
+def test_cycles_and_bombs_end():
+    assert find_secrets("%2541" * 50 + "%25" * 3)[2] > 2
+    bomb = base64.b64encode(zlib.compress(b"0" * 30_000_000 + b" password = abcdefghijklmnop")).decode()
+    _, spans, _ = find_secrets("see " + bomb)
+    assert (4, 0, 4 + len(bomb)) in spans
+
+
+def test_scan_against_the_patterns(make_docs, awkward):
+    rng = random.Random(7)
+    bits = ["password", "PassWD", '"', "'", "=", ":", "  ", "secret", "api_key", "APIKEY", "token", "abcdef0123456789", "AKIA", "ABCDEFGH0123456789", "é", "\n", "ſecret", "0f" * 9, "x-y/z+1.2=3", "toKen"]
+    pairs = [(k, "".join(rng.choice(bits) for _ in range(rng.randrange(30)))) for k in range(300)] + awkward
+    got = scan_secrets(make_docs(pairs)).collect()
+    assert len(got) == len(pairs)
+    told = sorted((repr(r.doc_id), r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got)
+    wanted = []
+    for i, t in pairs:
+        base = brute_scan(t or "")
+        line = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in base)
+        wanted.append((repr(i), *(sum(k == kind for _, k, _ in base) for kind in range(3)), hashlib.sha256(line.encode()).hexdigest()))
+    assert told == sorted(wanted)
+    assert scan_secrets(make_docs([])).collect() == []
+
+
+COSTS = chat.RepairCosts()
+
+
+def legal(roles):
+    state = chat.START
+    for r in roles:
+        if (state, r) not in chat.NEXT:
+            return False
+        state = r + 1
+    return state in (chat.START, chat.ASSISTANT)
+
+
+def brute_cost(given):
+    """Every relabelling and merging, then the fewest empty turns that make the rest legal."""
+    best = float("inf")
+    for roles in itertools.product(range(3), repeat=len(given)):
+        cost = sum(0 if r == g else COSTS.unknown if g == chat.UNKNOWN else COSTS.relabel for r, g in zip(roles, given, strict=True))
+        for merged in itertools.product((0, 1), repeat=max(0, len(given) - 1)):
+            if all(not m or roles[i] == roles[i + 1] for i, m in enumerate(merged)):
+                rest = [roles[0], *(r for r, m in zip(roles[1:], merged, strict=True) if not m)] if given else []
+                reach = {chat.START: 0}
+                for r in [*rest, None]:
+                    for _ in range(3):
+                        for s in list(reach):
+                            for put in range(3):
+                                if (s, put) in chat.NEXT:
+                                    reach[put + 1] = min(reach.get(put + 1, 99), reach[s] + 1)
+                    if r is not None:
+                        reach = {r + 1: c for s, c in sorted(reach.items(), key=lambda x: -x[1]) if (s, r) in chat.NEXT}
+                best = min(best, cost + sum(merged) * COSTS.merge + COSTS.insert * reach.get(chat.ASSISTANT, float("inf")))
+    return best
+
+
+@pytest.mark.parametrize("part_turns", [1, 3, 1024])
+def test_chats_cost_least_and_are_legal(spark, part_turns):
+    rng = random.Random(part_turns)
+    names = ["system", " User", "assistant", "tool", None]
+    rows = [(c, t, rng.choice(names), f"text {t}" if rng.random() < 0.9 else None) for c in range(30) for t in range(rng.randrange(1, 6))]
+    rows += [(None, None, "user", "lost"), (None, 0, "assistant", "found"), (40, 2, "user", "b"), (40, 2, "user", "a"), (40, 2, "user", "a")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS part", "'x' AS given", "0 AS conv")
+    got = chat.format_chats(turns, part_turns=part_turns).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (repr(r.conv_id), r.part, r.step)):
+        by.setdefault(r.conv_id, []).append(r)
+    given = {}
+    for c, t, r, x in sorted(rows, key=lambda r: (repr(r[0]), r[1] is not None, r[1] or 0)):
+        given.setdefault(c, []).append(chat.ROLES.index(r.strip().lower()) if r and r.strip().lower() in chat.ROLES else chat.UNKNOWN)
+    assert by.keys() == given.keys()
+    for c, steps in by.items():
+        if c != 40:
+            assert sum(s.cost for s in steps) == brute_cost(given[c])
+        assert legal([chat.ROLES.index(s.role) for s in steps if "merge" not in s.action])
+        assert sum(s.action != "insert" for s in steps) == len(given[c])
+        text = "".join(s.rendered for s in steps)
+        assert re.fullmatch(r"(?:<\|im_start\|>(system|user|assistant)\n(?:[^<]*)<\|im_end\|>\n)+", text)
+    assert "a\na\nb<|im_end|>" in "".join(s.rendered for s in by[40])
+    assert chat.format_chats(turns.limit(0)).collect() == []
+
+
+def test_equal_texts_and_shared_substrings():
+    base = texts(5, 3, 5000)
+    long = " ".join(texts(6, 30, 5000))
+    assert fingerprints([*base, *base])[:3] == fingerprints(base) == [fingerprints([b])[0] for b in base]
+    shifted = fingerprints([long, base[0] + long, long + base[1]])
+    assert likeness(shifted[0], shifted[1]) > 0.8 and likeness(shifted[0], shifted[2]) > 0.8
+    other = fingerprints([" ".join(texts(7, 30, 5000))])[0]
+    assert likeness(shifted[0], other) < 0.5 * likeness(shifted[0], fingerprints([edited_text(long, base[0] * 99)])[0])
+    empty = fingerprints(["", "", "a"])
+    assert empty[0] == empty[1] == "0" * 16 and likeness(empty[0], empty[1]) == 1 and likeness(empty[0], empty[2]) == 0
+    assert fingerprints([]) == []
+    assert len(set(fingerprints(["a", "aa", "aaa", "ab", "ba", "aab", "abab", "ababab", "\U0001f600"]))) == 9
+
+
+@pytest.mark.parametrize("config", [ParsingConfig(), ParsingConfig(bucket_bytes=2000, chunk_chars=500)])
+def test_next_documents(make_docs, awkward, config):
+    pairs = [(7 * k % 101, t) for k, t in enumerate(texts(9, 101))] + awkward
+    got = compare_with_next(make_docs(pairs).repartition(3), config=config).collect()
+    ordered = sorted(pairs, key=lambda p: (-(p[0] if p[0] is not None else -(2**63)), (p[1] or "").encode()))
+    own = fingerprints([t or "" for _, t in ordered])
+    wanted = []
+    for k, (i, t) in enumerate(ordered):
+        following = ordered[(k + 1) % len(ordered)][1] or ""
+        edited = edited_text(t or "", following)
+        new = fingerprints([edited])[0]
+        near = likeness(own[k], new), likeness(own[k], own[(k + 1) % len(ordered)])
+        wanted.append((repr(i), len(t or ""), hashlib.sha256(edited.encode()).hexdigest(), own[k], new, *near))
+    assert sorted((repr(r[0]), *r[1:]) for r in got) == sorted(wanted)
+
+
+def test_next_of_few(make_docs):
+    assert compare_with_next(make_docs([])).collect() == []
+    one = compare_with_next(make_docs([(5, "abcd")])).collect()
+    assert [(r.doc_id, r.n_chars, r.near_next) for r in one] == [(5, 4, 1.0)]
+    assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest()
+    assert np.isfinite(one[0].near_edited)
