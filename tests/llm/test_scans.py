@@ -142,7 +142,7 @@ def test_chats_cost_least_and_are_legal(spark, part_turns):
         assert sum(s.action != "insert" for s in steps) == len(given[c])
         text = "".join(s.rendered for s in steps)
         assert re.fullmatch(r"(?:<\|im_start\|>(system|user|assistant)\n(?:[^<]*)<\|im_end\|>\n)+", text)
-    assert "a\na\nb<|im_end|>" in "".join(s.rendered for s in by[40])
+    assert "user\na\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>" in "".join(s.rendered for s in by[40])
     assert chat.format_chats(turns.limit(0)).collect() == []
 
 

@@ -23,9 +23,11 @@ from textloom.llm.labelled import held_out, training_sample
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """``per_label`` bounds the labelled sample (rows per label); ``features`` is the width of the hashing."""
+    """``per_label`` bounds the labelled sample (rows per label), of which ``spanning`` rows make the latent
+    space; ``features`` is the width of the hashing."""
 
     per_label: int = 2_000
+    spanning: int = 1_500
     features: int = 4_096
     dimensions: int = 32
     neighbours: int = 15
@@ -150,9 +152,10 @@ def fit_quality(documents: DataFrame, labels: DataFrame, config: QualityConfig =
     weighted = _unit(np.log1p(counts) * idf)
     projection = np.zeros((width, 0), np.float32)
     if len(rows):
-        values, left = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
+        some = weighted[:: -(-len(weighted) // config.spanning)]
+        values, left = np.linalg.eigh((some @ some.T).astype(np.float64))
         top = [i for i in np.argsort(-values)[: config.dimensions] if values[i] > 1e-6]
-        projection = (weighted.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)).astype(np.float32)
+        projection = (some.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)).astype(np.float32)
     model = NeighbourModel(config, idf, projection, np.zeros((0, 0), np.float32), np.array([r.label for r in rows], np.float64), share)
     vectors = model.latent(counts).astype(np.float32) if len(rows) else np.zeros((0, 0), np.float32)
     return NeighbourModel(config, idf, projection, vectors, model.labels, share)

@@ -11,7 +11,6 @@ posterior trains a linear classifier on words and word beginnings, which scores
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.labelled import held_out, training_sample
+from textloom.storage import materialise
 
 LEXICON = (
     "idiot moron imbecile stupid dumb loser scum trash garbage worthless pathetic disgusting clown fool "
@@ -72,45 +72,51 @@ N_PATTERNS = 3
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t.as_py() for t in batch.column("text")]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc_id": batch.column("doc_id"),
-                "label": batch.column("label"),
-                "words": pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string())),
-                "patterns": pa.array([patterns(t) for t in texts], pa.list_(pa.bool_())),
-            }
-        )
+        held = [sorted({s for w in words_of(t) for s in stems(w)}) for t in texts]
+        columns = {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "stems": pa.array(held, pa.list_(pa.string()))}
+        yield pa.RecordBatch.from_pydict(columns | {"patterns": pa.array([patterns(t) for t in texts], pa.list_(pa.bool_()))})
+
+
+def _active(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the chosen stems that each sampled document has."""
+    numbers = {s: i for i, s in enumerate(names)}
+    for batch in batches:
+        active = [[numbers[s] for s in held if s in numbers] for held in batch.column("stems").to_pylist()]
+        yield batch.select(["doc_id", "label", "patterns"]).append_column("active", pa.array(active, pa.list_(pa.int32())))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def suspicious_stems(found: list[set[str]], labels: np.ndarray, most: int, evidence: float) -> list[str]:
-    """Stems that toxic documents have far more often than clean ones, the best first; labels are 1, 0 or -1 for none.
+def chosen_stems(sample: DataFrame, config: ToxicityConfig) -> tuple[list[str], list[str]]:
+    """Stems for the voters, and stems for the classifier, out of ``sample(label, stems)`` with labels 1, 0 or -1.
 
-    A stem needs a likelihood ratio of ``evidence`` against one common rate, as many are tried.
+    A voter is a stem that toxic documents have far more often than clean ones, with a
+    likelihood ratio of ``evidence`` against one common rate, as many stems are tried. The
+    classifier also gets what else tells the labels apart best.
     """
-    toxic, clean = Counter(), Counter()
-    for s, y in zip(found, labels, strict=True):
-        if y >= 0:
-            (toxic if y else clean).update(s)
-    n, m = int((labels == 1).sum()), int((labels == 0).sum())
+    rows = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n, m = rows.get(1, 0), rows.get(0, 0)
     if not n or not m:
-        return []
-    ratio = {}
-    for stem, k in toxic.items():
-        other = clean[stem]
-        expected = (k + other) * n / (n + m)
-        if k / n > 4 * (other + 0.5) / m:
-            ratio[stem] = 2 * (k * np.log(k / expected) + (other * np.log(other / (k + other - expected)) if other else 0))
-    good = [stem for stem in ratio if ratio[stem] >= evidence]
-    return sorted(good, key=lambda stem: (-ratio[stem], stem))[:most]
+        return [], []
+    known = sample.filter("label >= 0").select("label", F.explode("stems").alias("stem"))
+    counts = known.groupBy("stem").agg(F.sum("label").alias("k"), F.sum(1 - F.col("label")).alias("o")).filter("k + o >= 3")
+    k, o = F.col("k").cast("double"), F.col("o").cast("double")
+
+    def part(seen, share):
+        return F.when(seen > 0, seen * F.log(F.greatest(seen, F.lit(1.0)) / ((k + o) * share))).otherwise(0.0)
+
+    ratio = F.round(2 * (part(k, F.lit(n / (n + m))) + part(o, F.lit(m / (n + m)))), 6)
+    ranked = counts.withColumn("ratio", ratio).orderBy(F.desc("ratio"), "stem")
+    voters = ranked.filter((k / n > 4 * (o + 0.5) / m) & (F.col("ratio") >= config.evidence)).limit(config.voters)
+    others = ranked.filter("k + o >= 10").limit(config.features)
+    return [r.stem for r in voters.collect()], [r.stem for r in others.collect()]
 
 
 def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, config: ToxicityConfig) -> np.ndarray:
     """The posterior of label 1 per document, from ``votes[document, voter]`` and labels 1, 0 or -1."""
-    votes = votes.astype(np.float64)
+    votes = votes.astype(np.float32)
     known = labels >= 0
     fired = votes.any(axis=1)
     posterior = np.where(known, np.where(labels == 1, config.label_accuracy, 1 - config.label_accuracy), np.where(fired, 0.7, 0.05))
@@ -120,12 +126,13 @@ def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, config: Tox
         a = (posterior @ votes + 0.5) / (yes + 1)
         b = ((1 - posterior) @ votes + 0.5) / (no + 1)
         # What two voters have in common within the classes makes them repeat each other.
-        residual = votes - (posterior[:, None] * a + (1 - posterior)[:, None] * b)
-        spread = np.sqrt((residual**2).mean(axis=0)) + 1e-6
-        shared = (residual.T @ residual) / len(votes) / np.outer(spread, spread)
+        residual = votes - np.outer(posterior, a).astype(np.float32) - np.outer(1 - posterior, b).astype(np.float32)
+        shared = (residual.T @ residual).astype(np.float64) / len(votes)
+        spread = np.sqrt(np.diag(shared)) + 1e-6
+        shared /= np.outer(spread, spread)
         weight = 1 / np.maximum(1, np.where(shared > 0.1, shared, 0).sum(axis=1))
-        evidence = votes * (np.log(a / b) * weight) + (1 - votes) * (np.log((1 - a) / (1 - b)) * weight)
-        logit = base + evidence.sum(axis=1)
+        fires, silent = np.log(a / b) * weight, np.log((1 - a) / (1 - b)) * weight
+        logit = base + votes @ (fires - silent) + silent.sum()
         logit += np.where(known, np.where(labels == 1, 1, -1) * np.log(accuracy / (1 - accuracy)), 0)
         posterior = _sigmoid(logit)
         if known.any():
@@ -179,37 +186,29 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, config: ToxicityConfig
     others = others.orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id").limit(config.unlabelled)
     chosen = sample.unionByName(others.withColumn("label", F.lit(-1)))
     texts = documents.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    found = texts.mapInArrow(_sampled, "doc_id long, label int, words array<string>, patterns array<boolean>")
-    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.words))  # the bounded samples
-    y = np.array([r.label for r in rows], np.int64)
-    held = [{s for w in r.words for s in stems(w)} for r in rows]
-
-    return learned(held, np.array([r.patterns for r in rows], bool).reshape(-1, N_PATTERNS), y, share, config)
-
-
-def learned(held: list[set[str]], shapes: np.ndarray, y: np.ndarray, share: float, config: ToxicityConfig) -> ToxicityModel:
-    """The model from the stems and patterns of documents with labels 1, 0 or -1; ``share`` is that of label 1 in the corpus."""
-    if not len(held):
+    kind = "doc_id long, label int, stems array<string>, patterns array<boolean>"
+    held = materialise(texts.mapInArrow(_sampled, kind), "toxicity-sample")
+    voters, others = chosen_stems(held, config)
+    voters = list(dict.fromkeys([*LEXICON, *voters]))
+    names = [*voters, *sorted(set(others) - set(voters))]
+    found = held.mapInArrow(lambda b: _active(b, names), "doc_id long, label int, patterns array<boolean>, active array<int>")
+    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.active))  # the bounded samples
+    x = np.zeros((len(rows), len(names)), np.float32)
+    for i, row in enumerate(rows):
+        x[i, row.active] = 1
+    shapes = np.array([r.patterns for r in rows], np.float32).reshape(-1, N_PATTERNS)
+    return learned(x, shapes, np.array([r.label for r in rows], np.int64), names, len(voters), share, config)
+
+
+def learned(
+    x: np.ndarray, shapes: np.ndarray, y: np.ndarray, names: list[str], voters: int, share: float, config: ToxicityConfig
+) -> ToxicityModel:
+    """The model from which stems documents have (the first ``voters`` of ``names`` vote), their patterns, and labels
+    1, 0 or -1; ``share`` is that of label 1 in the corpus."""
+    if not len(x):
         return ToxicityModel(config, {s: 4.0 for s in LEXICON}, -2.0)
-    voters = list(dict.fromkeys([*LEXICON, *suspicious_stems(held, y, config.voters, config.evidence)]))
-    votes = np.zeros((len(held), len(voters) + N_PATTERNS))
-    for i, s in enumerate(held):
-        votes[i] = [*(v in s for v in voters), *shapes[i]]
     balance = float((y == 1).sum() + 0.5) / float((y >= 0).sum() + 1)
-    posterior = label_model(votes, y, balance, config)
-
-    seen, toxic = Counter(), Counter()
-    for s, p in zip(held, posterior, strict=True):
-        seen.update(s)
-        if p >= 0.5:
-            toxic.update(s)
-    rate = (posterior >= 0.5).mean()
-    gain = {s: abs(toxic[s] - rate * n) / np.sqrt(n) for s, n in seen.items() if n >= 10}
-    names = sorted({*voters, *sorted(gain, key=lambda s: (-gain[s], s))[: config.features]})
-    column = {s: i for i, s in enumerate(names)}
-    x = np.zeros((len(held), len(names)), np.float32)
-    for i, s in enumerate(held):
-        x[i, [column[t] for t in s if t in column]] = 1
+    posterior = label_model(np.hstack([x[:, :voters], shapes]), y, balance, config)
     start = np.where(np.isin(names, LEXICON), config.lexicon_weight, 0.0)
     weights, bias = linear_fit(x, posterior, start, config.ridge)
     # The sample has more toxic documents than the labels; the bias goes back to their share.
