@@ -158,6 +158,18 @@ def linear_fit(x: np.ndarray, target: np.ndarray, start: np.ndarray, ridge: floa
     return w[:-1], float(w[-1])
 
 
+def dividing_line(z: np.ndarray, y: np.ndarray, share: float) -> float:
+    """Where training labels are told apart with the fewest errors, given the share of label 1 in the corpus; the middle of the best places."""
+    order = np.argsort(z, kind="stable")
+    z, cost = z[order], np.where(y[order] == 1, share / (y == 1).sum(), -(1 - share) / (y == 0).sum())
+    errors = np.cumsum(cost)[:-1]  # a line behind the i-th loses the toxic ones before it and clears the clean ones
+    errors = np.where(z[1:] > z[:-1], errors, np.inf)
+    if not np.isfinite(errors).any():
+        return 0.0
+    best = np.flatnonzero(errors <= errors.min() + 1e-12)
+    return float((z[best[0]] + z[best[-1] + 1]) / 2)
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     config: ToxicityConfig
@@ -211,10 +223,8 @@ def learned(
     posterior = label_model(np.hstack([x[:, :voters], shapes]), y, balance, config)
     start = np.where(np.isin(names, LEXICON), config.lexicon_weight, 0.0)
     weights, bias = linear_fit(x, posterior, start, config.ridge)
-    # The sample has more toxic documents than the labels; the bias goes back to their share.
-    share = min(max(share, 1e-3), 1 - 1e-3)
-    if (y >= 0).any():
-        bias += np.log(share / (1 - share)) - np.log(balance / (1 - balance))
+    if (y == 0).any() and (y == 1).any():
+        bias -= dividing_line(x[y >= 0] @ weights + bias, y[y >= 0], min(max(share, 1e-3), 1 - 1e-3))
     return ToxicityModel(config, {s: float(w) for s, w in zip(names, weights, strict=True) if abs(w) > 1e-4}, float(bias))
 
 
