@@ -399,4 +399,35 @@ FROM sides d\n"""
     + """SELECT "Label", position, "ID", predicted_label FROM (
   SELECT s.*, row_number() OVER (PARTITION BY s."Label" ORDER BY c.conv_id DESC, c.turn DESC) AS position
   FROM scored s JOIN corpus c ON c."ID" = s."ID") WHERE position <= 20""",
+    "score_repeated_ids": _with(*BAYES_TURNS)
+    + """SELECT CASE WHEN c.turn % 5 <> 4 THEN c.conv_id END AS "ID", c.conv_id, c.turn, s.predicted_label,
+  round(s.p, 4) AS predicted_probability, NULL::VARCHAR AS error
+FROM scored s JOIN corpus c ON c."ID" = s."ID" """,
+    "explain_repeated_ids": _with(*BAYES_TURNS)
+    + """SELECT CASE WHEN c.turn % 5 <> 4 THEN c.conv_id END AS "ID", c.conv_id, c.turn, s.predicted_label,
+  s.features AS features_present_count
+FROM scored s JOIN corpus c ON c."ID" = s."ID" """,
+    "all_class_probabilities": _with(*BAYES_TURNS)
+    + """SELECT "ID", cls AS label, round(p, 4) AS probability FROM ranked""",
+    "lr_explain_terms": _with(*BAYES_TURNS, EXPLAINED) + """SELECT "ID", term, round(tfidf, 4) AS tfidf FROM contributions""",
+    "csv_reordered": """SELECT doc_id AS "ID", text AS "Text", lang AS "Label", source AS "Original_Label" FROM documents""",
+    "duplicate_id_members": """SELECT conv_id, turn, n AS copies
+FROM (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations) WHERE n > 1""",
+    "duplicate_cleaned_members": _with(DOCUMENTS, PREPARED)
+    + """SELECT "ID", n AS copies
+FROM (SELECT "ID", count(*) OVER (PARTITION BY "Cleaned_Text") AS n FROM prepared) WHERE n > 1""",
+    "production_refit": _with(
+        TURNS,
+        PREPARED,
+        """sides AS (SELECT "ID", "Label", "Cleaned_Text", 'train' AS split FROM prepared)""",
+        _tfidf(),
+    )
+    + """SELECT 'Logistic Regression (Balanced)' AS model, (SELECT string_agg(DISTINCT "Label", ',' ORDER BY "Label") FROM sides) AS classes,
+  (SELECT n::BIGINT FROM nd) AS training_documents, (SELECT count(*) FROM vocab) AS vocabulary_size""",
+    "lr_calibration": _with(TURNS, PREPARED, SPLIT)
+    + """SELECT "Label" AS label, round(count(*) / (SELECT count(*) FROM sides WHERE split = 'train'), 3) AS mean_probability
+FROM sides WHERE split = 'train' GROUP BY 1""",
+    "lr_balanced_calibration": _with(TURNS, PREPARED, SPLIT)
+    + """SELECT "Label" AS label, round(1.0::DOUBLE / (SELECT count(DISTINCT "Label") FROM sides WHERE split = 'train'), 3) AS mean_probability
+FROM sides WHERE split = 'train' GROUP BY 1""",
 }

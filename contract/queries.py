@@ -308,6 +308,24 @@ def q_csv_roundtrip(spark, sf_dir):
     return corpus.read_csv(spark, path)
 
 
+def q_csv_reordered(spark, sf_dir):
+    """Columns in another order and one more; they are found by name."""
+    path = new_path(spark, "corpus-csv")
+    rows = documents(spark, sf_dir).withColumn("More", F.lit("x"))
+    corpus.write_csv(rows.select("Text", "More", "Original_Label", "ID", "Label"), path)
+    return corpus.read_csv(spark, path)
+
+
+def q_duplicate_id_members(spark, sf_dir):
+    """All turns of conversations with more than one turn."""
+    turns = conversations(spark, sf_dir).select("conv_id", "turn")
+    return audit.duplicate_members(turns, "conv_id", as_text=False)
+
+
+def q_duplicate_cleaned_members(spark, sf_dir):
+    return audit.duplicate_members(prepared(spark, sf_dir), "Cleaned_Text").select("ID", "copies")
+
+
 # Features ---------------------------------------------------------------
 
 
@@ -514,6 +532,29 @@ def q_predict_and_explain(spark, sf_dir):
     )
 
 
+def _repeated_ids(rows: DataFrame) -> DataFrame:
+    """The conversation as id, which repeats, and none for every fifth turn."""
+    return rows.withColumn("ID", F.when(F.col("turn") % 5 != 4, F.col("conv_id")))
+
+
+def q_score_repeated_ids(spark, sf_dir):
+    rows = _repeated_ids(conversations(spark, sf_dir, spread=True))
+    scored = scoring.score_batch(turn_bayes(spark, sf_dir), rows)
+    return scored.select("ID", "conv_id", "turn", "predicted_label", "predicted_probability", "error")
+
+
+def q_explain_repeated_ids(spark, sf_dir):
+    rows = _repeated_ids(conversations(spark, sf_dir, spread=True))
+    record = scoring.score_and_explain(turn_bayes(spark, sf_dir), rows)
+    return record.select("ID", "conv_id", "turn", "predicted_label", "features_present_count")
+
+
+def q_all_class_probabilities(spark, sf_dir):
+    """Every class of every turn with its probability."""
+    scored = scoring.score_batch(turn_bayes(spark, sf_dir), conversations(spark, sf_dir, spread=True))
+    return scored.select("ID", F.explode("all_class_probabilities").alias("label", "probability"))
+
+
 def q_score_unseen(spark, sf_dir):
     """The language model applied to the benchmark table."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("ID"), F.col("text").alias("Text"))
@@ -525,7 +566,8 @@ def q_prediction_export(spark, sf_dir):
     report = export.prediction_report(scored, at=F.timestamp_seconds(F.col("ID")))
     path = new_path(spark, "report-csv")
     export.write_prediction_report(report, path)
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    read = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return read.toDF(*export.REPORT_COLUMNS)
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -578,6 +620,28 @@ def q_lr_train_eval(spark, sf_dir):
     return _evaluated(spark, sf_dir, turn_logistic(spark, sf_dir, False))
 
 
+def _calibration(spark, sf_dir, balanced: bool) -> DataFrame:
+    """Mean probability per class over the training rows, weighted as in the fit. Without a
+    penalty on the intercepts this is each class's share of the weight."""
+    predicted = turn_logistic(spark, sf_dir, balanced).predict(turn_side(spark, sf_dir, "train"), keep=["Label"])
+    if balanced:
+        weights = class_weights(turn_side(spark, sf_dir, "train")).select(F.col("label").alias("Label"), "weight")
+        predicted = predicted.join(weights, "Label")
+    else:
+        predicted = predicted.withColumn("weight", F.lit(1.0))
+    rows = predicted.select("weight", F.inline("ranking"))
+    mean = F.sum(F.col("weight") * F.col("probability")) / F.sum("weight")
+    return rows.groupBy("label").agg(F.round(mean, 3).alias("mean_probability"))
+
+
+def q_lr_calibration(spark, sf_dir):
+    return _calibration(spark, sf_dir, False)
+
+
+def q_lr_balanced_calibration(spark, sf_dir):
+    return _calibration(spark, sf_dir, True)
+
+
 def q_lr_balanced_train_eval(spark, sf_dir):
     return _evaluated(spark, sf_dir, turn_logistic(spark, sf_dir, True))
 
@@ -609,6 +673,12 @@ def q_lr_explain(spark, sf_dir):
     return scoring.explain_only(turn_logistic(spark, sf_dir, True), conversations(spark, sf_dir, spread=True))
 
 
+def q_lr_explain_terms(spark, sf_dir):
+    """What of an explanation does not depend on the weights: the terms and their TF-IDF."""
+    explained = turn_logistic(spark, sf_dir, True).explain(turn_side(spark, sf_dir, "test"))
+    return explained.select("ID", F.inline("all_present_features")).select("ID", "term", "tfidf")
+
+
 def q_lr_top_features(spark, sf_dir):
     return turn_logistic(spark, sf_dir, True).top_terms(20)
 
@@ -617,7 +687,8 @@ def q_production_refit(spark, sf_dir):
     rows = prepare.prepare(_turn_split(spark, sf_dir).assign(conversations(spark, sf_dir, spread=True)))
     path = new_path(spark, "production")
     training.train_production(rows, path)
-    return artifacts.read_metadata(spark, path)
+    fixed = artifacts.read_metadata(spark, path)
+    return fixed.select("model", F.array_join("classes", ",").alias("classes"), "training_documents", "vocabulary_size")
 
 
 def q_candidate_class_f1(spark, sf_dir):

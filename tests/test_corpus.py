@@ -31,6 +31,18 @@ def test_written_csv_starts_with_the_mark(spark, tmp_path):
     assert corpus.read_csv(spark, str(tmp_path / "out")).collect() == df.collect()
 
 
+def test_csv_columns_go_by_name_and_bad_rows_are_told(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("Text,More,Label,ID,Original_Label\nnews,x,A,7,a\nother,y,B,no number,b\n", encoding="utf-8-sig")
+    for multiline in (True, False):
+        rows = corpus.read_csv(spark, str(path), multiline=multiline, keep_corrupt=True).cache().collect()
+        assert [tuple(r)[:4] for r in rows] == [(7, "news", "A", "a"), (None, "other", "B", "b")]
+        assert [r[corpus.CORRUPT] is not None for r in rows] == [False, True]
+    (tmp_path / "less.csv").write_text("ID,Text\n1,a\n")
+    with pytest.raises(ValueError, match="Label"):
+        corpus.read_csv(spark, str(tmp_path / "less.csv"))
+
+
 def test_missing_source_fails_early(spark):
     with pytest.raises(AnalysisException):
         corpus.read_csv(spark, "/nonexistent/file.csv").schema
@@ -57,27 +69,57 @@ def copies(spark):
     return spark.createDataFrame(rows, "ID long, Text string, Label string")
 
 
-@pytest.mark.parametrize("hot_rows", [1_000, 100, 1])
-def test_duplicates_whatever_counts_as_hot(spark, hot_rows):
+def test_duplicates(spark):
     df = copies(spark)
-    members = audit.duplicate_members(df, "Text", hot_rows=hot_rows).select("ID", "copies").collect()
+    members = audit.duplicate_members(df, "Text").select("ID", "copies").collect()
     assert sorted(r.ID for r in members) == list(range(300)) and {r.copies for r in members} == {300}
     summary = audit.duplicate_summary(df, "Text").first()
     assert (summary.n_groups, summary.n_rows, summary.n_surplus) == (1, 300, 299)
 
 
+@pytest.mark.parametrize("as_text", [True, False])
+def test_missing_values_are_duplicates_of_each_other(spark, as_text):
+    schema = f"ID long, Text {'string' if as_text else 'long'}"
+    values = [None, None, "x", "x", "y", ""] if as_text else [None, None, 1, 1, 2, 3]
+    df = spark.createDataFrame(list(enumerate(values)), schema)
+    members = audit.duplicate_members(df, "Text", as_text=as_text).collect()
+    assert sorted((r.ID, r.copies) for r in members) == [(0, 2), (1, 2), (2, 2), (3, 2)]
+    assert audit.duplicate_summary(df, "Text", as_text=as_text).first().n_rows == 4
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [1, 3, 50])
-def test_skew_safe_lookup_is_a_join(spark, how, hot_rows):
+@pytest.mark.parametrize("salts", [1, 3, 50])
+def test_skew_safe_lookup_is_a_join(spark, how, salts):
     rows = spark.createDataFrame([(i, None if i % 7 == 0 else f"k{i % 5}") for i in range(60)], "rid int, key string")
     keyed = rows.filter("key is not null and key <> 'k4'").groupBy("key").agg(F.count("*").alias("n"))
     keyed = keyed.withColumn("v", F.upper("key"))
-    got = sizing.skew_safe_lookup(rows, keyed, "key", "rid", "n", how, hot_rows)
+    got = sizing.skew_safe_lookup(rows, keyed, "key", how, salts)
     want = rows.join(keyed, "key", how).select("rid", "key", "n", "v")
     key = lambda r: tuple(map(str, r))
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
 
 
+def test_an_unknown_key_of_most_rows_is_spread(spark):
+    rows = spark.range(8_000).select("id", F.when(F.col("id") % 10 == 0, "known").otherwise("unknown").alias("key"))
+    keyed = spark.createDataFrame([("known", 1)], "key string, v int").hint("shuffle_hash")
+    joined = sizing.skew_safe_lookup(rows.repartition(3), keyed, "key", "left", salts=64)
+    assert joined.filter("v = 1").count() == 800 and joined.count() == 8_000
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64("id", "key"), F.lit(64))).repartition(40, "key", "_salt")
+    assert max(r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()) < 8_000 / 8
+
+
+def test_quota_of_huge_counts(spark):
+    counts = {"a": 7 * 10**12 + 3, "b": 10**12 + 1, "c": 5}
+    got = {r.label: r.n_test for r in split.quota(spark.createDataFrame(list(counts.items()), "label string, n long"), 0.2).collect()}
+    total = sum(counts.values())
+    draws = -(-total // 5)
+    base = {x: draws * n // total for x, n in counts.items()}
+    order = sorted(counts, key=lambda x: (-(draws * counts[x] % total), x))
+    for x in order[: draws - sum(base.values())]:
+        base[x] += 1
+    assert got == base
+
+
 def test_bounds_are_enforced(spark):
     ten = spark.range(10)
     assert sizing.bounded(ten, 10, "rows").count() == 10
@@ -148,10 +190,9 @@ def test_split_is_the_seeded_order(spark, test_size, n):
     assert got == {i for x, v in by_label.items() for _, i in sorted(v)[: base[x]]}
 
 
-@pytest.mark.parametrize("hot_rows", [1_000, 10])
-def test_group_split_keeps_copies_together(spark, hot_rows):
+def test_group_split_keeps_copies_together(spark):
     df = prepare.prepare(copies(spark))  # one text has both labels
-    rows = split.group_split(df, hot_rows=hot_rows)
+    rows = split.group_split(df)
     assert rows.count() == 500
     assert audit.split_overlap(rows).first().n_overlap == 0
     assert rows.filter("Text = 'same'").select("split").distinct().count() == 1

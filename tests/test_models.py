@@ -82,10 +82,10 @@ def test_hot_terms_take_the_other_way(headlines):
     rows = tfidf.term_rows(headlines, tfidf.TfidfConfig(), tfidf.DEFAULT_COLUMNS, outer=True)
     model = tfidf.fit_tfidf(headlines)
     table = model.vocabulary.select("term", "df", "idf")
-    plain = tfidf.lookup_terms(rows, table, 1, "ID", True)
+    plain = tfidf.lookup_terms(rows, table, True)
     key = lambda r: tuple(map(str, r))
-    for hot in (1, 3, 100):
-        skewed = tfidf.lookup_terms(rows, table, 10**9, "ID", True, hot_rows=hot)
+    for salts in (1, 3, 16):
+        skewed = tfidf.lookup_terms(rows, table, True, max_bytes=0, salts=salts)
         columns = ["ID", "term", "tf", "df", "idf"]
         assert sorted(skewed.select(columns).collect(), key=key) == sorted(plain.select(columns).collect(), key=key)
 

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.operators import linear
-from textloom.operators.classifier import class_counts
 from textloom.plans import evaluation, preparation, scoring, training
 from textloom.sources import artifacts, corpus
 
@@ -26,9 +25,8 @@ def _sides(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = corpus.read_csv(spark, args.corpus) if args.corpus.endswith(".csv") else spark.read.parquet(args.corpus)
-    labels = args.labels or [label for label, _ in class_counts(raw)]
-    reports = preparation.prepare_corpus(raw, args.out, labels, args.test_size, args.seed, args.by_text)
+    raw = spark.read.parquet(args.corpus) if args.format == "parquet" else corpus.read_csv(spark, args.corpus)
+    reports = preparation.prepare_corpus(raw, args.out, args.labels, args.test_size, args.seed, args.by_text)
     for name in ("integrity", "distribution", "overlap", "written"):
         reports[name].show(truncate=False)
 
@@ -74,7 +72,8 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     preparing = stage(prepare, "corpus", "out")
-    preparing.add_argument("--labels", nargs="+", help="expected labels; left out, the ones found")
+    preparing.add_argument("--labels", nargs="+", required=True, help="expected labels; others fail the label check")
+    preparing.add_argument("--format", choices=("parquet", "csv"), default="parquet", help="of the corpus, a file or a folder")
     preparing.add_argument("--test-size", type=float, default=0.2)
     preparing.add_argument("--seed", type=int, default=42)
     preparing.add_argument("--by-text", action="store_true", help="keep copies of a text on one side")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
-from textloom.sizing import HOT_ROWS, per_class_table, skew_safe_lookup
+from textloom.sizing import per_class_table, skew_safe_lookup
 from textloom.storage import materialise
 
 
@@ -68,20 +68,16 @@ def duplicate_summary(df: DataFrame, column: str, as_text: bool = True) -> DataF
     )
 
 
-def duplicate_members(
-    df: DataFrame, column: str, id_column: str = "ID", as_text: bool = True, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def duplicate_members(df: DataFrame, column: str, as_text: bool = True) -> DataFrame:
     """All rows that share their value of ``column``, with the number of ``copies``.
 
-    A window over the value would pull one much-copied text into one task; the
-    counts are joined back instead, hot values by broadcast.
+    Missing values are equal, as in :func:`duplicate_summary`. A window over the value would
+    pull one much-copied text into one task; the counts are joined back instead.
     """
-    key = digest(column) if as_text else F.col(column)
-    keyed = df.withColumn("_value", key)
+    value = digest(column) if as_text else F.concat(F.lit("v"), F.col(column).cast("string"))
+    keyed = df.withColumn("_value", F.coalesce(value, F.lit("none")))
     groups = keyed.groupBy("_value").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    return skew_safe_lookup(
-        keyed, groups, "_value", id_column, "copies", hot_rows=hot_rows
-    ).drop("_value")
+    return skew_safe_lookup(keyed, groups, "_value").drop("_value")
 
 
 def label_conflicts(df: DataFrame, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:

@@ -52,7 +52,7 @@ class TextClassifier:
 
     def weighted_terms(self, df: DataFrame, keep: list[str]) -> DataFrame:
         rows = term_rows(df, self.config, self.columns, keep, outer=True)
-        known = lookup_terms(rows, self.terms, self.n_terms, self.columns.id, outer=True, weights=len(self.labels))
+        known = lookup_terms(rows, self.terms, outer=True)
         return known.withColumn("raw", self.config.term_weight() * F.col("idf"))
 
     def _sums(self) -> list[Column]:
@@ -83,7 +83,8 @@ class TextClassifier:
         """One row per document: id, ``keep``, the label, its probability, all classes ranked.
 
         ``keep`` is for small columns that travel along, such as the true label.
-        Models without probabilities give NULL ones.
+        Models without probabilities give NULL ones. Rows of one id are one document;
+        :mod:`textloom.plans.scoring` scores tables whose ids repeat or are missing.
         """
         keep = list(keep)
         sums = self.weighted_terms(df, keep).groupBy(self.columns.id, *keep).agg(*self._sums())

@@ -100,6 +100,7 @@ def logistic_estimator(n_rows: int, c: float = 1.0, max_iter: int = 2000) -> Log
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=1e-8,  # the default stops before the fourth decimal of the weights stands still
     )
 
 

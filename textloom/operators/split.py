@@ -11,6 +11,7 @@ assigned by comparing its own key with one value per label, without a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.operators.audit import digest
 from textloom.sizing import (
-    HOT_ROWS,
     MAX_CLASSES,
     per_class_table,
     bounded_broadcast,
@@ -39,14 +39,24 @@ def order_key(id_column: str, seed: int) -> Column:
 def split_quota(df: DataFrame, test_size: float = 0.2, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Test rows per label: ``ceil(test_size * N)`` rows shared out by largest remainder."""
     counts = df.groupBy(F.col(columns.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return quota(counts, test_size)
+
+
+def quota(counts: DataFrame, test_size: float) -> DataFrame:
+    """``label, n, n_train, n_test`` out of ``label, n``. Products of two counts are decimals, as they
+    exceed 64 bits from some billions of rows."""
+    whole = "decimal(38,0)"
+    total = F.sum(F.col("n").cast("decimal(19,0)")).over(per_class_table()).cast("decimal(19,0)")
+    draws = F.ceil(F.col("_total") * F.lit(Decimal(str(test_size)))).cast("decimal(19,0)")
     shares = (
-        counts.withColumn("_total", F.sum("n").over(per_class_table()))
-        .withColumn("_draws", F.ceil(F.col("_total") * F.lit(test_size)).cast("long"))
-        .withColumn("_base", F.floor(F.col("_draws") * F.col("n") / F.col("_total")).cast("long"))
-        .withColumn("_remainder", F.col("_draws") * F.col("n") - F.col("_base") * F.col("_total"))
+        counts.withColumn("_total", total)
+        .withColumn("_draws", draws)
+        .withColumn("_product", (F.col("_draws") * F.col("n").cast("decimal(19,0)")).cast(whole))
+        .withColumn("_base", F.expr("_product div cast(_total as decimal(38,0))"))
+        .withColumn("_remainder", F.col("_product") - (F.col("_base").cast("decimal(19,0)") * F.col("_total")).cast(whole))
     )
     by_remainder = per_class_table().orderBy(F.desc("_remainder"), F.asc("label"))
-    left_over = F.col("_draws") - F.sum("_base").over(per_class_table())
+    left_over = F.col("_draws").cast("long") - F.sum("_base").over(per_class_table())
     extra = (F.row_number().over(by_remainder) <= left_over).cast("long")
     return shares.select("label", "n", (F.col("_base") + extra).alias("n_test")).select(
         "label", "n", (F.col("n") - F.col("n_test")).alias("n_train"), "n_test"
@@ -117,7 +127,6 @@ def group_split(
     test_size: float = 0.2,
     seed: int = 42,
     columns: Columns = DEFAULT_COLUMNS,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """A split in which all copies of a cleaned text land on the same side.
 
@@ -125,12 +134,7 @@ def group_split(
     follow their text.
     """
     keyed = prepared.withColumn("_digest", digest(columns.cleaned))
-    groups = materialise(
-        keyed.groupBy("_digest").agg(F.min(columns.label).alias("_stratum"), F.count(F.lit(1)).alias("_copies")),
-        "text-groups",
-    )
+    groups = materialise(keyed.groupBy("_digest").agg(F.min(columns.label).alias("_stratum")), "text-groups")
     by_text = Columns(id="_digest", label="_stratum")
-    sides = stratified_split(groups, test_size, seed, by_text).select("_digest", "_copies", "split")
-    return skew_safe_lookup(
-        keyed, sides, "_digest", columns.id, "_copies", hot_rows=hot_rows
-    ).drop("_digest", "_copies")
+    sides = stratified_split(groups, test_size, seed, by_text).select("_digest", "split")
+    return skew_safe_lookup(keyed, sides, "_digest").drop("_digest")

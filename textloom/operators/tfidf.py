@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.functions.text import cleaned_term_counts
-from textloom.sizing import BYTES_PER_TERM, HOT_ROWS, MAX_BROADCAST_BYTES, skew_safe_lookup
+from textloom.sizing import MAX_BROADCAST_BYTES, SALTS, skew_safe_lookup
 from textloom.storage import materialise, new_path
 
 
@@ -76,8 +76,6 @@ class TfidfModel:
         looked_up = lookup_terms(
             term_rows(df, self.config, self.columns, keep, outer),
             self.vocabulary.select("term", "df", "idf"),
-            self.n_terms,
-            self.columns.id,
             outer,
         )
         return looked_up.withColumn("raw", self.config.term_weight() * F.col("idf"))
@@ -108,8 +106,6 @@ class TfidfModel:
         terms = lookup_terms(
             term_rows(placed, self.config, self.columns, keep, outer=True),
             indexed.select("term", "df", "idf", "idx"),
-            self.n_terms,
-            self.columns.id,
             outer=True,
         ).withColumn("raw", self.config.term_weight() * F.col("idf"))
         known = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
@@ -120,7 +116,7 @@ class TfidfModel:
         parts = F.struct(
             F.lit(0).cast("byte").alias("type"),
             F.lit(self.n_terms).cast("int").alias("size"),
-            F.col("entries.idx").alias("indices"),
+            F.transform("entries.idx", lambda i: i.cast("int")).alias("indices"),
             F.transform(F.col("entries.raw"), lambda x: x / F.col("length")).alias("values"),
         )
         written = documents.select(self.columns.id, *keep, parts.alias("features"))
@@ -136,24 +132,25 @@ def by_document(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def lookup_terms(
-    terms: DataFrame,
-    table: DataFrame,
-    n_terms: int,
-    id_column: str,
-    outer: bool,
-    weights: int = 0,
-    hot_rows: int = HOT_ROWS,
+    terms: DataFrame, table: DataFrame, outer: bool, max_bytes: int = MAX_BROADCAST_BYTES, salts: int = SALTS
 ) -> DataFrame:
-    """Join terms to a per-term table that has a ``df`` column and maybe ``weights`` numbers.
+    """Join terms to a per-term table.
 
-    Up to ``MAX_BROADCAST_BYTES``, by the counted terms, the table travels to
-    every executor. A larger one is joined by shuffle, with the terms that occur
-    in very many documents taken out of it.
+    Up to ``max_bytes``, as measured, the table travels to every executor. A larger one is
+    joined by shuffle, with frequent terms split.
     """
     how = "left" if outer else "inner"
-    if n_terms * (BYTES_PER_TERM + 8 * weights) <= MAX_BROADCAST_BYTES:
+    if table_bytes(table) <= max_bytes:
         return terms.join(F.broadcast(table), "term", how)
-    return skew_safe_lookup(terms, table, "term", id_column, "df", how, hot_rows)
+    return skew_safe_lookup(terms, table, "term", how, salts)
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of a per-term table in memory: its terms, and 8 for each number, at the least."""
+    numbers = F.lit(0)
+    for column, kind in table.dtypes:
+        numbers = numbers + (F.size(column) * 8 if kind.startswith("array") else F.lit(16))
+    return table.agg(F.sum(F.octet_length("term") + numbers)).first()[0] or 0
 
 
 def fit_tfidf(df: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Columns = DEFAULT_COLUMNS) -> TfidfModel:
@@ -208,7 +205,7 @@ def with_sorted_position(df: DataFrame, name: str, *order: Column) -> DataFrame:
     within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, (F.col("_before") + within).cast("int"))
+        .withColumn(name, F.col("_before") + within)
         .drop("_part", "_at", "_before")
     )
 

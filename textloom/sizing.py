@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# A class list, or anything with one row per class.
+# A class list, or anything with one row per class. Class lists travel to the driver, into
+# plans and into one window, so a column that is no label column has to fail early.
 MAX_CLASSES = 1_000
-# A per-term table up to this size is sent to every executor.
+# A table of this measured size is sent to every executor.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-BYTES_PER_TERM = 64
-# A key with at least this many rows is joined by broadcast instead of by shuffle.
-HOT_ROWS = 1_000_000
-# N rows hold at most N / HOT_ROWS hot keys; the join fails loudly beyond this.
-MAX_HOT_KEYS = 1_000_000
+# A key of a skew-safe join is split so many ways.
+SALTS = 16
 
 
 def per_class_table() -> WindowSpec:
@@ -22,11 +20,15 @@ def per_class_table() -> WindowSpec:
 
 
 def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """``df`` unchanged, but the running job fails when it has more than ``max_rows`` rows."""
+    """``df`` unchanged, but the running job fails when it has more than ``max_rows`` rows.
+
+    Only one row more than that is ever brought together to find out.
+    """
     size = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    over = F.raise_error(F.concat(F.lit(f"too many {what}: more than {max_rows}, found "), F.col("_size").cast("string")))
+    over = F.raise_error(F.lit(f"too many {what}: more than {max_rows}"))
     return (
-        df.withColumn("_size", size)
+        df.limit(max_rows + 1)
+        .withColumn("_size", size)
         .filter(F.when(F.col("_size") > max_rows, over.cast("boolean")).otherwise(F.lit(True)))
         .drop("_size")
     )
@@ -44,44 +46,15 @@ def bounded_collect(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
-def skew_safe_lookup(
-    rows: DataFrame,
-    keyed: DataFrame,
-    key: str,
-    row_id: str,
-    copies: str,
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join ``rows`` to a table with one row per ``key`` whose ``copies`` column
-    says how many rows carry that key.
+def skew_safe_lookup(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """Join ``rows`` to a table with one row per ``key``, with every key split ``salts`` ways.
 
-    Keys with ``hot_rows`` copies or more come from a broadcast, and there are
-    few of them by construction. All others go through a shuffle in which no key
-    is large. Rows of hot keys and of no key take part in that shuffle under
-    a key of their own, so they spread evenly.
+    The keyed table is repeated once per salt and a row picks its salt from a hash of all
+    its columns, so a key that owns most rows, known to the table or not, is spread over
+    that many tasks; adaptive execution splits further. Nothing is broadcast, and no count
+    of hot keys has to fit anywhere. Null keys match nothing.
     """
-    payload = [c for c in keyed.columns if c not in (key, copies)]
-    hot = bounded_broadcast(
-        keyed.filter(F.col(copies) >= hot_rows).select(
-            F.col(key), F.struct(F.col(copies), *payload).alias("_hot")
-        ),
-        MAX_HOT_KEYS,
-        "hot keys",
-    )
-    cold = keyed.filter(F.col(copies) < hot_rows).select(
-        F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"),
-        F.struct(F.col(copies), *payload).alias("_cold"),
-    )
-    spread = F.when(
-        F.col("_hot").isNull() & F.col(key).isNotNull(), F.concat(F.lit("k"), F.col(key).cast("string"))
-    ).otherwise(F.concat(F.lit("r"), F.col(row_id).cast("string")))
-    joined = (
-        rows.join(hot, key, "left")
-        .withColumn("_key", spread)
-        .join(cold, "_key", "left")
-        .withColumn("_found", F.coalesce("_hot", "_cold"))
-    )
-    if how == "inner":
-        joined = joined.filter(F.col("_found").isNotNull())
-    return joined.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in [copies, *payload]])
+    payload = [c for c in keyed.columns if c != key]
+    copies = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    return salted.join(copies, [key, "_salt"], how).select(*rows.columns, *payload)

@@ -13,20 +13,32 @@ SPLITS = ("train", "test")
 BYTE_ORDER_MARK = "\ufeff"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEMA) -> DataFrame:
-    """A CSV with header, quoted line breaks, doubled quotes and perhaps a byte-order mark.
+CORRUPT = "_corrupt_record"
 
-    Columns are found by position under the declared schema, so nothing is read
-    twice to infer types. A missing path fails when the plan is built.
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEMA, multiline: bool = True, keep_corrupt: bool = False
+) -> DataFrame:
+    """A CSV with header, doubled quotes and perhaps a byte-order mark.
+
+    Columns are found by their names in the header, in whatever order; a column the file
+    lacks is an error, as is a missing path. ``keep_corrupt`` adds ``_corrupt_record`` with
+    the line of every row whose values do not fit the schema (its bad values are NULL), so
+    that an audit can count them. With ``multiline`` values may hold line breaks, and each
+    file is one task; without it, large files are split.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", True)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    header = [name.removeprefix(BYTE_ORDER_MARK) for name in reader.csv(path).columns]
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    fields = {f.name: f for f in schema.fields}
+    found = [fields.get(name, T.StructField(name, T.StringType())) for name in header]
+    kept = [*schema.names, *([CORRUPT] if keep_corrupt else [])]
+    if keep_corrupt:
+        found.append(T.StructField(CORRUPT, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(T.StructType(found)).option("enforceSchema", True).csv(path).select(*kept)
 
 
 def read_parquet(spark: SparkSession, path: str, mapping: dict[str, str], spread_by: str | None = None) -> DataFrame:
@@ -48,14 +60,14 @@ def spread(scan: DataFrame, by: str) -> DataFrame:
     return scan.repartition(2 * cores, by)
 
 
-def _with_mark(df: DataFrame) -> DataFrame:
+def with_mark(df: DataFrame) -> DataFrame:
     """The first column's name starts with the mark, so every written file does."""
     return df.withColumnRenamed(df.columns[0], BYTE_ORDER_MARK + df.columns[0])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV whose files start with a byte-order mark, as spreadsheet programs expect."""
-    _with_mark(df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    with_mark(df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def _split_columns(df: DataFrame) -> list[str]:
@@ -66,7 +78,7 @@ def write_splits(df: DataFrame, path: str, split: str = "split", as_csv: bool =
     """The corpus columns under ``split=train`` and ``split=test``, in one pass over the rows."""
     rows = df.select(*_split_columns(df), F.col(split).alias("split"))
     if as_csv:
-        writer = _with_mark(rows).write.option("header", True).option("escape", '"').option("emptyValue", "")
+        writer = with_mark(rows).write.option("header", True).option("escape", '"').option("emptyValue", "")
         writer.mode("overwrite").partitionBy("split").csv(path)
     else:
         rows.write.mode("overwrite").partitionBy("split").parquet(path)
@@ -79,7 +91,8 @@ def read_split(
     folder = f"{path}/split={side}"
     if as_csv:
         fields = {f.name: f for f in CORPUS_SCHEMA.fields}
-        schema = T.StructType([fields.get(c, T.StructField(c, T.StringType())) for c in PREPARED_COLUMNS])
+        wanted = (columns.id, columns.cleaned, columns.label)
+        schema = T.StructType([fields.get(c, T.StructField(c, T.StringType())) for c in wanted])
         table = read_csv(spark, folder, schema)
     else:
         table = spark.read.parquet(folder)

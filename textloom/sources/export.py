@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.profile import percentage
+from textloom.sources.corpus import BYTE_ORDER_MARK
 
 # Report columns.
 REPORT_COLUMNS = ["Headline", "Predicted Category", "Model Probability", "Top 1", "Top 2", "Top 3", "Timestamp"]
@@ -33,5 +37,15 @@ def prediction_report(scored: DataFrame, text: str = "Text", at: Column | None =
 
 
 def write_prediction_report(report: DataFrame, path: str) -> None:
-    """All values quoted, quotes doubled."""
-    report.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    """CSV with all values quoted and quotes doubled. Every file starts with a byte-order mark
+    and the header, as spreadsheet programs expect; Spark's CSV writer would quote the mark."""
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in report.columns]
+    header = BYTE_ORDER_MARK + ",".join(f'"{c}"' for c in report.columns)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+
+    lines = report.select(F.concat_ws(",", *quoted).alias("value"))
+    lines.mapInArrow(headed, "value string").write.mode("overwrite").text(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,11 +32,15 @@ def start_scoring(
     """Score every micro-batch with the batch plan and append the records as Parquet.
 
     A batch owns one folder and overwrites it when it is replayed after a
-    failure, so no record is lost or doubled. The work keeps no state.
+    failure, so no record is lost or doubled. Batch numbers start over with a new
+    checkpoint, so the folder is named after the checkpoint too: a query started afresh on
+    the same output adds to it. The work keeps no state.
     """
+    run = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score_batch(classifier, batch, top_k).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        path = f"{output}/run=r{run}/batch_id={batch_id}"
+        score_batch(classifier, batch, top_k).write.mode("overwrite").parquet(path)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
