@@ -109,13 +109,14 @@ def fingerprint(text: bytes | None, words: int = 4) -> int:
     return int.from_bytes(_majority([digest(s, SEED) for s in shingles(found, words)]), "big")
 
 
-def word_fingerprints(text: bytes | None) -> tuple[int, int]:
-    """Two 64-bit SimHashes of the distinct words, under different hashes; zeros without words."""
+def word_fingerprints(text: bytes | None, seeds: int) -> list[int]:
+    """64-bit SimHashes of the distinct words, one under each seed; zeros without words."""
     found = set(words_of(text))
     if not found:
-        return 0, 0
-    both = _majority([xxhash.xxh3_128_digest(w) for w in found])
-    return int.from_bytes(both[:8], "big"), int.from_bytes(both[8:], "big")
+        return [0] * seeds
+    digest = xxhash.xxh64_digest
+    bits = _majority([b"".join([digest(w, seed) for seed in range(seeds)]) for w in found])
+    return [int.from_bytes(bits[8 * i : 8 * i + 8], "big") for i in range(seeds)]
 
 
 def similarity_of(a: bytes | None, b: bytes | None, words: int) -> float:
@@ -275,15 +276,16 @@ def drop_near_duplicates(
     text_column: str = "text",
     words: int = 5,
     similarity: float = 0.8,
-    config: PigeonringConfig = PigeonringConfig(),
+    seeds: int = 2,
+    config: PigeonringConfig = PigeonringConfig(budget=6, boxes=7),
 ) -> DataFrame:
     """``documents`` with one row of each group of near-duplicates, the one of the smallest id.
 
     A near copy of similarity 0.8 in five-word shingles has a few per cent of its words
     changed. That moves a SimHash of the shingles by some ten of 64 bits, but one of the
-    distinct words by four or so. So two SimHashes of the words, under different hashes,
-    have files, and links between them count if the shingle sets are as similar as asked.
-    A near copy is missed if both of its fingerprints are beyond the budget.
+    distinct words by four or so. So SimHashes of the words under some ``seeds`` have files,
+    and links between them count if the shingle sets are as similar as asked. A near copy
+    is missed if all of its fingerprints are beyond the budget.
 
     Defined cases: texts without words are one group. Of equal ids the smaller text digest
     stays, of equal rows one. A null id comes last. An empty table gives an empty table.
@@ -299,15 +301,17 @@ def drop_near_duplicates(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = np.array([word_fingerprints(t.as_py()) for t in batch.column("text")], np.uint64).reshape(-1, 2).view(np.int64)
-            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(both[:, 0]), pa.array(both[:, 1])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "fp0", "fp1"])
+            fps = np.array([word_fingerprints(t.as_py(), seeds) for t in batch.column("text")], np.uint64).reshape(-1, seeds)
+            columns = [batch.column("doc_id"), batch.column("digest"), *map(pa.array, fps.view(np.int64).T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", *names])
 
-    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest string, fp0 long, fp1 long")
+    names = [f"fp{i}" for i in range(seeds)]
+    kind = ", ".join(["doc_id long", "digest string", *(f"{n} long" for n in names)])
+    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, kind)
     # A node is a text, under the smallest id that has it.
-    distinct = prints.groupBy("digest", "fp0", "fp1").agg(F.min("doc_id").alias("doc_id"))
+    distinct = prints.groupBy("digest", *names).agg(F.min("doc_id").alias("doc_id"))
     distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
-    links = materialise(near_links(distinct, ["fp0", "fp1"], config).distinct(), "near-links")
+    links = materialise(near_links(distinct, names, config).distinct(), "near-links")
     linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = distinct.join(linked, "node").select("node", "doc_id", "digest")
     texts = rows.join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
