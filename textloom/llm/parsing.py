@@ -33,12 +33,14 @@ _WEIGHTS = np.random.default_rng(2024).integers(1, 2**63, 64, dtype=np.uint64) |
 @dataclass(frozen=True)
 class ParsingConfig:
     """Phrases of ``min_phrase`` code points or more go into the sketch of ``sketch`` hashes.
-    Chunks and buckets are sizes of work, neither changes a result."""
+    Chunks and buckets are sizes of work, neither changes a result; a bucket is streamed, so it may
+    be larger where ``most_buckets`` of them are not enough."""
 
     min_phrase: int = 4
     sketch: int = 64
-    chunk_chars: int = 1 << 19
-    bucket_bytes: int = 32 << 20
+    chunk_chars: int = 1 << 17
+    bucket_bytes: int = 4 << 20
+    most_buckets: int = 100_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -198,7 +200,7 @@ def compare_with_next(
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    wanted = max(1, -(-size // config.bucket_bytes))
+    wanted = min(max(1, -(-size // config.bucket_bytes)), config.most_buckets)
     share = [i / wanted for i in range(1, wanted)]
     cuts = rows.agg(F.percentile_approx("_order", share, max(10_000, 100 * wanted))).first()[0] if share else []
     bounds = np.array(sorted(set(cuts or [])), np.int64)
