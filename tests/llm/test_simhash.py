@@ -123,3 +123,36 @@ def test_one_of_each_group_stays(make_docs, awkward):
         for i, t in [(1, None), (-9, "a b c d e"), (4, "one"), (4, "two other words here"), awkward[8], awkward[10], awkward[11]]
     )
     assert drop_near_duplicates(make_docs([])).collect() == []
+
+
+def shingled(text, words=5):
+    found = lowered(text).split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def stay_by_brute_force(pairs):
+    sets = [shingled(t) for _, t in pairs]
+
+    def similar(i, j):
+        return len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+
+    return set(brute_components([i for i, _ in pairs], similar))
+
+
+def edited(rng, words):
+    """A block appended, replaced, cut or put in front, up to what the similarity allows."""
+    share = rng.uniform(0.05, 0.2)
+    new = [f"new{rng.randrange(10**6)}" for _ in range(max(1, int(share * len(words))))]
+    at, half = rng.randrange(len(words)), max(1, len(new) // 2)
+    return rng.choice([words + new, new + words, words[: len(words) - len(new)], words[:at] + new[:half] + words[at + half :]])
+
+
+def test_block_edits_are_found_without_allowance(make_docs):
+    rng, pairs = random.Random(17), []
+    for text in texts(18, 60, 3000):
+        words = text.split() * rng.choice([1, 1, 1, 3])
+        for variant in (words, edited(rng, words), edited(rng, words)):
+            pairs.append((len(pairs), " ".join(variant)))
+    stays = stay_by_brute_force(pairs)
+    assert len(pairs) - len(stays) > 40
+    assert {r.doc_id for r in drop_near_duplicates(make_docs(pairs)).collect()} == stays

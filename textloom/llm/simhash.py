@@ -16,6 +16,7 @@ yet, so a file of many near copies costs and gives about one link each, not all
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -35,6 +36,12 @@ SEED = 42
 BLOCK = 65_536
 # Files up to this size are compared by shifts over a whole batch, larger ones one by one.
 SMALL_FILE = 16
+# Hashes of shingles that a task holds before it passes them on.
+HASHES = 1 << 21
+# Shingles put last in the order of a prefix: at most so many, each in so many texts of a block or more.
+FREQUENT, OFTEN = 100_000, 4
+PARITY_BITS = 1024
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -270,6 +277,183 @@ def _verified(links: DataFrame, texts: DataFrame, words: int, similarity: float)
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def shingle_set(text: bytes | None, words: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles; texts without words have one of their own."""
+    found = words_of(text)
+    if not found:
+        return np.ones(1, np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    n = max(1, len(found) - words + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(min(words, len(found))):
+        out = (out ^ hashes[i : i + n]) * MIX
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def _parity(hashes: np.ndarray) -> bytes:
+    """Bits that each hash turns over one of: two sets differ in as many hashes as bits, or in more."""
+    return np.packbits(np.bincount((hashes >> np.uint64(7)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1).tobytes()
+
+
+def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of frequent shingles, sorted, and their ranks by frequency.
+
+    They only say in which order a text's shingles are taken. Any order finds all pairs; this
+    one keeps files small, so counts may leave out what is rare in a block of texts.
+    """
+
+    def counted(hashes: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(hashes), return_counts=True)
+        often = n >= OFTEN
+        return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, total = [], 0
+        for batch in batches:
+            for text in batch.column("text"):
+                hashes.append(shingle_set(text.as_py(), words))
+                total += len(hashes[-1])
+                if total >= HASHES:
+                    yield counted(hashes)
+                    hashes, total = [], 0
+        if hashes:
+            yield counted(hashes)
+
+    counts = texts.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
+    h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    rank = np.empty(len(h), np.int64)
+    rank[np.lexsort((h, n))] = np.arange(len(h))
+    by_hash = np.argsort(h)
+    return h[by_hash], rank[by_hash]
+
+
+def _prefix(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles in the common order: two sets as similar as that share one of them."""
+    n = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    if not len(frequent[0]):
+        return hashes[:n]
+    at = np.minimum(np.searchsorted(frequent[0], hashes), len(frequent[0]) - 1)
+    known = frequent[0][at] == hashes
+    rare = hashes[~known][:n]
+    if len(rare) == n:
+        return rare
+    return np.concatenate([rare, hashes[known][np.argsort(frequent[1][at[known]])[: n - len(rare)]]])
+
+
+def shared_prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``(file, node)`` over ``texts(node, text)``: the nodes that share a shingle of their prefixes.
+
+    Hashes travel packed, 12 bytes each. Files of the same nodes are one, so near copies, which
+    share many shingles, meet once. Nodes may repeat.
+    """
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
+    buckets = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = np.dtype([("key", "<u4"), ("node", "<i8")])
+
+    def packs(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+        key = np.concatenate(keys)
+        rows = np.empty(len(key), packed)
+        rows["key"], rows["node"] = key & np.uint64(2**32 - 1), np.repeat(nodes, [len(k) for k in keys])
+        bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        found, first = np.unique(bucket[order], return_index=True)
+        values = [r.tobytes() for r in np.split(rows[order], first[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(values, pa.binary())], ["bucket", "packed"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, seen, total = [], {}, 0
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                if node in seen:
+                    continue
+                seen[node] = None
+                keys.append(_prefix(shingle_set(text.as_py(), words), frequent.value, similarity))
+                total += len(keys[-1])
+                if total >= HASHES:
+                    yield packs(keys, list(seen))
+                    keys, seen, total = [], {}, 0
+        if keys:
+            yield packs(keys, list(seen))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["bucket"]):
+            rows = np.unique(np.frombuffer(b"".join(table.column("packed").to_pylist()), packed))
+            new = np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(rows)))
+            node = rows["node"].view(np.int64) if rows["node"].flags.c_contiguous else rows["node"].copy()
+            mixed = (node.view(np.uint64) ^ (node.view(np.uint64) >> np.uint64(31))) * MIX
+            mixed ^= mixed >> np.uint64(29)
+            file = np.repeat(np.add.reduceat(mixed * MIX, first), size).view(np.int64)
+            several = np.repeat(size > 1, size)
+            out = np.unique(np.stack([file[several], node[several]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["file", "node"])
+
+    moved = texts.select("node", "text").mapInArrow(pack, "bucket int, packed binary")
+    moved = moved.repartition("bucket").sortWithinPartitions("bucket")
+    return moved.mapInArrow(meet, "file long, node long").distinct()
+
+
+def _candidates(members: DataFrame, similarity: float, tree: bool) -> DataFrame:
+    """``(a, b)`` of ``members(file, node, label, size, bits)``: pairs of a file, of different labels, that may be similar.
+
+    Sizes and parities rule out only what cannot be. With ``tree``, a file's nodes are linked from
+    one to the next among those not reached yet, else all its pairs come.
+    """
+    apart = (1 - similarity) / (1 + similarity)
+
+    def pairs(label: np.ndarray, size: np.ndarray, bits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        def may(one: int, others: np.ndarray) -> np.ndarray:
+            low, high = np.minimum(size[others], size[one]), np.maximum(size[others], size[one])
+            differ = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
+            return (low >= similarity * high - 1e-9) & (differ <= apart * (low + high) + 1e-9)
+
+        left = np.arange(len(label))
+        if not tree:
+            for one in left:
+                others = left[one + 1 :]
+                others = others[label[others] != label[one]]
+                yield int(one), others[may(one, others)]
+            return
+        while len(left):
+            frontier, left = [int(left[0])], left[1:]
+            while frontier and len(left):
+                one = frontier.pop()
+                same = label[left] == label[one]
+                near = same | may(one, left)
+                yield one, left[near & ~same]
+                frontier += left[near].tolist()
+                left = left[~near]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["file"]):
+            file, node, label, size = (table.column(c).to_numpy() for c in ("file", "node", "label", "size"))
+            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(file), -1)
+            first = np.flatnonzero(np.concatenate(([True], file[1:] != file[:-1])))
+            found, total = [], 0
+            for low, high in zip(first, np.append(first[1:], len(file)), strict=True):
+                for one, others in pairs(label[low:high], size[low:high], bits[low:high]):
+                    if len(others):
+                        found.append(np.sort(np.stack([np.full(len(others), node[low + one]), node[low + others]], axis=1), axis=1))
+                        total += len(others)
+                    if total >= HASHES:
+                        yield _pair_batch(found)
+                        found, total = [], 0
+            if found:
+                yield _pair_batch(found)
+
+    several = members.groupBy("file").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
+    members = members.join(several.select("file"), "file", "left_semi")
+    return members.repartition("file").sortWithinPartitions("file").mapInArrow(run, "a long, b long").distinct()
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
 def drop_near_duplicates(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -281,15 +465,18 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``documents`` with one row of each group of near-duplicates, the one of the smallest id.
 
-    A near copy of similarity 0.8 in five-word shingles has a few per cent of its words
-    changed. That moves a SimHash of the shingles by some ten of 64 bits, but one of the
-    distinct words by four or so. So SimHashes of the words under some ``seeds`` have files,
-    and links between them count if the shingle sets are as similar as asked. A near copy
-    is missed if all of its fingerprints are beyond the budget.
-
-    Defined cases: texts without words are one group. Of equal ids the smaller text digest
-    stays, of equal rows one. A null id comes last. An empty table gives an empty table.
-    All columns stay, whatever their names.
+    SimHashes of the distinct words under some ``seeds`` have files, and links between them
+    count if the shingle sets are as similar as asked. That joins most near copies, dense
+    groups by about one link each. The rest, such as copies with a block appended or replaced,
+    whose words move a SimHash too far, and pairs whose file was linked by others that are not
+    as similar, comes from an exact search: two texts as similar as asked share one of their
+    rarest shingles (prefix filter). Texts that do, and are not in one group yet, are linked
+    by a tree per file first and, where its links fail, by all remaining pairs; sizes and
+    parities of the shingle sets rule out only what cannot be similar, and shingles decide.
+
+    A text is known by 64 bits of its digest. Defined cases: texts without words are one
+    group. Of equal ids the smaller text digest stays, of equal rows one. A null id comes
+    last. An empty table gives an empty table. All columns stay, whatever their names.
     """
     text = F.col(text_column)
     rows = documents.select(
@@ -297,25 +484,42 @@ def drop_near_duplicates(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID_LAST)).alias("doc_id"),
         F.md5(F.coalesce(text, F.lit(""))).alias("digest"),
         text.cast("binary").alias("text"),
-    )
+    ).withColumn("node", F.expr("cast(conv(substr(digest, 1, 16), 16, -10) as long)"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([word_fingerprints(t.as_py(), seeds) for t in batch.column("text")], np.uint64).reshape(-1, seeds)
-            columns = [batch.column("doc_id"), batch.column("digest"), *map(pa.array, fps.view(np.int64).T.copy())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", *names])
+            texts = [t.as_py() for t in batch.column("text")]
+            fps = np.array([word_fingerprints(t, seeds) for t in texts], np.uint64).reshape(-1, seeds)
+            sets = ((len(s), _parity(s)) for s in (shingle_set(t, words) for t in texts))
+            size, bits = zip(*sets, strict=True) if texts else ((), ())
+            columns = [*(batch.column(c) for c in ("doc_id", "digest", "node")), pa.array(size, pa.int64()), pa.array(bits, pa.binary())]
+            columns += map(pa.array, fps.view(np.int64).T.copy())
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "node", "size", "bits", *names])
 
     names = [f"fp{i}" for i in range(seeds)]
-    kind = ", ".join(["doc_id long", "digest string", *(f"{n} long" for n in names)])
-    prints = rows.select("doc_id", "digest", "text").mapInArrow(run, kind)
+    kind = ", ".join(["doc_id long", "digest string", "node long", "size long", "bits binary", *(f"{n} long" for n in names)])
+    prints = rows.select("doc_id", "digest", "node", "text").mapInArrow(run, kind)
     # A node is a text, under the smallest id that has it.
-    distinct = prints.groupBy("digest", *names).agg(F.min("doc_id").alias("doc_id"))
-    distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
-    links = materialise(near_links(distinct, names, config).distinct(), "near-links")
-    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = distinct.join(linked, "node").select("node", "doc_id", "digest")
-    texts = rows.join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
-    labelled = _labelled(distinct, _verified(links, materialise(texts, "near-texts"), words, similarity))
+    distinct = prints.groupBy("digest", "node", "size", "bits", *names).agg(F.min("doc_id").alias("doc_id"))
+    distinct = materialise(distinct, "distinct-texts")
+
+    def verified(links: DataFrame) -> DataFrame:
+        linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        named = distinct.join(linked, "node").select("node", "doc_id", "digest")
+        texts = rows.drop("node").join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
+        return materialise(_verified(links, materialise(texts, "near-texts"), words, similarity), "similar-links")
+
+    tested = materialise(near_links(distinct, names, config).distinct(), "near-links")
+    similar = verified(tested)
+    labelled = _labelled(distinct, similar)
+    files = materialise(shared_prefixes(rows, words, similarity), "prefix-files")
+    for tree in (True, False):
+        members = files.join(labelled.select("node", "label", "size", "bits"), "node")
+        links = _candidates(members, similarity, tree).join(tested, ["a", "b"], "left_anti")
+        links = materialise(links, "prefix-links")
+        if not links.isEmpty():
+            tested, similar = tested.union(links), similar.union(verified(links))
+            labelled = _labelled(distinct, similar)
     stays = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
     kept = rows.select("row", "doc_id", "digest").join(stays, ["doc_id", "digest"], "left_semi")
     return kept.dropDuplicates(["doc_id", "digest"]).select("row.*")
