@@ -2,19 +2,25 @@
 
 A worklist starts with the text. Each layer is scanned, then unwrapped: percent escapes and
 Unicode escapes are decoded in place, and runs of base64, compressed or not, become layers of
-their own. New layers join the worklist until nothing new comes up; a layer seen before at
-the same place is not taken again, so cycles end. Each layer knows for all its characters
-which characters of the text they come from, and what is found in it is reported there.
+their own. Lines of a run are joined, and a run is decoded from each of its first four
+characters, as what stands before the base64 may belong to the same run; all stretches of
+text in it are layers, and compressed data may begin anywhere in it. New layers are taken until
+nothing new comes up; a layer seen before at the same place is not taken again, so cycles
+end. Each layer knows for all its characters which characters of the text they come from, and
+what is found in it is reported there.
+
+Inflated data may be a thousand times the text. It is a stream of pieces that can be read
+again, and what lies in it comes from one place; runs longer than a piece are streams too.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,9 +38,21 @@ MIN_ASSIGNED, MIN_ACCESS = 12, 18
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-# Inflated data is read in pieces; what may straddle two pieces is read with the second again.
-PIECE, OVERLAP = 1 << 22, 1 << 16
+# A line end, also as it is written in JSON, and blanks around it.
+BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+ONE = "[A-Za-z0-9+/_-]"
+# Lines of 16 characters or more and a last one of any length.
+BASE64 = re.compile(rf"{ONE}{{16,}}(?:{BREAK.pattern}{ONE}{{16,}})*(?:{BREAK.pattern}{ONE}+(?!{ONE}))?={{0,2}}")
+GOES_ON = re.compile(rf"(?:{ONE}+|{BREAK.pattern}(?={ONE}))*")
+# UTF-8 without control characters, enough of it to hold a secret.
+TEXT = re.compile(
+    rb"(?:[\t\n\r\x20-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}"
+)
+HEADER = re.compile(rb"(?=\x1f\x8b\x08|[\x18\x28\x38\x48\x58\x68\x78][\x00-\xff])")
+# Streams are read in pieces; what may straddle two pieces is read with the second again. A
+# compressed beginning is tried on so many bytes, and a line end or escape fits into a margin.
+PIECE, OVERLAP, TRIED, MARGIN = 1 << 22, 1 << 16, 1 << 16, 12
 
 
 @dataclass
@@ -60,6 +78,23 @@ class Layer:
             return np.full(n, self.begin), np.full(n, self.end)
         return self.begin, self.end
 
+    def part(self, text: str, first: np.ndarray, last: np.ndarray) -> Layer:
+        """A layer whose characters come from the characters ``first`` to ``last`` of this one."""
+        if self.begin is None:
+            return Layer(text, first, last + 1)
+        if isinstance(self.begin, int):
+            return Layer(text, self.begin, self.end)
+        return Layer(text, self.begin[first], self.end[last])
+
+
+@dataclass
+class Stream:
+    """Text in pieces, all of it from one place. ``pieces`` starts anew with each call."""
+
+    pieces: Callable[[], Iterator[str]]
+    begin: int
+    end: int
+
 
 def scan(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base patterns: leftmost matches per kind, short ones dropped afterwards."""
@@ -110,21 +145,56 @@ def _escape(m: re.Match) -> tuple[str, np.ndarray] | None:
     return chr(code), np.array([len(m[0])])
 
 
-def _inflated(data: bytes) -> Iterator[str]:
-    """The text of zlib or gzip data in pieces; nothing if it is neither or not text."""
+def _inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """What zlib or gzip data, also of several members, inflates to, as far as it goes."""
+    reader, rest = zlib.decompressobj(47), b""
     try:
-        reader, carried = zlib.decompressobj(47), b""
-        while not reader.eof:
-            piece = reader.decompress(data, PIECE)
-            data = reader.unconsumed_tail
-            if not piece and not data:
-                break
-            yield (carried + piece).decode("utf-8", "replace")
-            carried = piece[-OVERLAP:]
+        for chunk in chunks:
+            data = rest + chunk
+            while True:
+                if reader.eof:
+                    if len(data) > 1 and data[:2] != b"\x1f\x8b":
+                        return
+                    if len(data) < 2:
+                        break
+                    reader = zlib.decompressobj(47)
+                piece = reader.decompress(data, PIECE)
+                data = reader.unused_data if reader.eof else reader.unconsumed_tail
+                if piece:
+                    yield piece
+                elif not data:
+                    break
+            rest = data
     except zlib.error:
         return
 
 
+def _as_text(chunks: Iterable[bytes]) -> Iterator[str]:
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for chunk in chunks:
+        yield decoder.decode(chunk)
+    yield decoder.decode(b"", True)
+
+
+def _inflates(data: bytes, at: int) -> bool:
+    if data[at] != 0x1F and (data[at] << 8 | data[at + 1]) % 31:
+        return False
+    try:
+        return bool(zlib.decompressobj(47).decompress(data[at : at + TRIED], TRIED))
+    except zlib.error:
+        return False
+
+
+def _compressed(data: bytes) -> Iterator[int]:
+    """Where compressed data begins: at the first of three bytes, as base64 has it."""
+    return (m.start() for m in HEADER.finditer(data) if m.start() % 3 == 0 and _inflates(data, m.start()))
+
+
+def _bytes_of(run: str) -> bytes:
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return base64.urlsafe_b64decode(run.replace("+", "-").replace("/", "_") + "=" * (-len(run) % 4))
+
+
 def _plain(data: bytes) -> str | None:
     """The text of decoded base64, or None where the run was no base64 of text."""
     try:
@@ -135,46 +205,173 @@ def _plain(data: bytes) -> str | None:
     return text if text and odd == 0 else None
 
 
-def _unwrapped(layer: Layer) -> Iterator[Layer]:
+def _decoded(layer: Layer, low: int, high: int) -> Iterator[Layer | Stream]:
+    """What the base64 run from ``low`` to ``high`` holds, from each of its first four characters on."""
+    text, places, at = layer.text[low:high].rstrip("="), [], 0
+    for m in BREAK.finditer(text):
+        places.append(np.arange(at, m.start()))
+        at = m.end()
+    place = low + np.concatenate([*places, np.arange(at, len(text))])
+    run = BREAK.sub("", text) if places else text
+    for shift in range(min(4, len(run) - 15)):
+        data = _bytes_of(run[shift:])
+        for begin in _compressed(data):
+            source = layer.source(int(place[shift + begin * 4 // 3]), high)
+            yield Stream(lambda rest=data[begin:]: _as_text(_inflated([rest])), *source)
+        whole = _plain(data) if shift == 0 else None
+        for begin, plain in [(0, whole)] if whole else [(m.start(), m[0].decode()) for m in TEXT.finditer(data)]:
+            byte = begin + np.cumsum([0] + [len(c.encode()) for c in plain])
+            first = shift + byte[:-1] * 8 // 6
+            last = np.minimum(shift + -(-byte[1:] * 8 // 6), len(run)) - 1
+            yield layer.part(plain, place[first], place[last])
+
+
+def _unwrapped(layer: Layer) -> Iterator[Layer | Stream]:
     text = layer.text
     if "%" in text and (new := _in_place(layer, PERCENT, _percent)):
         yield new
     if ("\\" in text or "&#" in text) and (new := _in_place(layer, ESCAPE, _escape)):
         yield new
     for m in BASE64.finditer(text):
-        run = m[0].rstrip("=")
-        try:
-            data = base64.urlsafe_b64decode(run.replace("+", "-").replace("/", "_") + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        low, high = layer.source(*m.span())
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-            yield from (Layer(piece, low, high) for piece in _inflated(data))
-        if plain := _plain(data):
-            begin, end = layer.positions()
-            byte = np.cumsum([0] + [len(c.encode()) for c in plain])
-            first = m.start() + byte[:-1] * 8 // 6
-            last = np.minimum(m.start() + -(-byte[1:] * 8 // 6), m.start() + len(run))
-            yield Layer(plain, begin[first], end[last - 1])
+        yield from _decoded(layer, *m.span())
+
+
+def _replaced(pieces: Iterator[str], pattern: re.Pattern, decode) -> Iterator[str]:
+    """A stream with every match decoded; an escape that may go on is held back."""
+
+    def put(m: re.Match) -> str:
+        decoded = decode(m)
+        return m[0] if decoded is None else decoded[0]
+
+    held = ""
+    for piece in pieces:
+        text = held + piece
+        cut = next((i for i in range(max(0, len(text) - MARGIN), len(text)) if text[i] in "%\\&"), len(text))
+        held = text[cut:]
+        yield pattern.sub(put, text[:cut])
+    yield pattern.sub(put, held)
+
+
+def _long_run(pieces: Iterator[str], start: int) -> Iterator[str]:
+    """The characters of the base64 run that starts there, without line ends."""
+    held = ""
+    for piece in pieces:
+        skipped = min(start, len(piece))
+        start -= skipped
+        text = held + piece[skipped:]
+        end = GOES_ON.match(text).end()
+        yield BREAK.sub("", text[:end])
+        if end < len(text) - MARGIN:
+            return
+        held = text[end:]
+    yield BREAK.sub("", held[: GOES_ON.match(held).end()])
+
+
+def _long_bytes(run: Iterator[str], shift: int, start: int = 0) -> Iterator[bytes]:
+    """The run decoded from character ``shift`` on, without the first ``start`` bytes, a multiple of three."""
+    skip, held = shift + start // 3 * 4, ""
+    for chars in run:
+        skipped = min(skip, len(chars))
+        skip -= skipped
+        held += chars[skipped:]
+        whole = len(held) // 4 * 4
+        yield _bytes_of(held[:whole])
+        held = held[whole:]
+    yield _bytes_of(held)
+
+
+def _long_decoded(stream: Stream, start: int) -> Iterator[Stream]:
+    """What a run longer than a piece holds, from each of its first four characters on."""
+
+    def decoded(shift: int, at: int = 0) -> Iterator[bytes]:
+        return _long_bytes(_long_run(stream.pieces(), start), shift, at)
+
+    for shift in range(4):
+        yield Stream(lambda shift=shift: _as_text(decoded(shift)), stream.begin, stream.end)
+        offset, held = 0, b""
+        for chunk in decoded(shift):
+            data = held + chunk
+            done = max(0, len(data) - TRIED) // 3 * 3
+            for at in _compressed(data):
+                if at < done:
+                    yield Stream(lambda shift=shift, at=offset + at: _as_text(_inflated(decoded(shift, at))), stream.begin, stream.end)
+            offset, held = offset + done, data[done:]
+        for at in _compressed(held):
+            yield Stream(lambda shift=shift, at=offset + at: _as_text(_inflated(decoded(shift, at))), stream.begin, stream.end)
+
+
+def _streamed(stream: Stream, spans: set[tuple[int, int, int]]) -> Iterator[Layer | Stream]:
+    """Adds what is found in a stream to ``spans``, and unwraps it."""
+    percent = escaped = False
+    held, offset, goes_on, long = "", 0, False, []
+    pieces = stream.pieces()
+    piece = next(pieces, None)
+    while piece is not None:
+        following = next(pieces, None)
+        text = held + piece
+        spans.update((stream.begin, kind, stream.end) for _, kind, _ in scan(text))
+        percent |= "%" in text and PERCENT.search(text) is not None
+        escaped |= ("\\" in text or "&#" in text) and ESCAPE.search(text) is not None
+        keep, layer = max(0, len(text) - OVERLAP), Layer(text, stream.begin, stream.end)
+        cut_run = keep > 0 and GOES_ON.match(text, keep - 1).end() > keep
+        for m in BASE64.finditer(text):
+            ends = following is None or m.end() < len(text) - MARGIN
+            if m.start() == 0 and goes_on:
+                cut_run |= not ends  # the rest of a run that was taken before, and may still go on
+            elif ends:
+                yield from _decoded(layer, *m.span())
+            elif len(text) - m.start() > PIECE:
+                long.append(offset + m.start())
+                cut_run = True
+            else:
+                keep, cut_run = min(keep, m.start()), m.start() > keep and cut_run
+        held, offset, goes_on = text[keep:], offset + keep, cut_run
+        piece = following
+    if percent:
+        yield Stream(lambda: _replaced(stream.pieces(), PERCENT, _percent), stream.begin, stream.end)
+    if escaped:
+        yield Stream(lambda: _replaced(stream.pieces(), ESCAPE, _escape), stream.begin, stream.end)
+    for start in long:
+        yield from _long_decoded(stream, start)
+
+
+def _key(layer: Layer | Stream) -> tuple[bytes, int, int]:
+    """The text and the place of a layer."""
+    digest = hashlib.blake2b(digest_size=16)
+    if isinstance(layer, Stream):
+        for piece in layer.pieces():
+            digest.update(piece.encode("utf-8", "replace"))
+        return digest.digest(), layer.begin, layer.end
+    digest.update(layer.text.encode("utf-8", "replace"))
+    return digest.digest(), *layer.source(0, len(layer.text))
+
+
+def _expanded(layer: Layer | Stream, spans: set[tuple[int, int, int]]) -> Iterator[Layer | Stream]:
+    if isinstance(layer, Stream):
+        yield from _streamed(layer, spans)
+        return
+    if layer.begin is not None:
+        for low, kind, high in scan(layer.text):
+            begin, end = layer.source(low, high)
+            spans.add((begin, kind, end))
+    yield from _unwrapped(layer)
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
     """Spans of the text as it is, all spans with those of decoded layers, and the number of layers."""
     base = scan(text)
-    spans, seen = set(base), set()
-    worklist, layers = [Layer(text)], 0
+    spans, seen, layers = set(base), set(), 1
+    worklist = [_expanded(Layer(text), spans)]  # depth first, so that few layers are held at a time
     while worklist:
-        layer = worklist.pop()
-        layers += 1
-        if layer.begin is not None:
-            for low, kind, high in scan(layer.text):
-                begin, end = layer.source(low, high)
-                spans.add((begin, kind, end))
-        for new in _unwrapped(layer):
-            key = (hashlib.blake2b(new.text.encode("utf-8", "replace"), digest_size=16).digest(), *new.source(0, len(new.text)))
-            if key not in seen and new.text != text:
+        new = next(worklist[-1], None)
+        if new is None:
+            worklist.pop()
+        elif isinstance(new, Stream) or new.text != text:
+            key = _key(new)
+            if key not in seen:
                 seen.add(key)
-                worklist.append(new)
+                layers += 1
+                worklist.append(_expanded(new, spans))
     return base, sorted(spans), layers
 
 
