@@ -189,6 +189,24 @@ def test_chats_cost_least_and_are_legal(spark, part_turns):
     assert chat.format_chats(turns.limit(0)).collect() == []
 
 
+def test_many_rows_of_few_turn_numbers_are_cut_into_parts(spark):
+    rng = random.Random(41)
+    rows = [(None, rng.choice([None, 0, 1, 1]), rng.choice(["user", "assistant", "tool"]), f"t{rng.randrange(40)}") for _ in range(500)]
+    rows += [(None, 7, "user", "equal")] * 200 + [(5, t, "user", f"u{t}") for t in range(30)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    whole, cut = ([r for r in chat.format_chats(turns, part_turns=n).collect()] for n in (1024, 16))
+    per_part = {}
+    for r in cut:
+        per_part[r.conv_id, r.part] = per_part.get((r.conv_id, r.part), 0) + (r.action != "insert")
+    assert max(per_part.values()) <= 16 and len(per_part) >= 700 // 16
+    assert sum(r.cost for r in cut) == sum(r.cost for r in whole)
+    for conv in (None, 5):
+        steps = [sorted((r for r in got if r.conv_id == conv), key=lambda r: (r.part, r.step)) for got in (whole, cut)]
+        given = [[(r.turn, r.rendered.rpartition("\n")[2].removesuffix("<|im_end|>")) for r in s if r.action != "insert"] for s in steps]
+        assert [t for t, _ in given[0]] == [t for t, _ in given[1]] and sorted(given[0], key=repr) == sorted(given[1], key=repr)
+        assert legal([chat.ROLES.index(s.role) for s in steps[1] if "merge" not in s.action])
+
+
 def test_equal_texts_and_shared_substrings():
     base = texts(5, 3, 5000)
     long = " ".join(texts(6, 30, 5000))

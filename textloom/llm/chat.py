@@ -5,7 +5,8 @@ assistant in turns, the assistant last. A turn may keep its role or get another
 be merged into the turn before it, and empty turns may be put in. Dynamic programming over
 the automaton's states finds the cheapest choice.
 
-A conversation is cut into parts by turn number. A part's effect is a small matrix, the
+A conversation is cut into parts by turn number, and where many rows share a stretch of turn
+numbers, also by their number in the order of the conversation. A part's effect is a small matrix, the
 cheapest cost from each state to each state; the matrices of a conversation are combined
 in order, and with the states at its two ends every part is repaired by itself. So a
 conversation that holds a third of all turns is no single task's work.
@@ -18,10 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import NO_ID, sorted_groups
+from textloom.storage import materialise
 
 ROLES = ("system", "user", "assistant")
 UNKNOWN = len(ROLES)
@@ -115,7 +118,7 @@ def repair(given: list[int], entry: int, leave: int, costs: RepairCosts) -> list
     return path[::-1]
 
 
-KEYS = ["conv", "part"]
+KEYS = ["conv", "part", "sub"]
 
 
 def _by_part(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -137,7 +140,7 @@ def _effects(batches: Iterator[pa.RecordBatch], costs: RepairCosts) -> Iterator[
         for role in rows.column("given").to_pylist():
             effect = combined(effect, turn[role])
         yield pa.RecordBatch.from_pydict(
-            {"conv": [key[0]], "part": [key[1]], "effect": pa.array([effect.ravel().tolist()], pa.list_(pa.float64()))}
+            {**{k: [v] for k, v in zip(KEYS, key, strict=True)}, "effect": pa.array([effect.ravel().tolist()], pa.list_(pa.float64()))}
         )
 
 
@@ -155,8 +158,8 @@ def _ends(batches: Iterator[pa.RecordBatch], costs: RepairCosts) -> Iterator[pa.
             states.append(int(np.argmin(reach[i] + effects[i][:, states[-1]])))
         states.reverse()
         n = len(effects)
-        columns = {"conv": [conv] * n, "part": rows.column("part").to_pylist(), "entry": states[:-1], "leave": states[1:]}
-        columns["closes"] = [i == n - 1 for i in range(n)]
+        columns = {"conv": [conv] * n, "part": rows.column("part").to_pylist(), "sub": rows.column("sub").to_pylist()}
+        columns |= {"number": range(n), "entry": states[:-1], "leave": states[1:], "closes": [i == n - 1 for i in range(n)]}
         yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -169,11 +172,11 @@ def _rendered(batches: Iterator[pa.RecordBatch], costs: RepairCosts) -> Iterator
     for _, rows in _by_part(batches, KEYS):
         given, texts = rows.column("given").to_pylist(), rows.column("text").to_pylist()
         convs, turns = rows.column("conv_id").to_pylist(), rows.column("turn").to_pylist()
-        first = {c: rows.column(c)[0].as_py() for c in ("part", "entry", "leave", "closes")}
+        first = {c: rows.column(c)[0].as_py() for c in ("number", "entry", "leave", "closes")}
         out: dict[str, list] = {c: [] for c in ("conv_id", "part", "step", "turn", "role", "action", "cost", "rendered")}
         opened = first["entry"] != START
 
-        def put(conv, turn, role, action, cost, rendered, part=first["part"], out=out):
+        def put(conv, turn, role, action, cost, rendered, part=first["number"], out=out):
             for column, value in zip(out.values(), (conv, part, len(out["step"]), turn, ROLES[role], action, cost, rendered), strict=True):
                 column.append(value)
 
@@ -193,6 +196,45 @@ def _rendered(batches: Iterator[pa.RecordBatch], costs: RepairCosts) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), types, strict=True)], list(out))
 
 
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of a range with its number and the place of each row among those of its conversation and part."""
+    pid, last, seen = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        places = np.empty(batch.num_rows, np.int64)
+        conv, part = (batch.column(c).to_numpy() for c in ("conv", "part"))
+        cuts = np.flatnonzero((conv[1:] != conv[:-1]) | (part[1:] != part[:-1])) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if high > low:
+                seen = seen if last == (conv[low], part[low]) else 0
+                places[low:high] = np.arange(seen, seen + high - low)
+                last, seen = (conv[low], part[low]), seen + high - low
+        yield batch.append_column("range", pa.array(np.full(batch.num_rows, pid, np.int64))).append_column("place", pa.array(places))
+
+
+def _with_sub(rows: DataFrame, order: list[str], part_turns: int) -> DataFrame:
+    """``rows`` with ``sub``: parts of more rows than ``part_turns`` are cut by the number of a row in the order.
+
+    Those rows are sorted in ranges, equal ones by their place in the input, so a range may hold
+    any stretch of a part; rows per range and part then give the number of each row.
+    """
+    large = rows.groupBy("conv", "part").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part_turns).select("conv", "part")
+    large = materialise(large, "large-parts")  # at most one in part_turns rows
+    if large.isEmpty():
+        return rows.withColumn("sub", F.lit(0).cast("long"))
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = rows.join(F.broadcast(large), ["conv", "part"], "left_semi").select(*rows.columns, F.monotonically_increasing_id().alias("_at"))
+    hot = hot.repartitionByRange(ranges, *order, "_at").sortWithinPartitions(*order, "_at").drop("_at")
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", `range` long, place long"
+    hot = materialise(hot.mapInArrow(_placed, kind), "placed-turns")
+    ahead = Window.partitionBy("conv", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    base = hot.groupBy("conv", "part", "range").agg(F.count(F.lit(1)).alias("_n"))  # a row per range and part
+    base = base.select("conv", "part", "range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    sub = F.floor((F.col("_base") + F.col("place")) / part_turns).cast("long")
+    hot = hot.join(F.broadcast(base), ["conv", "part", "range"]).select(*rows.columns, sub.alias("sub"))
+    cold = rows.join(F.broadcast(large), ["conv", "part"], "left_anti").select(*rows.columns, F.lit(0).cast("long").alias("sub"))
+    return hot.unionByName(cold)
+
+
 def format_chats(
     turns: DataFrame,
     conversation_column: str = "conv_id",
@@ -205,7 +247,8 @@ def format_chats(
     """The repaired turns of all conversations with the least total cost, rendered.
 
     Returns ``(conv_id, part, step, turn, role, action, cost, rendered)``: a row for every input
-    turn and every empty turn put in (``turn`` null, action ``insert``). In the order of
+    turn and every empty turn put in (``turn`` null, action ``insert``). Parts are numbered from
+    0 in each conversation and hold at most ``part_turns`` turns. In the order of
     part and step, the ``rendered`` pieces of a conversation make up its text; a merged turn
     goes on with a line break. Actions are keep, merge, relabel, relabel+merge and insert.
 
@@ -230,11 +273,13 @@ def format_chats(
         F.col(role_column).alias("role"),
         F.col(text_column).alias("text"),
     )
-    order = ["conv", "part", "turn", "given", "role", "text"]
-    parts = rows.select(*order).repartition("conv", "part").sortWithinPartitions(*order).select("conv", "part", "given")
-    effects = parts.mapInArrow(lambda b: _effects(b, costs), "conv long, part long, effect array<double>")
-    ends = effects.repartition("conv").sortWithinPartitions("conv", "part")
-    ends = ends.mapInArrow(lambda b: _ends(b, costs), "conv long, part long, entry long, leave long, closes boolean")
-    placed = rows.join(ends, KEYS).repartition("conv", "part").sortWithinPartitions(*order).drop("role")
+    order = ["turn", "given", "role", "text"]
+    rows = _with_sub(rows, ["conv", "part", *order], part_turns)
+    parts = rows.select(*KEYS, *order).repartition(*KEYS).sortWithinPartitions(*KEYS, *order).select(*KEYS, "given")
+    effects = parts.mapInArrow(lambda b: _effects(b, costs), "conv long, part long, sub long, effect array<double>")
+    ends = effects.repartition("conv").sortWithinPartitions(*KEYS)
+    kind = "conv long, part long, sub long, number long, entry long, leave long, closes boolean"
+    ends = ends.mapInArrow(lambda b: _ends(b, costs), kind)
+    placed = rows.join(ends, KEYS).repartition(*KEYS).sortWithinPartitions(*KEYS, *order).drop("role")
     schema = "conv_id long, part long, step int, turn long, role string, action string, cost double, rendered string"
     return placed.mapInArrow(lambda b: _rendered(b, costs), schema)
