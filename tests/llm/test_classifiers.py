@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from textloom.llm.quality import QualityConfig, score_quality
+from textloom.llm.quality import QualityConfig, fit_quality, score_quality
 from textloom.llm.toxicity import ToxicityConfig, ToxicityModel, fit_toxicity, label_model, score_toxicity
 from tests.llm.conftest import texts
 
@@ -87,3 +87,15 @@ def test_label_model_discounts_voters_that_repeat_each_other():
     known = label_model(votes, np.where(rng.random(4000) < 0.2, truth, -1).astype(int), 0.3, ToxicityConfig())
     assert ((known >= 0.5) == truth).mean() > 0.93
     assert ((posterior >= 0.5) == truth).mean() > 0.5
+
+
+def test_a_hot_id_counts_once(make_docs, corpus):
+    """Rows of a sampled id are one in the sample, however many there are and whatever they hold."""
+    pairs, truth, labels = corpus
+    hot = next(i for i in truth if not held(i) and truth[i][1] == 0)
+    docs, copied, other = (
+        make_docs([*pairs, *more]).select("doc_id", "text")
+        for more in ([], [(hot, dict(pairs)[hot])] * 300, [(hot, f"w1 w2 idiot scum {k}") for k in range(300)])
+    )
+    assert len(fit_quality(other, labels).labels) == len(fit_quality(docs, labels).labels)
+    assert fit_toxicity(copied, labels).weights == fit_toxicity(docs, labels).weights

@@ -145,10 +145,15 @@ def fit_quality(documents: DataFrame, labels: DataFrame, config: QualityConfig =
     sample, share = training_sample(labels, label, config.per_label)
     found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
     found = found.mapInArrow(lambda b: _sparse(b, width), "doc_id long, label int, features array<int>, counts array<long>")
-    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.counts))  # the bounded sample
+    # Rows of one id count together, so the driver gets a row per sampled id.
+    pair = F.explode_outer(F.arrays_zip("features", "counts")).alias("f")
+    summed = found.select("doc_id", "label", pair).groupBy("doc_id", "label", F.col("f.features").alias("feature")).agg(F.sum("f.counts").alias("n"))
+    summed = summed.groupBy("doc_id", "label").agg(F.collect_list(F.when(F.col("feature").isNotNull(), F.struct("feature", "n"))).alias("counts"))
+    rows = sorted(summed.collect(), key=lambda r: r.doc_id)  # the bounded sample
     counts = np.zeros((len(rows), width), np.float32)
     for i, row in enumerate(rows):
-        counts[i, row.features] = row.counts
+        for feature, n in row.counts:
+            counts[i, feature] = n
     weighted = _unit(np.log1p(counts) * idf)
     projection = np.zeros((width, 0), np.float32)
     if len(rows):

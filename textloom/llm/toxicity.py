@@ -90,17 +90,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def chosen_stems(sample: DataFrame, config: ToxicityConfig) -> tuple[list[str], list[str]]:
-    """Stems for the voters, and stems for the classifier, out of ``sample(label, stems)`` with labels 1, 0 or -1.
+    """Stems for the voters, and stems for the classifier, out of ``sample(doc_id, label, stems)`` with labels 1, 0 or -1.
+    Rows of one id count as one.
 
     A voter is a stem that toxic documents have far more often than clean ones, with a
     likelihood ratio of ``evidence`` against one common rate, as many stems are tried. The
     classifier also gets what else tells the labels apart best.
     """
-    rows = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = {r.label: r.n for r in sample.groupBy("label").agg(F.count_distinct("doc_id").alias("n")).collect()}
     n, m = rows.get(1, 0), rows.get(0, 0)
     if not n or not m:
         return [], []
-    known = sample.filter("label >= 0").select("label", F.explode("stems").alias("stem"))
+    known = sample.filter("label >= 0").select("doc_id", "label", F.explode("stems").alias("stem")).distinct()
     counts = known.groupBy("stem").agg(F.sum("label").alias("k"), F.sum(1 - F.col("label")).alias("o")).filter("k + o >= 3")
     k, o = F.col("k").cast("double"), F.col("o").cast("double")
 
@@ -204,7 +205,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, config: ToxicityConfig
     voters = list(dict.fromkeys([*LEXICON, *voters]))
     names = [*voters, *sorted(set(others) - set(voters))]
     found = held.mapInArrow(lambda b: _active(b, names), "doc_id long, label int, patterns array<boolean>, active array<int>")
-    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.active))  # the bounded samples
+    # Rows of one id count together, so the driver gets a row per sampled id.
+    fired = F.array(*[F.max(F.col("patterns")[i]) for i in range(N_PATTERNS)]).alias("patterns")
+    found = found.select("doc_id", "label", "patterns", F.explode_outer("active").alias("stem"))
+    found = found.groupBy("doc_id", "label").agg(fired, F.collect_set("stem").alias("active"))
+    rows = sorted(found.collect(), key=lambda r: r.doc_id)  # the bounded samples
     x = np.zeros((len(rows), len(names)), np.float32)
     for i, row in enumerate(rows):
         x[i, row.active] = 1
