@@ -9,10 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.sizing import skew_safe_lookup
+
 # The six blanks that end a word: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# A table of so many rows of a few numbers or digests is sent to every executor, some tens of MB.
+MAX_LOOKUP_ROWS = 200_000
 # Stand for a missing id where ids are ordered: before and after all others.
 NO_ID, NO_ID_LAST = -(2**63), 2**63 - 1
 
@@ -50,6 +54,17 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in keys])
 
 
+def measured_lookup(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """Left join to a stored table with one row per ``key`` and a few numbers or digests beside it.
+
+    It is counted first: a small one travels, beyond ``MAX_LOOKUP_ROWS`` all keys are split
+    and joined by shuffle.
+    """
+    if keyed.count() <= MAX_LOOKUP_ROWS:
+        return rows.join(F.broadcast(keyed), key, "left")
+    return skew_safe_lookup(rows, keyed, key, "left")
+
+
 def with_offsets(df: DataFrame, group: str, part: str, order: list[str], value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the rows before a row in its ``group``.
 

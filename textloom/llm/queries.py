@@ -13,6 +13,7 @@ from textloom.llm.parsing import compare_with_next
 from textloom.llm.quality import score_quality
 from textloom.llm.secrets import scan_secrets
 from textloom.llm.simhash import simhash_near_duplicates
+from textloom.llm.spelling import SPELLING_SQL, group_spellings
 from textloom.llm.substring_dedup import PASSAGES_SQL, remove_repeated_passages
 from textloom.llm.toxicity import score_toxicity
 
@@ -57,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -68,6 +73,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -75,4 +81,5 @@ ORACLE_SQL = {
     "op4_benchmark_decontamination": LEAKS_SQL,
     "op5_line_dedup": LINES_SQL,
     "op6_source_mixing": MIXING_SQL,
+    "op11_spelling_variants": SPELLING_SQL,
 }
