@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.llm.chat import format_chats
 from textloom.llm.common import table
 from textloom.llm.decontamination import LEAKS_SQL, leaks_query
+from textloom.llm.divergence import DIVERGENCE_SQL, audit_divergence
 from textloom.llm.line_dedup import LINES_SQL, lines_query
 from textloom.llm.mixing import MIXING_SQL, mixing_query
 from textloom.llm.parsing import compare_with_next
@@ -16,6 +17,7 @@ from textloom.llm.simhash import simhash_near_duplicates
 from textloom.llm.spelling import SPELLING_SQL, group_spellings
 from textloom.llm.substring_dedup import PASSAGES_SQL, remove_repeated_passages
 from textloom.llm.toxicity import score_toxicity
+from textloom.llm.warc import WARC_SQL, archive_pages
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_spellings(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -74,6 +84,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL = {
@@ -82,4 +94,6 @@ ORACLE_SQL = {
     "op5_line_dedup": LINES_SQL,
     "op6_source_mixing": MIXING_SQL,
     "op11_spelling_variants": SPELLING_SQL,
+    "op12_source_divergence": DIVERGENCE_SQL,
+    "op13_warc": WARC_SQL,
 }
