@@ -234,7 +234,8 @@ def _strip(rows: pd.DataFrame, config: DivergenceConfig) -> pd.DataFrame:
         out[1] += ["term"] * len(best)
         out[2] += a[6][over[best]].tolist()
         out[3] += value[best].tolist()
-    return pd.DataFrame({"lang": lang, "source": out[0], "part": out[1], "item": out[2], "value": out[3]})
+    frame = pd.DataFrame({"lang": lang, "source": out[0], "part": out[1], "item": out[2], "value": out[3]})
+    return frame.astype(dict.fromkeys(("lang", "source", "part", "item"), object) | {"value": np.int64})
 
 
 def audit_divergence(
