@@ -197,7 +197,7 @@ def _strip(rows: pd.DataFrame, config: DivergenceConfig) -> pd.DataFrame:
     tree_b = tree_a if same else QuadTree(b[2], b[3], height)
     zero = np.zeros(1, np.int64)
     zero_a, zero_b = (shares(np.zeros_like(t), t, terms) if terms else zero.repeat(len(t)) for t in (a[1], b[1]))
-    p_leaf, q_leaf = a[4][tree_a.order], b[4][tree_b.order]
+    p_leaf, q_leaf = (np.append(x[4][tree.order], 1) for x, tree in ((a, tree_a), (b, tree_b)))  # -1 has no leaf
     size_a, size_b = len(a[0]), len(b[0])
     values = np.zeros(size_a * size_b, np.int64)
     if width:
