@@ -170,7 +170,8 @@ def price(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def _strip(rows: pd.DataFrame, config: DivergenceConfig) -> pd.DataFrame:
     """Values of a strip for the groups of one tile against those of another: rows are groups (``term`` is null, ``total``
-    their count) and cells; ``terms`` is the language's number of terms and ``lang_total`` its count."""
+    their count) and cells; ``terms`` is the language's number of terms and ``lang_total`` its count, ``strip_terms``
+    the strip's number of terms, some of which neither tile may have."""
     lang, terms, lang_total = rows.lang.iat[0], int(rows.terms.iat[0]), int(rows.lang_total.iat[0])
     cells = rows[rows.term.notna()]
     # Terms of the same groups stand side by side, which leaves large empty quadrants.
@@ -200,6 +201,7 @@ def _strip(rows: pd.DataFrame, config: DivergenceConfig) -> pd.DataFrame:
     p_leaf, q_leaf = (np.append(x[4][tree.order], 1) for x, tree in ((a, tree_a), (b, tree_b)))  # -1 has no leaf
     size_a, size_b = len(a[0]), len(b[0])
     values = np.zeros(size_a * size_b, np.int64)
+    blank = np.full((size_a, size_b), int(rows.strip_terms.max()) - width)
     if width:
         empty = [np.zeros((-(-size_a >> height - lv) + 1, -(-size_b >> height - lv) + 1), np.int64) for lv in range(height + 1)]
         for level, found, widths in _walk(tree_a, tree_b, (size_a, size_b, width)):
@@ -210,10 +212,9 @@ def _strip(rows: pd.DataFrame, config: DivergenceConfig) -> pd.DataFrame:
             p = np.where(na >= 0, p_leaf[na], zero_a[ra])
             q = np.where(nb >= 0, q_leaf[nb], zero_b[rb])
             np.add.at(values, ra * size_b + rb, price(p, q))
-        blank = np.zeros((size_a, size_b), np.int64)
         for level, table in enumerate(empty):
             blank += table[np.arange(size_a)[:, None] >> height - level, np.arange(size_b)[None, :] >> height - level]
-        values += (blank * price(zero_a[:, None], zero_b[None, :])).ravel()
+    values += (blank * price(zero_a[:, None], zero_b[None, :])).ravel()
     out = [[], [], [], []]
     others = (a[0][:, None] != b[0][None, :]).ravel()
     out[0] = np.repeat(a[0], size_b)[others].tolist()
@@ -260,13 +261,13 @@ def audit_divergence(
     texts = documents.select(*[F.coalesce(F.col(c), F.lit("")).alias(name) for name, c in columns.items()])
     counted = materialise(group_terms(texts), "group-terms")
     kept = counted.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("_docs"))
-    kept = kept.filter(F.col("_docs") >= config.min_documents).drop("_docs")
+    kept = materialise(kept.filter(F.col("_docs") >= config.min_documents).drop("_docs"), "kept-terms")
     cells = materialise(counted.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "group-cells")
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("_cells"))
     groups = texts.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").fillna(0, ["total", "_cells"])
     groups = materialise(groups, "groups")
     # One row per language from here on.
-    sizes = cells.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
+    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
     langs = groups.groupBy("lang").agg(
         F.sum("total").alias("lang_total"), F.sum("_cells").alias("_cells"), F.count(F.lit(1)).alias("_groups")
     ).join(sizes, "lang", "left")
@@ -282,12 +283,14 @@ def audit_divergence(
     def listed(size: str):
         return F.sequence(F.lit(0), F.col(size) - 1)
 
+    strip = F.pmod(F.xxhash64("term"), F.col("_strips")).cast("int")
+    strips = kept.join(langs, "lang").groupBy("lang", strip.alias("strip")).agg(F.count(F.lit(1)).alias("strip_terms"))
     as_groups = groups.join(langs, "lang").withColumn("strip", F.explode(listed("_strips")))
-    as_groups = as_groups.withColumns({"term": F.lit(None).cast("string"), "n": F.lit(0).cast("long"), "lang_n": F.lit(0).cast("long")})
-    as_cells = cells.join(langs, "lang").withColumns(
-        {"strip": F.pmod(F.xxhash64("term"), F.col("_strips")).cast("int"), "total": F.lit(0).cast("long")}
-    )
-    used = ["lang", "lang_total", "terms", "_tiles", "strip", "source", "term", "n", "lang_n", "total"]
+    as_groups = as_groups.join(strips, ["lang", "strip"], "left").fillna(0, ["strip_terms"])
+    zero = F.lit(0).cast("long")
+    as_groups = as_groups.withColumns({"term": F.lit(None).cast("string"), "n": zero, "lang_n": zero})
+    as_cells = cells.join(langs, "lang").withColumns({"strip": strip, "total": zero, "strip_terms": zero})
+    used = ["lang", "lang_total", "terms", "_tiles", "strip", "strip_terms", "source", "term", "n", "lang_n", "total"]
     own = F.pmod(F.xxhash64("source"), F.col("_tiles")).cast("int")
 
     def tile(i, j, as_a, as_b):
