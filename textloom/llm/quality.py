@@ -10,7 +10,7 @@ let the nearest vote by their cosines.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -133,6 +133,51 @@ def _sparse(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Feature numbers and counts of a row as two byte strings."""
+    for batch in batches:
+        rows = batch.column("counts").to_pylist()
+        columns = {"doc_id": batch.column("doc_id"), "label": batch.column("label")}
+        for name, kind in (("feature", np.int32), ("n", np.int64)):
+            columns[name] = pa.array([np.array([c[name] for c in row], kind).tobytes() for row in rows], pa.binary())
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+@dataclass(frozen=True)
+class Sample:
+    """The labelled sample, packed: a few bytes for each feature a row has, never a dense row for all of them."""
+
+    width: int
+    features: list[bytes]
+    counts: list[bytes]
+    labels: np.ndarray
+
+    def dense(self, rows: range) -> np.ndarray:
+        out = np.zeros((len(rows), self.width), np.float32)
+        for i, row in enumerate(rows):
+            out[i, np.frombuffer(self.features[row], np.int32)] = np.frombuffer(self.counts[row], np.int64)
+        return out
+
+
+def latent_space(sample: Sample, idf: np.ndarray, prior: float, config: QualityConfig, block: int = 256) -> NeighbourModel:
+    """The singular vectors of ``spanning`` rows of the sample, and where all its rows lie among them. Only the
+    spanning rows are dense at once."""
+    rows = len(sample.labels)
+    projection = np.zeros((sample.width, 0), np.float32)
+    if rows:
+        some = sample.dense(range(0, rows, -(-rows // config.spanning)))
+        np.log1p(some, out=some)
+        some *= idf
+        some /= np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-9)
+        values, left = np.linalg.eigh((some @ some.T).astype(np.float64))
+        top = [i for i in np.argsort(-values)[: config.dimensions] if values[i] > 1e-6]
+        projection = (some.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)).astype(np.float32)
+        del some
+    model = NeighbourModel(config, idf, projection, np.zeros((0, 0), np.float32), sample.labels, prior)
+    vectors = [model.latent(sample.dense(range(at, min(rows, at + block)))).astype(np.float32) for at in range(0, rows, block)]
+    return replace(model, vectors=np.concatenate(vectors) if vectors else model.vectors)
+
+
 def fit_quality(documents: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig(), label: str = "quality") -> NeighbourModel:
     """Document frequencies over all of ``documents(doc_id, text)``; latent vectors of the labelled sample."""
     width = config.features
@@ -149,21 +194,11 @@ def fit_quality(documents: DataFrame, labels: DataFrame, config: QualityConfig =
     pair = F.explode_outer(F.arrays_zip("features", "counts")).alias("f")
     summed = found.select("doc_id", "label", pair).groupBy("doc_id", "label", F.col("f.features").alias("feature")).agg(F.sum("f.counts").alias("n"))
     summed = summed.groupBy("doc_id", "label").agg(F.collect_list(F.when(F.col("feature").isNotNull(), F.struct("feature", "n"))).alias("counts"))
-    rows = sorted(summed.collect(), key=lambda r: r.doc_id)  # the bounded sample
-    counts = np.zeros((len(rows), width), np.float32)
-    for i, row in enumerate(rows):
-        for feature, n in row.counts:
-            counts[i, feature] = n
-    weighted = _unit(np.log1p(counts) * idf)
-    projection = np.zeros((width, 0), np.float32)
-    if len(rows):
-        some = weighted[:: -(-len(weighted) // config.spanning)]
-        values, left = np.linalg.eigh((some @ some.T).astype(np.float64))
-        top = [i for i in np.argsort(-values)[: config.dimensions] if values[i] > 1e-6]
-        projection = (some.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)).astype(np.float32)
-    model = NeighbourModel(config, idf, projection, np.zeros((0, 0), np.float32), np.array([r.label for r in rows], np.float64), share)
-    vectors = model.latent(counts).astype(np.float32) if len(rows) else np.zeros((0, 0), np.float32)
-    return NeighbourModel(config, idf, projection, vectors, model.labels, share)
+    packed = summed.mapInArrow(_packed, "doc_id long, label int, feature binary, n binary")
+    rows = sorted(packed.collect(), key=lambda r: r.doc_id)  # the bounded sample
+    labelled = Sample(width, [bytes(r.feature) for r in rows], [bytes(r.n) for r in rows], np.array([r.label for r in rows], np.float64))
+    del rows
+    return latent_space(labelled, idf, share, config)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: NeighbourModel, block: int = 512) -> Iterator[pa.RecordBatch]:

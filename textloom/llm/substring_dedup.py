@@ -25,11 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NO_ID_LAST, null_safe
+from textloom.llm.common import NO_ID_LAST, measured_lookup
+from textloom.storage import materialise
 
 BLOCK = 65_536
 TRAVEL = "bucket int, places binary, words binary"
-SPANS = "id long, mark int, from_word int, to_word int"
+SPANS = "id long, high long, low long, from_word int, to_word int"
+ROW = ["id", "high", "low"]
 # Blobs are written once and moved once, so they are packed well rather than fast.
 LEVEL = 6
 
@@ -128,13 +130,14 @@ def _unpacked(data: bytes, n: int) -> list[np.ndarray]:
 
 def _travel(batches: Iterator[pa.RecordBatch], buckets: int, config: SuperKmerConfig) -> Iterator[pa.RecordBatch]:
     """Rows for the buckets: the chunk's super-k-mers, and what the chunk itself has decided."""
-    held: list[tuple[int, int, bytes]] = []
+    held: list[tuple[tuple[int, int, int], bytes]] = []
     size = 0
     for batch in batches:
-        ids, marks, texts = batch.column("id").to_pylist(), batch.column("mark").to_pylist(), batch.column("text")
+        names = list(zip(*(batch.column(c).to_pylist() for c in ROW), strict=True))
+        texts = batch.column("text")
         for i in range(batch.num_rows):
             text = texts[i].as_py() or b""
-            held.append((ids[i], marks[i], text))
+            held.append((names[i], text))
             size += len(text)
             if size >= config.chunk_words * 6:
                 yield _chunk(held, buckets, config)
@@ -143,17 +146,17 @@ def _travel(batches: Iterator[pa.RecordBatch], buckets: int, config: SuperKmerCo
         yield _chunk(held, buckets, config)
 
 
-def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperKmerConfig) -> pa.RecordBatch:
+def _chunk(documents: list[tuple[tuple[int, int, int], bytes]], buckets: int, config: SuperKmerConfig) -> pa.RecordBatch:
     documents = sorted(documents, key=lambda d: d[0])
     words: list[bytes] = []
     counts = np.zeros(len(documents), np.int64)
-    for i, (_, _, text) in enumerate(documents):
+    for i, (_, text) in enumerate(documents):
         found = text.split()
         if len(found) >= config.window:
             counts[i] = len(found)
             words += found
-    ids = np.array([d[0] for d in documents], np.int64)
-    marks = np.array([d[1] for d in documents], np.int64)
+    names = np.array([d[0] for d in documents], np.int64).reshape(-1, len(ROW))
+    ids = names[:, 0]
     begins = np.cumsum(counts) - counts
     doc = np.repeat(np.arange(len(documents), dtype=np.int32), counts)
     numbers, hashes = _numbered(words)
@@ -167,7 +170,7 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
     def row(bucket: int, of: np.ndarray, starts: np.ndarray, ends: np.ndarray, packed: bytes) -> None:
         used, local = np.unique(of, return_inverse=True)
         out["bucket"].append(bucket)
-        out["places"].append(_packed([ids[used], marks[used], local, starts, ends]))
+        out["places"].append(_packed([*names[used].T, local, starts, ends]))
         out["words"].append(zstandard.compress(packed, LEVEL) if packed else b"")
 
     none = np.zeros(0, np.int32)
@@ -177,7 +180,7 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
         np.add.at(covered, np.flatnonzero(known) + config.window, -1)
         begin, end = _runs(np.cumsum(covered[:-1]) > 0, doc[1:] == doc[:-1])
         of = doc[begin]
-        row(int(marks[of[0]]) % buckets, of, begin - begins[of], end - begins[of], b"")
+        row(int(names[of[0]].sum()) % buckets, of, begin - begins[of], end - begins[of], b"")
     if n:
         grams = _weighted(hashes, config.gram)
         least = _sliding_minimum(grams, config.window - config.gram + 1)
@@ -204,16 +207,16 @@ def _chunk(documents: list[tuple[int, int, bytes]], buckets: int, config: SuperK
 def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     """The spans of words that are covered by a window of this bucket seen in a smaller id."""
     out = []
-    lines, ids, marks, run_start = [], [], [], []
+    lines, names, run_start = [], [], []
     for r in rows.itertuples():
-        own_ids, own_marks, of, starts, ends = _unpacked(r.places, 5)
+        *own, of, starts, ends = _unpacked(r.places, len(ROW) + 3)
+        own = np.stack(own)[:, of]
         if r.words:
             lines += zstandard.decompress(r.words).split(b"\n")
-            ids.append(own_ids[of])
-            marks.append(own_marks[of])
+            names.append(own)
             run_start.append(starts)
         else:
-            out.append((own_ids[of], own_marks[of], starts, ends))
+            out.append((*own, starts, ends))
     if lines:
         words: list[bytes] = []
         counts = np.zeros(len(lines), np.int64)
@@ -221,7 +224,7 @@ def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
             found = line.split(b" ")
             counts[i] = len(found)
             words += found
-        ids, marks, run_start = np.concatenate(ids), np.concatenate(marks), np.concatenate(run_start)
+        names, run_start = np.concatenate(names, axis=1), np.concatenate(run_start)
         run = np.repeat(np.arange(len(counts)), counts)
         begins = np.cumsum(counts) - counts
         numbers, hashes = _numbered(words)
@@ -229,24 +232,25 @@ def _bucket(rows: pd.DataFrame, window: int) -> pd.DataFrame:
         n = len(numbers) - window + 1
         starts = np.flatnonzero(run[:n] == run[window - 1 :])
         seen = np.zeros(n, bool)
-        seen[starts] = _seen_before(numbers, hashes, starts, ids[run[starts]], window)
+        seen[starts] = _seen_before(numbers, hashes, starts, names[0][run[starts]], window)
         begin, end = _runs(seen, run[1:n] == run[: n - 1])
         of = run[begin]
         shift = run_start[of] - begins[of]
-        out.append((ids[of], marks[of], begin + shift, end + window - 1 + shift))
-    columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
-    frame = pd.DataFrame(dict(zip(("id", "mark", "from_word", "to_word"), columns, strict=True)))
-    return frame.astype({"id": "int64", "mark": "int32", "from_word": "int32", "to_word": "int32"})
+        out.append((*names[:, of], begin + shift, end + window - 1 + shift))
+    columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
+    kinds = dict.fromkeys(ROW, "int64") | dict.fromkeys(("from_word", "to_word"), "int32")
+    return pd.DataFrame(dict(zip(kinds, columns, strict=True))).astype(kinds)
 
 
 def repeated_spans(documents: DataFrame, config: SuperKmerConfig = SuperKmerConfig()) -> DataFrame:
-    """``(id, mark, from_word, to_word)`` out of ``documents(id, mark, text)``: the words to remove, spans may overlap.
+    """``(id, high, low, from_word, to_word)`` out of ``documents(id, high, low, text)``, of which the first three name
+    a row: the words to remove, spans may overlap.
 
     A bucket holds about ``bucket_bytes`` of text, however many buckets that makes.
     """
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // config.bucket_bytes))
-    travelling = documents.select("id", "mark", F.col("text").cast("binary").alias("text")).mapInArrow(
+    travelling = documents.select(*ROW, F.col("text").cast("binary").alias("text")).mapInArrow(
         lambda batches: _travel(batches, buckets, config), TRAVEL
     )
     return travelling.groupBy("bucket").applyInPandas(lambda rows: _bucket(rows, config.window), SPANS)
@@ -271,6 +275,20 @@ def _cut(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, id, text)`` with ``high`` and ``low``: a 128-bit digest of the text where the id alone does not tell
+    rows apart, as it repeats or is missing, else 0, which takes no room on the way."""
+    repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("id", F.lit(True).alias("_again"))
+    marked = measured_lookup(rows, materialise(repeated, "repeated-ids"), "id")
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
+
+    def half(first: int):
+        bits = F.conv(F.substring(digest, first, 16), 16, -10).cast("long")
+        return F.when(F.col("_again"), bits).otherwise(F.lit(0).cast("long"))
+
+    return marked.select("doc_id", "id", half(1).alias("high"), half(17).alias("low"), "text")
+
+
 def remove_repeated_passages(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -291,12 +309,12 @@ def remove_repeated_passages(
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID_LAST)).alias("id"),
-        F.hash(F.col(text_column)).alias("mark"),  # tells rows of one id apart
         F.col(text_column).alias("text"),
     )
-    spans = repeated_spans(rows.select("id", "mark", "text"), config)
-    spans = spans.groupBy("id", "mark").agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))
-    found = null_safe(rows, spans, ["id", "mark"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
+    rows = _named(rows)
+    spans = repeated_spans(rows, config)
+    spans = spans.groupBy(*ROW).agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))
+    found = rows.join(spans, ROW, "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text binary" * keep_text
     cut = found.mapInArrow(lambda batches: _cut(batches, keep_text), schema)
     return cut.withColumn("kept_text", F.col("kept_text").cast("string")) if keep_text else cut
