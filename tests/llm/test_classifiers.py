@@ -99,3 +99,37 @@ def test_a_hot_id_counts_once(make_docs, corpus):
     )
     assert len(fit_quality(other, labels).labels) == len(fit_quality(docs, labels).labels)
     assert fit_toxicity(copied, labels).weights == fit_toxicity(docs, labels).weights
+
+
+def test_neighbour_vote_against_single_cosines(spark):
+    """Each score again, from one cosine at a time over the whole labelled sample."""
+    import math
+
+    from textloom.llm.quality import Features, QualityConfig, fit_quality, score_quality
+
+    good, junk = texts(31, 120, 300), [" ".join(f"{w}!!{w}" for w in t.split()[::2]) for t in texts(32, 120, 30)]
+    rows = [(i, t) for i, t in enumerate([t for pair in zip(good, junk, strict=True) for t in pair])] + [(900, None), (901, ""), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    config = QualityConfig(per_label=60, spanning=40, features=256, dimensions=8, neighbours=5)
+    model = fit_quality(docs, labels, config)
+    assert 60 < len(model.labels) <= 120 and len(model.vectors) == len(model.labels)
+    features = Features(config.features)
+    wanted = {}
+    for i, text in rows:
+        counts = features.counts(None if text is None else text.encode())
+        weighted = [math.log1p(float(c)) * float(w) for c, w in zip(counts, model.idf, strict=True)]
+        size = math.sqrt(sum(x * x for x in weighted)) or 1.0
+        latent = [sum(x / size * float(p) for x, p in zip(weighted, column, strict=True)) for column in model.projection.T]
+        size = math.sqrt(sum(x * x for x in latent)) or 1.0
+        cosines = [max(0.0, round(sum(x / size * float(v) for x, v in zip(latent, vector, strict=True)), 5)) for vector in model.vectors]
+        least = sorted(cosines)[-config.neighbours]
+        votes = [(c**config.sharpness, y) for c, y in zip(cosines, model.labels, strict=True) if c >= least]
+        total = sum(w for w, _ in votes)
+        wanted.setdefault(i, []).append(sum(w * y for w, y in votes) / total if total else model.prior)
+    got: dict = {}
+    for r in score_quality(docs, labels, config=config).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    assert got.keys() == wanted.keys()
+    # The operator counts in single precision, which moves a cosine of five decimals by one unit at most.
+    assert all(abs(a - b) < 1e-3 for i in got for a, b in zip(sorted(got[i]), sorted(wanted[i]), strict=True))

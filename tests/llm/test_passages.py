@@ -177,3 +177,22 @@ def test_lines_against_brute_force(make_docs, awkward, batches):
 
 def test_lines_of_an_empty_table(make_docs):
     assert drop_repeated_lines(make_docs([])).collect() == []
+
+
+def test_rows_of_one_id_with_equal_short_hashes(spark):
+    """Two texts that a 32-bit hash does not tell apart, under one id: only the one with the passage loses it."""
+    from pyspark.sql import functions as F
+
+    word = F.concat(F.lit("w"), F.col("id").cast("string"))
+    candidates = spark.range(400_000).select(F.concat_ws(" ", *[F.concat(word, F.lit(f"v{k}")) for k in range(26)]).alias("text"))
+    twins = candidates.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).filter(F.size("texts") > 1).first().texts
+    rows = [(1, twins[0]), (2, twins[0]), (2, twins[1]), (None, twins[0]), (None, twins[1])]
+    got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    # The rows without an id come after all others.
+    assert sorted(((r.doc_id or 9), r.n_words, r.n_removed) for r in got.collect()) == [(1, 26, 0), (2, 26, 0), (2, 26, 26), (9, 26, 26), (9, 26, 26)]
+
+
+def test_many_rows_without_an_id(make_docs):
+    pairs = [(None if k % 3 else k, t) for k, t in enumerate(shared_passages(11, 300))]
+    got = remove_repeated_passages(make_docs(pairs).repartition(4), config=SuperKmerConfig(chunk_words=400, bucket_bytes=3_000))
+    assert sorted((repr(r[0]), *r[1:]) for r in got.collect()) == brute_passages(pairs)

@@ -76,8 +76,10 @@ def mix_sources(
     text_column: str = "text",
     source_column: str = "source",
     config: MixtureConfig = MixtureConfig(),
+    row_column: str | None = None,
 ) -> Mixture:
-    """Schedule all documents; see the module for the method.
+    """Schedule all documents; see the module for the method. ``row_column`` names a number of the row that the mixture's
+    rows carry as ``row``, which tells equal rows apart.
 
     Defined cases: a null source is a source of its own, after all others. Null and empty
     texts have no words and are never taken. Null and repeated ids are fine: documents are
@@ -93,6 +95,7 @@ def mix_sources(
         F.col(source_column).alias("source"),
         words_in(text).alias("size"),
         F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("long").alias("_hash"),
+        *([F.col(row_column).alias("row")] if row_column else []),
     )
     sizes = materialise(rows, "sizes")
     totals = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
