@@ -138,6 +138,10 @@ OVERALL = """overall AS (
     sum(recall * support) / sum(support) AS "Weighted_Recall",
     sum(f1 * support) / sum(support) AS "Weighted_F1"
   FROM report)"""
+ROUNDED_OVERALL = ", ".join(
+    f'round("{m}", 6) AS "{m}"'
+    for m in ("Accuracy", *(f"{kind}_{m}" for kind in ("Macro", "Weighted") for m in ("Precision", "Recall", "F1")))
+)
 ROLES = _labels("user", "assistant", "system")
 ROLES_AND_ABSENT = _labels("user", "assistant", "system", "tool")
 CELLS = """cells AS (
@@ -250,6 +254,16 @@ UNION ALL SELECT 'Sports', count(*), count(*) > 0 FROM documents WHERE lower(lan
     "random_sample": """SELECT doc_id AS "ID", lang AS "Label" FROM documents WHERE lang = 'en'
 ORDER BY md5('42:' || doc_id), doc_id LIMIT 10""",
     # Splits
+    "split_any_ids": _with(
+        """corpus AS (
+  SELECT CASE WHEN turn % 3 <> 0 THEN conv_id END AS "ID", role AS "Label",
+    CASE WHEN turn = 0 THEN 'one text of many copies' ELSE text END AS "Text" FROM conversations)""",
+        QUOTA,
+    )
+    + """SELECT "ID", "Label", text_digest, split, count(*) AS n FROM (
+  SELECT "ID", c."Label", md5("Text") AS text_digest, CASE WHEN row_number() OVER (PARTITION BY c."Label"
+    ORDER BY md5('42:' || coalesce("ID"::VARCHAR, '')), md5("Text")) <= n_test THEN 'test' ELSE 'train' END AS split
+  FROM corpus c JOIN quota q ON q."Label" = c."Label") GROUP BY ALL""",
     "split_quota": _with(DOCUMENTS, QUOTA)
     + """SELECT "Label" AS label, n, (n - n_test)::BIGINT AS n_train, n_test::BIGINT AS n_test FROM quota""",
     "stratified_split": _with(DOCUMENTS, PREPARED, SPLIT) + 'SELECT "ID", "Label", split FROM sides',
@@ -271,6 +285,14 @@ FROM (SELECT "Label" AS label, count(*) AS total, count(*) FILTER (split = 'trai
     # Features
     "vocab_df": _with(DOCUMENTS, PREPARED, SPLIT, _tfidf())
     + "SELECT term, (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx, df, tf, round(idf, 6) AS idf FROM vocab",
+    **dict.fromkeys(
+        ("vocab_merged", "vocab_subtracted"),
+        _with(DOCUMENTS, PREPARED, SPLIT, _tfidf())
+        + "SELECT term, (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx, df, tf, round(idf, 6) AS idf FROM vocab",
+    ),
+    "term_statistics": _with(TURNS, PREPARED, f"""words AS (SELECT "ID", {_words('"Cleaned_Text"')} AS w FROM prepared)""")
+    + f"""SELECT term, count(DISTINCT "ID") AS df, count(*) AS tf, (SELECT count(*) FROM prepared) AS n_docs
+FROM (SELECT "ID", unnest({_grams('w', 2)}) AS term FROM words) GROUP BY term""",
     "vocab_max_features": _with(DOCUMENTS, PREPARED, SPLIT, _tfidf(keep="df >= 0.01 * n AND df <= 0.5 * n"))
     + "SELECT term, df, tf, round(idf, 6) AS idf FROM vocab ORDER BY tf DESC, term LIMIT 500",
     "tfidf_train": _with(DOCUMENTS, PREPARED, SPLIT, _tfidf())
@@ -299,6 +321,17 @@ FROM scored WHERE split = 'test'""",
     "nb_topk": _with(*BAYES_TURNS)
     + f"""SELECT "ID", rank, cls AS label, round(p, 4) AS probability, {PCT.format('p')} AS percentage FROM ranked WHERE split = 'test'""",
     "nb_documents_report": _with(*BAYES_DOCUMENTS, COUNTS, _labels("en", "fr", "de", "es"), REPORT) + REPORT_ROWS,
+    "fused_nb_metrics": _with(*BAYES_TURNS, COUNTS, ROLES, REPORT, OVERALL)
+    + f"""SELECT '1.0' AS "Model", {ROUNDED_OVERALL}, true AS "Supports_Proba" FROM overall
+UNION ALL SELECT '0.1', {ROUNDED_OVERALL}, true FROM ("""
+    + _with(*BAYES_TURNS[:4], THETA.replace("coalesce(s, 0) + 1) / (tot + v)", "coalesce(s, 0) + 0.1::DOUBLE) / (tot + 0.1::DOUBLE * v)"), SCORED, COUNTS, ROLES, REPORT, OVERALL)
+    + "SELECT * FROM overall)",
+    "lr_bayes_gradient": _with(*BAYES_TURNS)
+    + """SELECT f.term, p.cls AS label, round(sum(f.tfidf * (p.p - CASE WHEN p.cls = f."Label" THEN 1 ELSE 0 END)), 6) + 0.0 AS gradient
+FROM feat f JOIN prob p ON p."ID" = f."ID" WHERE f.split = 'train' GROUP BY ALL""",
+    "lr_term_partitioned": _with(TURNS, PREPARED, SPLIT, _tfidf())
+    + """SELECT l."Label" AS label, (SELECT count(*) FROM vocab) AS n_terms, true AS agrees
+FROM (SELECT DISTINCT "Label" FROM sides WHERE split = 'train') l""",
     "nb_accuracy": _with(*BAYES_TURNS, COUNTS, ROLES, REPORT, OVERALL) + 'SELECT round("Accuracy", 6) AS "Accuracy" FROM overall',
     "nb_macro_weighted": _with(*BAYES_TURNS, COUNTS, ROLES, REPORT, OVERALL)
     + "SELECT "

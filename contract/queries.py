@@ -8,6 +8,7 @@ share, as they would share stored tables.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from textloom.operators import audit, metrics, prepare, split, stats, tfidf
 from textloom.operators.classifier import TextClassifier, class_weights, with_label_index
 from textloom.operators.linear import TrainingSet, fit_logistic, fit_svm
 from textloom.operators.naive_bayes import fit_naive_bayes
+from textloom.operators.term_partitioned import LOGISTIC_LOSS, TermPartitionedSet, fit_term_partitioned, loss_gradient
+from textloom.operators.term_statistics import TermStatistics
 from textloom.plans import evaluation, preparation, scoring, training
 from textloom.sources import artifacts, corpus, export
 from textloom.storage import materialise, new_path
@@ -257,6 +260,18 @@ def q_random_sample(spark, sf_dir):
 # Splits -----------------------------------------------------------------
 
 
+def _awkward_ids(rows: DataFrame) -> DataFrame:
+    """The conversation as id, which repeats, none for every third turn, and a text that is one of many copies for the first turns."""
+    text = F.when(F.col("turn") == 0, F.lit("one text of many copies")).otherwise(F.col("Text"))
+    return rows.withColumn("ID", F.when(F.col("turn") % 3 != 0, F.col("conv_id"))).withColumn("Text", text)
+
+
+def q_split_any_ids(spark, sf_dir):
+    rows = split.stratified_split(_awkward_ids(conversations(spark, sf_dir)))
+    keys = ["ID", "Label", F.md5("Text").alias("text_digest"), "split"]
+    return rows.select(*keys).groupBy("ID", "Label", "text_digest", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_split_quota(spark, sf_dir):
     return split.split_quota(documents(spark, sf_dir))
 
@@ -334,6 +349,35 @@ def q_vocab_df(spark, sf_dir):
     return vocabulary.select("term", F.col("idx").cast("long").alias("idx"), "df", "tf", F.round("idf", 6).alias("idf"))
 
 
+def _halves(spark, sf_dir) -> list[TermStatistics]:
+    rows = document_side(spark, sf_dir, "train")
+    return [TermStatistics.of(rows.filter(F.pmod(F.hash("ID"), F.lit(2)) == half)) for half in (0, 1)]
+
+
+def _vocabulary_rows(model: tfidf.TfidfModel) -> DataFrame:
+    return model.indexed_vocabulary().select("term", F.col("idx").cast("long").alias("idx"), "df", "tf", F.round("idf", 6).alias("idf"))
+
+
+def q_vocab_merged(spark, sf_dir):
+    """The vocabulary from the merged statistics of two halves of the training side."""
+    first, second = _halves(spark, sf_dir)
+    return _vocabulary_rows(first.merge(second).fit())
+
+
+def q_vocab_subtracted(spark, sf_dir):
+    """The same vocabulary from the statistics of all documents less those of the test side."""
+    whole = TermStatistics.of(prepared(spark, sf_dir))
+    return _vocabulary_rows(whole.subtract(TermStatistics.of(document_side(spark, sf_dir, "test"))).fit())
+
+
+def q_term_statistics(spark, sf_dir):
+    """All terms of the corpus, no bound applied, after a round trip through storage."""
+    path = new_path(spark, "statistics")
+    TermStatistics.of(prepared_turns(spark, sf_dir)).save(path)
+    loaded = TermStatistics.load(spark, path)
+    return loaded.table.withColumn("n_docs", F.lit(loaded.n_docs).cast("long"))
+
+
 def q_vocab_max_features(spark, sf_dir):
     config = tfidf.TfidfConfig(min_df=0.01, max_df=0.5, max_features=500)
     model = tfidf.fit_tfidf(document_side(spark, sf_dir, "train"), config)
@@ -658,6 +702,43 @@ def q_model_comparison(spark, sf_dir):
     return turn_comparison(spark, sf_dir)
 
 
+def q_fused_nb_metrics(spark, sf_dir):
+    """Two naive Bayes models, by the smoothing they have, measured out of one pass over the test side."""
+    train = turn_side(spark, sf_dir, "train")
+    vocabulary = tfidf.fit_tfidf(train)
+    fits = {str(a): (lambda a=a: replace(fit_naive_bayes(train, alpha=a, tfidf=vocabulary), name=str(a))) for a in (1.0, 0.1)}
+    rows = training.compare(fits, turn_side(spark, sf_dir, "test"))[1]
+    return _rounded(rows.drop("Training_Time", "Prediction_Time"), *[c for c in rows.columns if c.startswith(("Acc", "Macro", "Weighted"))])
+
+
+def q_lr_bayes_gradient(spark, sf_dir):
+    """The gradient of the logistic loss by every weight, at the weights of naive Bayes."""
+    bayes = turn_bayes(spark, sf_dir)
+    data = TermPartitionedSet(turn_side(spark, sf_dir, "train"), tfidf=tfidf.fit_tfidf(turn_side(spark, sf_dir, "train")))
+    try:
+        gradient = materialise(loss_gradient(data, bayes.terms, bayes.intercepts, LOGISTIC_LOSS, [1.0] * len(bayes.labels)), "gradient")
+    finally:
+        data.close()
+    labels = F.array(*[F.lit(label) for label in data.labels])
+    rows = gradient.select("term", F.inline(F.arrays_zip(labels.alias("label"), F.col("gradient").alias("gradient"))))
+    return rows.select("term", "label", (F.round("gradient", 6) + 0.0).alias("gradient"))
+
+
+def q_lr_term_partitioned(spark, sf_dir):
+    """Balanced logistic regression in tables beside the one on the driver: per class its terms, and whether all weights agree."""
+    train = turn_side(spark, sf_dir, "train")
+    data = TermPartitionedSet(train, tfidf=turn_training_set(spark, sf_dir).tfidf)
+    try:
+        mine = fit_term_partitioned(data, "tables", balanced=True)
+    finally:
+        data.close()
+    theirs = turn_logistic(spark, sf_dir, True).terms.select("term", F.col("weights").alias("other"))
+    labels = F.array(*[F.lit(label) for label in mine.labels])
+    pairs = mine.terms.join(theirs, "term").select(F.inline(F.arrays_zip(labels.alias("label"), "weights", "other")))
+    agrees = F.max(F.abs(F.col("weights") - F.col("other"))) < 1e-3
+    return pairs.groupBy("label").agg(F.count(F.lit(1)).alias("n_terms"), agrees.alias("agrees"))
+
+
 def q_model_selection(spark, sf_dir):
     return training.select_model(turn_comparison(spark, sf_dir)).select("Model", "Macro_F1", "Supports_Proba")
 

@@ -234,12 +234,6 @@ def test_production_artifacts(spark, headlines, tmp_path):
     assert set(meta.per_class_f1) == set(meta.classes)
 
 
-def test_too_many_coefficients_are_refused(headlines, monkeypatch):
-    monkeypatch.setattr(linear, "MAX_COEFFICIENTS", 3)
-    with pytest.raises(ValueError, match="max_features"):
-        linear.TrainingSet(headlines)
-
-
 def test_artifacts_roundtrip(spark, headlines, bayes, tmp_path):
     artifacts.save_classifier(bayes, str(tmp_path), {"Accuracy": 0.9}, {"Sports": 1.0})
     loaded = artifacts.load_classifier(spark, str(tmp_path))

@@ -3,7 +3,11 @@
 The penalty follows the convention ``0.5 * |w|^2 + C * sum(weight * loss)``; Spark
 ML divides the loss by the total weight, so ``regParam = 1 / (C * total weight)``
 with features left unscaled gives the same optimum. Spark's ``LinearSVC``
-minimises the plain hinge loss and does not penalise the intercept.
+minimises the plain hinge loss and does not penalise the intercept; ``fit_squared_hinge``
+minimises the squared hinge with the intercept penalised like a weight.
+
+Beyond ``MAX_COEFFICIENTS`` a model does not fit on the driver, and training takes the tables
+of ``term_partitioned`` instead.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 from textloom.columns import DEFAULT_COLUMNS, Columns
 from textloom.operators.classifier import TextClassifier, class_counts
 from textloom.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
+from textloom.operators.term_partitioned import LOGISTIC_LOSS, SQUARED_HINGE, Loss, TermPartitionedSet, fit_term_partitioned
 from textloom.storage import materialise
 
 # Spark ML keeps classes x terms doubles on the driver and sends them out in every step.
@@ -46,11 +51,10 @@ class TrainingSet:
         self.counts = class_counts(train, columns)
         self.labels = [label for label, _ in self.counts]
         self.n_rows = sum(n for _, n in self.counts)
-        if len(self.labels) * self.tfidf.n_terms > MAX_COEFFICIENTS:
-            raise ValueError(
-                f"{self.tfidf.n_terms} terms x {len(self.labels)} classes exceed {MAX_COEFFICIENTS} "
-                "coefficients; raise min_df or set max_features"
-            )
+        self.train = train
+        self.on_driver = len(self.labels) * self.tfidf.n_terms <= MAX_COEFFICIENTS
+        if not self.on_driver:
+            return
         self.vocabulary = materialise(self.tfidf.indexed_vocabulary().select("term", "df", "idf", "idx"), "vocabulary")
         self.vectors = self.tfidf.vectors(train, self.vocabulary, keep=[columns.label])
 
@@ -107,6 +111,8 @@ def logistic_estimator(n_rows: int, c: float = 1.0, max_iter: int = 2000) -> Log
 def fit_logistic(
     data: TrainingSet, balanced: bool = False, c: float = 1.0, max_iter: int = 2000
 ) -> TextClassifier:
+    if not data.on_driver:
+        return fit_beyond_driver(data, LOGISTIC_BALANCED if balanced else LOGISTIC, LOGISTIC_LOSS, balanced, c)
     weights = data.balanced() if balanced else dict.fromkeys(data.labels, 1.0)
     index = {label: float(i) for i, label in enumerate(data.labels)}
     rows = data.vectors.select(
@@ -121,8 +127,27 @@ def fit_logistic(
     )
 
 
+def fit_beyond_driver(data: TrainingSet, name: str, loss: Loss, balanced: bool = False, c: float = 1.0) -> TextClassifier:
+    """The same optimum with coefficients that stay in tables, for any number of terms."""
+    parts = TermPartitionedSet(data.train, data.tfidf.config, data.columns, data.tfidf)
+    try:
+        return fit_term_partitioned(parts, name, loss, balanced, c)
+    finally:
+        parts.close()
+
+
+def fit_squared_hinge(data: TrainingSet, balanced: bool = False, c: float = 1.0) -> TextClassifier:
+    """One class against the rest with the squared hinge loss, intercepts penalised like weights."""
+    return fit_beyond_driver(data, SVM_BALANCED if balanced else SVM, SQUARED_HINGE, balanced, c)
+
+
 def fit_svm(data: TrainingSet, balanced: bool = False, c: float = 1.0, max_iter: int = 100) -> TextClassifier:
-    """One class against the rest; with ``balanced`` the positive side carries its class weight."""
+    """One class against the rest; with ``balanced`` the positive side carries its class weight.
+
+    A model beyond the driver gets the squared hinge, as the plain one has no gradient to follow there.
+    """
+    if not data.on_driver:
+        return fit_squared_hinge(data, balanced, c)
     positive = data.balanced() if balanced else dict.fromkeys(data.labels, 1.0)
     counts = dict(data.counts)
 

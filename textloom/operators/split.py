@@ -3,8 +3,8 @@
 Each row gets a seeded order key from its id, and a label's test rows are the
 first ones in that order up to the label's quota. Sorting a label as a whole
 would put the biggest class into one task. The last key inside the quota is found
-in two steps instead: counts per key prefix locate the prefix in which the quota
-runs out, and only the rows of that prefix are ranked. After that a row is
+by distributed selection instead: counts per key prefix locate the prefix in which the quota
+runs out, and only that prefix is taken further apart. After that a row is
 assigned by comparing its own key with one value per label, without a shuffle.
 """
 
@@ -21,19 +21,24 @@ from textloom.operators.audit import digest
 from textloom.sizing import (
     MAX_CLASSES,
     per_class_table,
-    bounded_broadcast,
     bounded_collect,
     skew_safe_lookup,
 )
 from textloom.storage import materialise
 
-# 65,536 prefixes per label.
+# 65,536 prefixes per label at a time.
 PREFIX_HEX_DIGITS = 4
+KEY_DIGITS = 32
 
 
 def order_key(id_column: str, seed: int) -> Column:
-    """A seeded pseudo-random order that does not depend on partitioning."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
+    """A seeded pseudo-random order that does not depend on partitioning; a missing id stands as no characters."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
+
+
+def tie_key(df: DataFrame, columns: Columns) -> Column:
+    """What orders rows of one id: a digest of the text, where there is one."""
+    return F.md5(F.coalesce(F.col(columns.text), F.lit("")) if columns.text in df.columns else F.lit(""))
 
 
 def split_quota(df: DataFrame, test_size: float = 0.2, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -65,55 +70,101 @@ def quota(counts: DataFrame, test_size: float) -> DataFrame:
 
 @dataclass(frozen=True)
 class StratifiedSplit:
-    """A fitted split: per label the last order key that belongs to the test side."""
+    """A fitted split: per label the last order key that belongs to the test side.
+
+    ``thresholds`` has ``_label, _key, _tie, _take``. ``_tie`` is null where the key decides. ``_take`` is null unless
+    copies share the last key and only so many of them belong to the test side.
+    """
 
     thresholds: DataFrame
     seed: int
     columns: Columns
+    ties: bool = False
+    partial: bool = False
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Adds ``split`` = ``train`` or ``test``; a row-local comparison."""
+        """Adds ``split`` = ``train`` or ``test``; a row-local comparison, but for copies at the border."""
         key = order_key(self.columns.id, self.seed)
-        in_test = (key < F.col("_last_key")) | ((key == F.col("_last_key")) & (F.col(self.columns.id) <= F.col("_last_id")))
-        return (
-            df.join(F.broadcast(self.thresholds), df[self.columns.label].eqNullSafe(F.col("_label")), "left")
-            .withColumn("split", F.when(in_test, "test").otherwise("train"))
-            .drop("_label", "_last_key", "_last_id")
+        below, equal = key < F.col("_key"), key == F.col("_key")
+        if self.ties:
+            tie = tie_key(df, self.columns)
+            below = below | (equal & (tie < F.col("_tie")))
+            equal = equal & (F.col("_tie").isNull() | (tie == F.col("_tie")))
+        joined = df.join(F.broadcast(self.thresholds), df[self.columns.label].eqNullSafe(F.col("_label")), "left")
+        added = ["_label", "_key", "_tie", "_take"]
+        if not self.partial:
+            return joined.withColumn("split", F.when(below | equal, "test").otherwise("train")).drop(*added)
+        border = F.coalesce(equal & F.col("_take").isNotNull(), F.lit(False))
+        clear = joined.filter(~border).withColumn("split", F.when(below | equal, "test").otherwise("train"))
+        # Copies, equal in label, id and text: they are numbered within their partitions, and counts per partition
+        # say where the partition's numbers start.
+        copies = materialise(joined.filter(border).withColumn("_at", F.monotonically_increasing_id()), "copies")
+        part = F.shiftright("_at", 33)
+        sizes = copies.groupBy("_label", part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+        ahead = F.sum("_size").over(Window.partitionBy("_label").orderBy("_part")) - F.col("_size")
+        starts = sizes.select(F.col("_label").alias("_l"), F.col("_part").alias("_p"), ahead.alias("_before"))
+        within = F.row_number().over(Window.partitionBy("_label", "_part").orderBy("_at"))
+        numbered = copies.withColumn("_part", part).withColumn("_within", within)
+        same = F.col("_label").eqNullSafe(F.col("_l")) & (F.col("_part") == F.col("_p"))
+        dealt = numbered.join(starts, same).withColumn(
+            "split", F.when(F.col("_before") + F.col("_within") <= F.col("_take"), "test").otherwise("train")
         )
+        wanted = [*df.columns, "split"]
+        return clear.select(*wanted).unionByName(dealt.select(*wanted))
+
+
+def _common(low: str, high: str) -> int:
+    n = 0
+    while n < len(low) and low[n] == high[n]:
+        n += 1
+    return n
 
 
 def fit_stratified_split(
     df: DataFrame, test_size: float = 0.2, seed: int = 42, columns: Columns = DEFAULT_COLUMNS
 ) -> StratifiedSplit:
-    """Find the thresholds. Ids have to be unique (see ``audit.duplicate_summary``)."""
-    keyed = df.select(
-        F.col(columns.label).alias("label"), F.col(columns.id).alias("id"), order_key(columns.id, seed).alias("key")
-    ).withColumn("prefix", F.substring("key", 1, PREFIX_HEX_DIGITS))
-    quota = bounded_broadcast(split_quota(df, test_size, columns), MAX_CLASSES, "labels")
-    running = F.sum("n_prefix").over(Window.partitionBy("label").orderBy("prefix"))
-    boundary = (
-        keyed.groupBy("label", "prefix")
-        .agg(F.count(F.lit(1)).alias("n_prefix"))
-        .withColumn("upto", running)
-        .join(quota.select(F.col("label").alias("_l"), "n_test"), F.col("label").eqNullSafe(F.col("_l")))
-        .filter((F.col("upto") >= F.col("n_test")) & (F.col("upto") - F.col("n_prefix") < F.col("n_test")))
-        .select(
-            F.col("label").alias("_label"),
-            F.col("prefix").alias("_prefix"),
-            (F.col("n_test") - F.col("upto") + F.col("n_prefix")).alias("_rank"),
+    """Find the thresholds; ids may repeat or be missing.
+
+    The order is that of a digest of the seed and the id, then a digest of the text. Counts per prefix of the
+    digests say in which prefix a label's quota runs out; that prefix is taken apart by longer ones until few distinct
+    digests are left. Rows equal in label, id and text are copies: they are counted, and which of
+    them are drawn does not matter. The driver gets a row per label.
+    """
+    spark = df.sparkSession
+    label = F.col(columns.label).alias("label")
+    counts = materialise(split_quota(df, test_size, columns).select("label", "n_test").filter("n_test > 0"), "quota")
+    open_labels = {r.label: ("", r.n_test) for r in bounded_collect(counts, MAX_CLASSES, "labels")}
+    key, both = order_key(columns.id, seed), F.concat(order_key(columns.id, seed), tie_key(df, columns))
+    found: list[tuple] = []
+    wide = False
+    while open_labels:
+        depth = max(len(prefix) for prefix, _ in open_labels.values())
+        # The text is read only where ids alone leave too many rows together.
+        wide = wide or depth >= KEY_DIGITS
+        rows = df.select(label, (both if wide else key).alias("digits"))
+        borders = spark.createDataFrame([(k, p, r) for k, (p, r) in open_labels.items()], "_l string, _prefix string, _rank long")
+        rows = rows.join(F.broadcast(borders), F.col("label").eqNullSafe(F.col("_l")) & F.col("digits").startswith(F.col("_prefix")))
+        prefix = F.substring("digits", F.lit(1), F.length("_prefix") + PREFIX_HEX_DIGITS)
+        groups = rows.groupBy("label", "_rank", prefix.alias("prefix")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("digits").alias("low"), F.max("digits").alias("high")
         )
-    )
-    at_boundary = keyed.join(
-        bounded_broadcast(boundary, MAX_CLASSES, "labels"),
-        F.col("label").eqNullSafe(F.col("_label")) & (F.col("prefix") == F.col("_prefix")),
-    )
-    last = (
-        at_boundary.withColumn("_n", F.row_number().over(Window.partitionBy("_label").orderBy("key", "id")))
-        .filter(F.col("_n") == F.col("_rank"))
-        .select("_label", F.col("key").alias("_last_key"), F.col("id").alias("_last_id"))
-    )
-    rows = bounded_collect(last, MAX_CLASSES, "labels")
-    return StratifiedSplit(df.sparkSession.createDataFrame(rows, last.schema), seed, columns)
+        upto = F.sum("n").over(Window.partitionBy("label").orderBy("prefix"))
+        last = groups.withColumn("upto", upto).filter("upto >= _rank and upto - n < _rank")
+        picked = bounded_collect(last.select("label", "prefix", "low", "high", "n", (F.col("_rank") - F.col("upto") + F.col("n")).alias("rank")), MAX_CLASSES, "labels")
+        open_labels = {}
+        for r in picked:
+            if r.low != r.high:
+                open_labels[r.label] = (r.low[: max(len(r.prefix), _common(r.low, r.high))], r["rank"])
+            elif r["rank"] == r.n:  # all rows of the last key
+                found.append((r.label, r.low[:KEY_DIGITS], r.low[KEY_DIGITS:] or None, None))
+            elif wide:  # some of its copies
+                found.append((r.label, r.low[:KEY_DIGITS], r.low[KEY_DIGITS:], r["rank"]))
+            else:
+                open_labels[r.label] = (r.low, r["rank"])
+    schema = "_label string, _key string, _tie string, _take long"
+    kind = df.schema[columns.label].dataType
+    thresholds = spark.createDataFrame(found, schema).withColumn("_label", F.col("_label").cast(kind))
+    return StratifiedSplit(thresholds, seed, columns, any(f[2] for f in found), any(f[3] for f in found))
 
 
 def stratified_split(

@@ -20,6 +20,10 @@ from textloom.sizing import MAX_BROADCAST_BYTES, SALTS, skew_safe_lookup
 from textloom.storage import materialise, new_path
 
 
+# Counted terms of a document, where a table brings them along; see ``operators.term_statistics``.
+COUNTS = "Term_Counts"
+
+
 @dataclass(frozen=True)
 class TfidfConfig:
     """An ``int`` document-frequency bound counts documents, a ``float`` is a fraction of them."""
@@ -52,11 +56,21 @@ def term_rows(df: DataFrame, config: TfidfConfig, columns: Columns, keep: list[s
 
     With ``outer`` a document without any term stays as one row with a NULL term.
     """
-    counts = cleaned_term_counts(F.col(columns.cleaned), *config.ngram_range)
+    counts = term_counts_of(df, config, columns)
     rows = F.inline_outer(counts) if outer else F.inline(counts)
     return df.select(columns.id, *keep, rows)
 
 
+def term_counts_of(df: DataFrame, config: TfidfConfig, columns: Columns) -> Column:
+    """The terms of each document with their counts: as stored, or else out of the cleaned text."""
+    return F.col(COUNTS) if COUNTS in df.columns else cleaned_term_counts(F.col(columns.cleaned), *config.ngram_range)
+
+
+def content_column(df: DataFrame, columns: Columns) -> str:
+    """What terms are made of."""
+    return COUNTS if COUNTS in df.columns else columns.cleaned
+
+
 def _absolute(bound: int | float, n_docs: int) -> float:
     return bound * n_docs if isinstance(bound, float) else bound
 
@@ -86,7 +100,7 @@ class TfidfModel:
         Documents are spread by id first: moving a text is cheaper than moving
         its terms, and the length of a document is then known where its terms are.
         """
-        placed = by_document(df.select(self.columns.id, *keep, self.columns.cleaned), self.columns)
+        placed = by_document(df.select(self.columns.id, *keep, content_column(df, self.columns)), self.columns)
         length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(self.columns.id)))
         return self.weighted(placed, keep).select(
             self.columns.id, *keep, "term", "tf", (F.col("raw") / length).alias("tfidf"), "df"
@@ -102,7 +116,7 @@ class TfidfModel:
         The vector's parts are written as plain columns and read back as vectors,
         which gives ML training a stored input and keeps Python out.
         """
-        placed = by_document(df.select(self.columns.id, *keep, self.columns.cleaned), self.columns)
+        placed = by_document(df.select(self.columns.id, *keep, content_column(df, self.columns)), self.columns)
         terms = lookup_terms(
             term_rows(placed, self.config, self.columns, keep, outer=True),
             indexed.select("term", "df", "idf", "idx"),
@@ -158,10 +172,13 @@ def fit_tfidf(df: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Colum
     statistics = materialise(term_statistics(df, config, columns), "term-statistics")
     n_docs = statistics.filter(F.col("term").isNull()).select("df").first()
     n_docs = n_docs["df"] if n_docs else 0
+    return model_of(statistics.filter(F.col("term").isNotNull()), n_docs, config, columns)
+
+
+def model_of(statistics: DataFrame, n_docs: int, config: TfidfConfig, columns: Columns) -> TfidfModel:
+    """The vocabulary that the bounds leave of stored ``statistics(term, df, tf)``."""
     kept = statistics.filter(
-        F.col("term").isNotNull()
-        & (F.col("df") >= _absolute(config.min_df, n_docs))
-        & (F.col("df") <= _absolute(config.max_df, n_docs))
+        (F.col("df") >= _absolute(config.min_df, n_docs)) & (F.col("df") <= _absolute(config.max_df, n_docs))
     )
     if config.max_features is not None:
         ranked = with_sorted_position(kept, "_rank", F.desc("tf"), F.asc("term"))
@@ -173,7 +190,7 @@ def fit_tfidf(df: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Colum
 def term_statistics(df: DataFrame, config: TfidfConfig, columns: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """``term, df, tf`` over the corpus. The row with a NULL term counts the documents,
     so that one pass gives both."""
-    counts = cleaned_term_counts(F.col(columns.cleaned), *config.ngram_range)
+    counts = term_counts_of(df, config, columns)
     document = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
     statistics = (
         df.select(F.inline(F.concat(document, counts)))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from textloom.columns import DEFAULT_COLUMNS, METRIC_COLUMNS, Columns
 from textloom.operators import linear, metrics, naive_bayes
 from textloom.operators.classifier import TextClassifier
-from textloom.operators.tfidf import TfidfConfig, fit_tfidf
+from textloom.operators.fused import FusedClassifiers
+from textloom.operators.term_statistics import TermStatistics, counted
+from textloom.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
 from textloom.sources.artifacts import save_classifier
 from textloom.storage import materialise
 
@@ -45,22 +47,37 @@ def evaluate_candidate(fit: Fit, test: DataFrame) -> tuple[TextClassifier, DataF
     predictions = materialise(classifier.predict(test, keep=[classifier.columns.label]), "predictions")
     predicted = time.perf_counter()
     counts = metrics.confusion_counts(predictions, classifier.columns)
+    return classifier, predictions, _metric_row(classifier, counts, trained - started, predicted - trained)
+
+
+def _metric_row(classifier: TextClassifier, counts: DataFrame, training: float, prediction: float) -> DataFrame:
     row = metrics.overall_metrics(counts, classifier.labels).select(
         F.lit(classifier.name).alias("Model"),
         "*",
-        F.lit(trained - started).alias("Training_Time"),
-        F.lit(predicted - trained).alias("Prediction_Time"),
+        F.lit(training).alias("Training_Time"),
+        F.lit(prediction).alias("Prediction_Time"),
         F.lit(classifier.has_probability).alias("Supports_Proba"),
     )
-    return classifier, predictions, row.select(*METRIC_COLUMNS)
+    return row.select(*METRIC_COLUMNS)
 
 
 def compare(fits: dict[str, Fit], test: DataFrame) -> tuple[dict[str, TextClassifier], DataFrame]:
-    """All candidates on the same test rows: the classifiers and one metric row each."""
-    fitted, rows = {}, None
+    """All candidates on the same test rows: the classifiers and one metric row each.
+
+    The candidates share a vocabulary, so one pass over the test side scores all of them;
+    ``Prediction_Time`` is that of the pass, the same for all.
+    """
+    fitted, seconds = {}, {}
     for name, fit in fits.items():
-        classifier, _, row = evaluate_candidate(fit, test)
-        fitted[name] = classifier
+        started = time.perf_counter()
+        fitted[name] = fit()
+        seconds[name] = time.perf_counter() - started
+    started = time.perf_counter()
+    counts = FusedClassifiers(list(fitted.values())).confusion_counts(test)
+    predicted = time.perf_counter() - started
+    rows = None
+    for i, (name, classifier) in enumerate(fitted.items()):
+        row = _metric_row(classifier, counts.filter(F.col("model") == i).drop("model"), seconds[name], predicted)
         rows = row if rows is None else rows.unionByName(row)
     return fitted, materialise(rows, "model-results")
 
@@ -71,13 +88,16 @@ def select_model(results: DataFrame) -> DataFrame:
 
 
 def refit_on_everything(
-    corpus: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Columns = DEFAULT_COLUMNS
+    corpus: DataFrame,
+    config: TfidfConfig = TfidfConfig(),
+    columns: Columns = DEFAULT_COLUMNS,
+    tfidf: TfidfModel | None = None,
 ) -> TextClassifier:
     """The production model: balanced logistic regression on all rows.
 
     Its training rows include the test side, so it must not be evaluated there.
     """
-    return linear.fit_logistic(linear.TrainingSet(corpus, config, columns), balanced=True)
+    return linear.fit_logistic(linear.TrainingSet(corpus, config, columns, tfidf), balanced=True)
 
 
 def train_production(
@@ -87,14 +107,22 @@ def train_production(
     columns: Columns = DEFAULT_COLUMNS,
     split: str = "split",
 ) -> TextClassifier:
-    """Measure on the held-out side, refit on all rows, store the model with what was measured."""
-    train, test = (corpus.filter(F.col(split) == side) for side in ("train", "test"))
-    held_out = linear.fit_logistic(linear.TrainingSet(train, config, columns), balanced=True)
+    """Measure on the held-out side, refit on all rows, store the model with what was measured.
+
+    Texts are cut into terms once. The statistics of all rows are those of the two sides
+    merged, and both fits and the held-out predictions read the stored counts.
+    """
+    rows = counted(corpus, config, columns, keep=[columns.label, split])
+    train, test = (rows.filter(F.col(split) == side) for side in ("train", "test"))
+    of_train = TermStatistics.of(train, config, columns)
+    rest = rows.filter(~F.col(split).eqNullSafe("train"))
+    of_all = of_train.merge(TermStatistics.of(rest, config, columns))
+    held_out = linear.fit_logistic(linear.TrainingSet(train, config, columns, of_train.fit(config, columns)), balanced=True)
     counts = materialise(
         metrics.confusion_counts(held_out.predict(test, keep=[columns.label]), columns), "confusion"
     )
     measured = metrics.overall_metrics(counts, held_out.labels).first().asDict()
     per_class = {r["label"]: r["f1"] for r in metrics.class_report(counts, held_out.labels).collect()}
-    production = refit_on_everything(corpus, config, columns)
+    production = refit_on_everything(rows, config, columns, of_all.fit(config, columns))
     save_classifier(production, path, measured, per_class)
     return production

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: ContextVar[str | None] = ContextVar("textloom_scope", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -27,8 +32,33 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Through the file system that the path belongs to; a folder that is not there is fine."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str | None = None) -> Iterator[str]:
+    """Tables stored inside the block belong to it and are deleted at its end, also after an error.
+
+    So a result that reads them has to be written before. A block that was cut off by a lost driver leaves its
+    folder behind; given the same ``name`` again, as when a micro-batch is replayed, the block clears it first.
+    Blocks nest: an inner one deletes its own.
+    """
+    folder = f"{_SCOPE.get() or shared_dir(spark) + '/textloom'}/scope-{name or uuid.uuid4().hex}"
+    if name:
+        delete_folder(spark, folder)
+    entered = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(entered)
+        delete_folder(spark, folder)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or shared_dir(spark) + '/textloom'}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
