@@ -133,3 +133,59 @@ def test_neighbour_vote_against_single_cosines(spark):
     assert got.keys() == wanted.keys()
     # The operator counts in single precision, which moves a cosine of five decimals by one unit at most.
     assert all(abs(a - b) < 1e-3 for i in got for a, b in zip(sorted(got[i]), sorted(wanted[i]), strict=True))
+
+
+def test_one_round_of_the_label_model_by_plain_loops():
+    """Rates, correlations and posterior of a round, document by document."""
+    import math
+
+    import numpy as np
+
+    from textloom.llm.toxicity import SIGNIFICANT, Votes, estimate, expected, together
+
+    rng = np.random.default_rng(7)
+    vectors, labels, n = [[], [0], [0, 1], [1, 2], [3], [0, 1, 3]], [-1, 1, 1, 0, 0, -1], [50, 7, 9, 4, 6, 3]
+    order = rng.permutation(6)
+    block = Votes.of([vectors[i] for i in order], [labels[i] for i in order], [n[i] for i in order])
+    config = ToxicityConfig(rounds=1)
+    model = estimate(lambda m: expected(block, m, 4, config), together(block, 4), 4, 0.3, config)
+    docs = [(set(v), y) for v, y, k in zip(vectors, labels, n, strict=True) for _ in range(k)]
+    guess = [0.95 if y == 1 else 0.05 if y == 0 else 0.7 if v else 0.05 for v, y in docs]
+    yes, total = sum(guess), len(docs)
+    a = [(sum(p for p, (v, _) in zip(guess, docs) if i in v) + 0.5) / (yes + 1) for i in range(4)]
+    b = [(sum(1 - p for p, (v, _) in zip(guess, docs) if i in v) + 0.5) / (total - yes + 1) for i in range(4)]
+    rest = [[(i in v) - p * a[i] - (1 - p) * b[i] for i in range(4)] for p, (v, _) in zip(guess, docs)]
+    cov = [[sum(r[i] * r[j] for r in rest) / total for j in range(4)] for i in range(4)]
+    weight = []
+    for i in range(4):
+        alike = [max(0.0, min(1.0, cov[i][j] / (math.sqrt(cov[i][i]) + 1e-9) / (math.sqrt(cov[j][j]) + 1e-9))) ** 2 for j in range(4)]
+        weight.append(1 / (1 + sum(x for j, x in enumerate(alike) if j != i and x * total > SIGNIFICANT)))
+    known = [(p if y == 1 else 1 - p) for p, (_, y) in zip(guess, docs) if y >= 0]
+    accuracy = min(max(sum(known) / len(known), 0.6), 0.99)
+    for i, posterior in zip(order, model.posterior(block), strict=True):
+        logit = math.log(0.3 / 0.7)
+        for j in range(4):
+            logit += weight[j] * (math.log(a[j] / b[j]) if j in vectors[i] else math.log((1 - a[j]) / (1 - b[j])))
+        logit += {1: 1, 0: -1, -1: 0}[labels[i]] * math.log(accuracy / (1 - accuracy))
+        assert abs(posterior - 1 / (1 + math.exp(-logit))) < 1e-9
+
+
+def test_votes_are_counted_over_all_documents(spark):
+    """Counts of vote vectors in Spark equal those of single texts, and leave out the sampled ids."""
+    from collections import Counter
+
+    from textloom.llm.toxicity import LEXICON, _voted, patterns, stems, words_of
+
+    rng = random.Random(9)
+    pool = [*LEXICON[:6], "you", "plain", "words", "HERE", "NOW!", "!!"]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(8)))) for i in range(400)] + [(None, None), (None, "you are an IDIOT")]
+    voters, sampled = [*LEXICON, "plai-"], {3, 5}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = docs.mapInArrow(lambda b: _voted(b, voters, sampled), "votes array<int>, n long").groupBy("votes").sum("n").collect()
+    want: Counter = Counter()
+    for i, text in rows:
+        if i not in sampled:
+            words = words_of(text)
+            fired = {voters.index(s) for w in words for s in stems(w) if s in voters}
+            want[tuple(sorted(fired | {len(voters) + k for k, yes in enumerate(patterns(text, words)) if yes}))] += 1
+    assert {tuple(r.votes): r["sum(n)"] for r in got} == want
