@@ -3,11 +3,13 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions.text import TOKEN_PATTERN
 from textloom.operators import classifier, linear, metrics, naive_bayes, tfidf
 from textloom.plans import evaluation, training
 from textloom.sources import artifacts
@@ -231,11 +233,14 @@ def test_production_artifacts(spark, headlines, tmp_path):
     wanted = held_out.predict(rows.filter("split = 'test'"), ["Label"])
     right = wanted.filter("Label = predicted_label").count()
     assert meta.evaluation["Accuracy"] == pytest.approx(right / 3)
-    assert set(meta.per_class_f1) == set(meta.classes)
+    assert set(meta.per_class_f1) == set(meta.per_class_recall) == set(meta.classes)
+    assert meta.test_documents == 3 and meta.token_pattern == TOKEN_PATTERN
+    assert meta.hyperparameters["class_weight"] == "balanced" and meta.hyperparameters["C"] == "1.0"
+    assert sum(meta.per_class_recall.values()) == pytest.approx(right)  # one test document in three of the classes
 
 
 def test_artifacts_roundtrip(spark, headlines, bayes, tmp_path):
-    artifacts.save_classifier(bayes, str(tmp_path), {"Accuracy": 0.9}, {"Sports": 1.0})
+    artifacts.save_classifier(bayes, str(tmp_path), artifacts.Measured({"Accuracy": 0.9}, {"Sports": 1.0}))
     loaded = artifacts.load_classifier(spark, str(tmp_path))
     assert (loaded.labels, loaded.intercepts, loaded.config) == (bayes.labels, bayes.intercepts, bayes.config)
     a = {r.ID: r.margins for r in bayes.predict(headlines).collect()}
@@ -249,6 +254,33 @@ def test_artifacts_roundtrip(spark, headlines, bayes, tmp_path):
             artifacts.load_classifier(spark, str(tmp_path) + missing + "/none")
 
 
+def test_versions_are_published_whole(spark, headlines, bayes, tmp_path):
+    path = str(tmp_path)
+    first = artifacts.save_classifier(bayes, path)
+    loaded = artifacts.load_classifier(spark, path)
+    # A save that is cut off before its pointer, with or without all parts, is not seen.
+    for part in ("versions/half/terms", "versions/other/metadata"):
+        bayes.terms.limit(1).write.parquet(f"{path}/{part}")
+    assert artifacts.current_version(spark, path) == first
+    # A model loaded from a path can be saved there, and the one loaded before still reads its own version.
+    second = artifacts.save_classifier(replace(loaded, name="again", hyperparameters={"alpha": "2.0"}), path)
+    assert artifacts.load_classifier(spark, path).name == "again"
+    assert artifacts.load_classifier(spark, path).hyperparameters == {"alpha": "2.0"}
+    assert artifacts.load_classifier(spark, path, first).name == bayes.name
+    assert loaded.predict(headlines).count() == headlines.count()
+    artifacts.publish(spark, path, first)
+    assert artifacts.publications(spark, path) == [first, second, first]
+    third = artifacts.save_classifier(bayes, path)
+    assert artifacts.drop_versions(spark, path, keep=2) == [second]
+    assert artifacts.publications(spark, path) == [first, first, third]
+    assert artifacts.load_classifier(spark, path, first).terms.count() == bayes.n_terms
+    for version in (second, "never"):
+        with pytest.raises(ValueError):
+            artifacts.publish(spark, path, version)
+    with pytest.raises(ValueError):
+        artifacts.load_classifier(spark, path + "/nothing")
+
+
 # Metrics ----------------------------------------------------------------
 
 PAIRS = [("a", "a")] * 5 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("b", "a")] + [("c", "a")] * 2

@@ -9,7 +9,7 @@ map task is one row of sums per document, never its terms.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +49,7 @@ class TextClassifier:
     has_probability: bool
     config: TfidfConfig
     columns: Columns = DEFAULT_COLUMNS
+    hyperparameters: dict[str, str] = field(default_factory=dict)
 
     def weighted_terms(self, df: DataFrame, keep: list[str]) -> DataFrame:
         rows = term_rows(df, self.config, self.columns, keep, outer=True)

@@ -65,7 +65,9 @@ class TrainingSet:
         pairs = [F.lit(x) for pair in values.items() for x in pair]
         return F.element_at(F.create_map(*pairs), F.col(self.columns.label))
 
-    def classifier(self, name: str, matrix: np.ndarray, intercepts, has_probability: bool) -> TextClassifier:
+    def classifier(
+        self, name: str, matrix: np.ndarray, intercepts, has_probability: bool, hyperparameters: dict[str, str]
+    ) -> TextClassifier:
         spark = self.vocabulary.sparkSession
         k, v = matrix.shape
         by_term = pa.table(
@@ -90,9 +92,15 @@ class TrainingSet:
             has_probability=has_probability,
             config=self.tfidf.config,
             columns=self.columns,
+            hyperparameters=hyperparameters,
         )
 
 
+def recipe(loss: str, balanced: bool, c: float, max_iter: int) -> dict[str, str]:
+    """What a model was made with, as its metadata has it."""
+    return {"loss": loss, "C": str(c), "max_iter": str(max_iter), "class_weight": "balanced" if balanced else "none"}
+
+
 def logistic_estimator(n_rows: int, c: float = 1.0, max_iter: int = 2000) -> LogisticRegression:
     # Balanced weights add up to the number of rows as well.
     return LogisticRegression(
@@ -124,6 +132,7 @@ def fit_logistic(
         model.coefficientMatrix.toArray(),
         model.interceptVector.toArray(),
         has_probability=True,
+        hyperparameters=recipe("multinomial logistic", balanced, c, max_iter),
     )
 
 
@@ -175,4 +184,5 @@ def fit_svm(data: TrainingSet, balanced: bool = False, c: float = 1.0, max_iter:
         np.vstack([m.coefficients.toArray() for m in models]),
         [m.intercept for m in models],
         has_probability=False,
+        hyperparameters=recipe("hinge", balanced, c, max_iter),
     )

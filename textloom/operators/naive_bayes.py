@@ -57,4 +57,5 @@ def fit_naive_bayes(
         has_probability=True,
         config=tfidf.config,
         columns=columns,
+        hyperparameters={"alpha": str(alpha)},
     )

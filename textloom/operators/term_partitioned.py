@@ -318,4 +318,7 @@ def fit_term_partitioned(
         terms=materialise(vocabulary.join(state.select("term", weights), "term"), "weights"),
         n_terms=data.tfidf.n_terms, n_docs=data.tfidf.n_docs, has_probability=loss.has_probability,
         config=data.tfidf.config, columns=data.columns,
+        hyperparameters={
+            "loss": loss.name, "C": str(c), "max_iter": str(max_iter), "class_weight": "balanced" if balanced else "none", "tol": str(tol),
+        },
     )

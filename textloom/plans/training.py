@@ -14,7 +14,7 @@ from textloom.operators.classifier import TextClassifier
 from textloom.operators.fused import FusedClassifiers
 from textloom.operators.term_statistics import TermStatistics, counted
 from textloom.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
-from textloom.sources.artifacts import save_classifier
+from textloom.sources.artifacts import Measured, save_classifier
 from textloom.storage import materialise
 
 Fit = Callable[[], TextClassifier]
@@ -121,8 +121,13 @@ def train_production(
     counts = materialise(
         metrics.confusion_counts(held_out.predict(test, keep=[columns.label]), columns), "confusion"
     )
-    measured = metrics.overall_metrics(counts, held_out.labels).first().asDict()
-    per_class = {r["label"]: r["f1"] for r in metrics.class_report(counts, held_out.labels).collect()}
+    report = metrics.class_report(counts, held_out.labels).collect()
+    measured = Measured(
+        metrics.overall_metrics(counts, held_out.labels).first().asDict(),
+        {r["label"]: r["f1"] for r in report},
+        {r["label"]: r["recall"] for r in report},
+        counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0],
+    )
     production = refit_on_everything(rows, config, columns, of_all.fit(config, columns))
-    save_classifier(production, path, measured, per_class)
+    save_classifier(production, path, measured)
     return production

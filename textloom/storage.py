@@ -32,10 +32,28 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Through the file system that the path belongs to; a folder that is not there is fine."""
+def _located(spark: SparkSession, path: str):
+    """The path and the file system that it belongs to."""
     name = spark._jvm.org.apache.hadoop.fs.Path(path)
-    name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
+    return name, name.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """A folder that is not there is fine."""
+    name, files = _located(spark, path)
+    files.delete(name, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, in order; nothing where there is none."""
+    name, files = _located(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(name)) if files.exists(name) else []
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file; an error where there is one already."""
+    name, files = _located(spark, path)
+    files.create(name, False).close()
 
 
 @contextmanager
