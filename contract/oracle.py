@@ -426,6 +426,11 @@ FROM sides d\n"""
     "model_metadata": _with(*BAYES_TURNS)
     + """SELECT 'Multinomial Naive Bayes' AS model, (SELECT string_agg(label, ',' ORDER BY label) FROM prior) AS classes,
   (SELECT n::BIGINT FROM nd) AS training_documents, (SELECT count(*) FROM vocab) AS vocabulary_size""",
+    "model_versions": _with(*BAYES_TURNS)
+    + r"""SELECT p::BIGINT AS publication, '[\u0900-\u097F\p{L}\p{N}_]+' AS token_pattern, alpha, most AS max_features,
+  (SELECT n::BIGINT FROM nd) AS training_documents, (SELECT least(count(*), coalesce(most, count(*))) FROM vocab) AS stored_terms,
+  p <> 2 AS is_current
+FROM (VALUES (1, '1.0', NULL::BIGINT), (2, '0.5', 500), (3, '1.0', NULL)) v(p, alpha, most)""",
     "stream_score": _with(*BAYES_TURNS)
     + f"""SELECT "ID", predicted_label, round(p, 4) AS predicted_probability, {PCT.format('p')} AS confidence_percentage FROM scored""",
     "recent_predictions": _with(*BAYES_TURNS)
@@ -464,3 +469,5 @@ FROM sides WHERE split = 'train' GROUP BY 1""",
     + """SELECT "Label" AS label, round(1.0::DOUBLE / (SELECT count(DISTINCT "Label") FROM sides WHERE split = 'train'), 3) AS mean_probability
 FROM sides WHERE split = 'train' GROUP BY 1""",
 }
+# What the stream has kept is what the batch finds in the whole log.
+ORACLE_SQL["recent_stream"] = ORACLE_SQL["recent_predictions"]

@@ -9,7 +9,7 @@ share, as they would share stored tables.
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from textloom.operators.term_statistics import TermStatistics
 from textloom.plans import evaluation, preparation, scoring, training
 from textloom.sources import artifacts, corpus, export
 from textloom.storage import materialise, new_path
+from textloom.streaming.newest import read_newest, start_newest
 from textloom.streaming.recent import recent_predictions as latest
 from textloom.streaming.score_stream import parse_payload, start_scoring
 
@@ -634,6 +635,28 @@ def q_model_metadata(spark, sf_dir):
     )
 
 
+def q_model_versions(spark, sf_dir):
+    """Two models saved under one path, then the first made current again."""
+    path = new_path(spark, "model")
+    few = fit_naive_bayes(turn_side(spark, sf_dir, "train"), tfidf.TfidfConfig(max_features=500), alpha=0.5)
+    first = artifacts.save_classifier(turn_bayes(spark, sf_dir), path)
+    artifacts.save_classifier(few, path)
+    artifacts.publish(spark, path, first)
+    told = [
+        artifacts.read_metadata(spark, path, version).select(
+            F.lit(i).cast("long").alias("publication"),
+            "token_pattern",
+            F.col("hyperparameters")["alpha"].alias("alpha"),
+            "max_features",
+            "training_documents",
+            F.lit(artifacts.load_classifier(spark, path, version).terms.count()).cast("long").alias("stored_terms"),
+            F.lit(version == artifacts.current_version(spark, path)).alias("is_current"),
+        )
+        for i, version in enumerate(artifacts.publications(spark, path), 1)
+    ]
+    return reduce(DataFrame.unionByName, told)
+
+
 def q_stream_score(spark, sf_dir):
     """The conversation table replayed as a stream of files."""
     schema = spark.read.parquet(f"{sf_dir}/conversations.parquet").schema
@@ -651,6 +674,18 @@ def q_recent_predictions(spark, sf_dir):
     return newest.select("Label", F.col("position").cast("long").alias("position"), "ID", "predicted_label")
 
 
+def q_recent_stream(spark, sf_dir):
+    """The same, kept by a stream that the log reaches in four parts, each with turns from everywhere."""
+    log = turn_bayes(spark, sf_dir).predict(prepared_turns(spark, sf_dir), keep=["conv_id", "turn", "Label"])
+    log = log.select("ID", "conv_id", "turn", "Label", "predicted_label")
+    arriving, output, state = (new_path(spark, name) for name in ("log", "newest", "newest-state"))
+    log.repartition(4, "ID").write.parquet(arriving)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    start_newest(stream, output, state, "Label", ["conv_id", "turn"], fold_every=2, available_now=True).awaitTermination()
+    newest = read_newest(spark, output, log.schema, "Label", ["conv_id", "turn"])
+    return newest.select("Label", F.col("position").cast("long").alias("position"), "ID", "predicted_label")
+
+
 # Spark ML candidates ----------------------------------------------------
 
 
