@@ -4,7 +4,9 @@ A worklist starts with the text. Each layer is scanned, then unwrapped: percent
 Unicode escapes are decoded in place, and runs of base64, compressed or not, become layers of
 their own. Lines of a run are joined, and a run is decoded from each of its first four
 characters, as what stands before the base64 may belong to the same run; all stretches of
-text in it are layers, and compressed data may begin anywhere in it. New layers are taken until
+text in it are layers, and compressed data (gzip, zlib) may begin anywhere in it. Raw deflate, which has no
+header, is tried from the run's first character. Bytes may also be written as percent escapes or as the escapes of a
+string literal; compressed data is looked for in those as well. New layers are taken until
 nothing new comes up; a layer seen before at the same place is not taken again, so cycles
 end. Each layer knows for all its characters which characters of the text they come from, and
 what is found in it is reported there.
@@ -49,6 +51,12 @@ TEXT = re.compile(
     rb"(?:[\t\n\r\x20-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
     rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}"
 )
+# Bytes as percent escapes, or as in a string literal of Python, C or JSON; the printable ones may stand for themselves.
+PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/*()!'-])+")
+PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})")
+LITERAL_RUN = re.compile(r"""(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0\\'"/])|[ -\[\]-~])+""")
+LITERAL_BYTE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([abfnrtv0\\'"/]))""")
+LETTERED = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "0": "\0"}
 HEADER = re.compile(rb"(?=\x1f\x8b\x08|[\x18\x28\x38\x48\x58\x68\x78][\x00-\xff])")
 # Streams are read in pieces; what may straddle two pieces is read with the second again. A
 # compressed beginning is tried on so many bytes, and a line end or escape fits into a margin.
@@ -145,15 +153,15 @@ def _escape(m: re.Match) -> tuple[str, np.ndarray] | None:
     return chr(code), np.array([len(m[0])])
 
 
-def _inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+def _inflated(chunks: Iterable[bytes], raw: bool = False) -> Iterator[bytes]:
     """What zlib or gzip data, also of several members, inflates to, as far as it goes."""
-    reader, rest = zlib.decompressobj(47), b""
+    reader, rest = zlib.decompressobj(-15 if raw else 47), b""
     try:
         for chunk in chunks:
             data = rest + chunk
             while True:
                 if reader.eof:
-                    if len(data) > 1 and data[:2] != b"\x1f\x8b":
+                    if raw or len(data) > 1 and data[:2] != b"\x1f\x8b":
                         return
                     if len(data) < 2:
                         break
@@ -186,8 +194,61 @@ def _inflates(data: bytes, at: int) -> bool:
 
 
 def _compressed(data: bytes) -> Iterator[int]:
-    """Where compressed data begins: at the first of three bytes, as base64 has it."""
-    return (m.start() for m in HEADER.finditer(data) if m.start() % 3 == 0 and _inflates(data, m.start()))
+    """Where compressed data begins; other bytes may stand before it."""
+    return (m.start() for m in HEADER.finditer(data) if _inflates(data, m.start()))
+
+
+def _extent(data: bytes) -> int:
+    """How many bytes the compressed data takes that the bytes begin with."""
+    reader, left = zlib.decompressobj(47), data
+    try:
+        while left and not reader.eof:
+            reader.decompress(left, PIECE)
+            left = reader.unconsumed_tail
+    except zlib.error:
+        return len(data)
+    return len(data) - len(reader.unused_data)
+
+
+def _raw_deflate(data: bytes) -> bool:
+    """Whether the bytes inflate to text without any header; anything may begin like deflate, but not like that."""
+    try:
+        begun = zlib.decompressobj(-15).decompress(data[:TRIED], 64)
+    except zlib.error:
+        return False
+    found = TEXT.match(begun)
+    return found is not None and found.end() > len(begun) - 4  # a character may be cut
+
+
+def _byte(m: re.Match) -> str:
+    written = m[m.lastindex]
+    return chr(int(written, 16)) if len(written) == 2 else LETTERED.get(written, written)
+
+
+def _unescaped(text: str, pattern: re.Pattern) -> bytes:
+    text = text.replace("+", " ") if pattern is PERCENT_BYTE else text
+    return pattern.sub(_byte, text).encode("latin-1", "replace")
+
+
+def _escaped_bytes(layer: Layer) -> Iterator[Stream]:
+    """Compressed data whose bytes are written as escapes."""
+    for mark, runs, pattern in (("%", PERCENT_RUN, PERCENT_BYTE), ("\\", LITERAL_RUN, LITERAL_BYTE)):
+        for run in runs.finditer(layer.text) if mark in layer.text else ():
+            if mark not in run[0]:
+                continue
+            data = _unescaped(run[0], pattern)
+            for begin in _compressed(data):
+                rest = data[begin:]
+                # An escape is several characters for a byte: walk up to the first byte and behind the last.
+                places, wider = [], 0
+                escapes = pattern.finditer(run[0])
+                escape = next(escapes, None)
+                for byte in (begin, begin + _extent(rest)):
+                    while escape and escape.start() - wider < byte:
+                        wider += len(escape[0]) - 1
+                        escape = next(escapes, None)
+                    places.append(run.start() + byte + wider)
+                yield Stream(lambda rest=rest: _as_text(_inflated([rest])), *layer.source(*places))
 
 
 def _bytes_of(run: str) -> bytes:
@@ -215,6 +276,8 @@ def _decoded(layer: Layer, low: int, high: int) -> Iterator[Layer | Stream]:
     run = BREAK.sub("", text) if places else text
     for shift in range(min(4, len(run) - 15)):
         data = _bytes_of(run[shift:])
+        if shift == 0 and _raw_deflate(data):
+            yield Stream(lambda rest=data: _as_text(_inflated([rest], raw=True)), *layer.source(low, high))
         for begin in _compressed(data):
             source = layer.source(int(place[shift + begin * 4 // 3]), high)
             yield Stream(lambda rest=data[begin:]: _as_text(_inflated([rest])), *source)
@@ -232,10 +295,18 @@ def _unwrapped(layer: Layer) -> Iterator[Layer | Stream]:
         yield new
     if ("\\" in text or "&#" in text) and (new := _in_place(layer, ESCAPE, _escape)):
         yield new
+    yield from _escaped_bytes(layer)
     for m in BASE64.finditer(text):
         yield from _decoded(layer, *m.span())
 
 
+def _cut(text: str) -> int:
+    """Where an escape may begin that goes on in the next piece; a row of backslashes stays together."""
+    cut = next((i for i in range(max(0, len(text) - MARGIN), len(text)) if text[i] in "%\\&"), len(text))
+    row = re.search(r"\\{0,24}$", text[max(0, cut - 24) : cut])
+    return cut - len(row[0])
+
+
 def _replaced(pieces: Iterator[str], pattern: re.Pattern, decode) -> Iterator[str]:
     """A stream with every match decoded; an escape that may go on is held back."""
 
@@ -246,7 +317,7 @@ def _replaced(pieces: Iterator[str], pattern: re.Pattern, decode) -> Iterator[st
     held = ""
     for piece in pieces:
         text = held + piece
-        cut = next((i for i in range(max(0, len(text) - MARGIN), len(text)) if text[i] in "%\\&"), len(text))
+        cut = _cut(text)
         held = text[cut:]
         yield pattern.sub(put, text[:cut])
     yield pattern.sub(put, held)
@@ -268,16 +339,49 @@ def _long_run(pieces: Iterator[str], start: int) -> Iterator[str]:
 
 
 def _long_bytes(run: Iterator[str], shift: int, start: int = 0) -> Iterator[bytes]:
-    """The run decoded from character ``shift`` on, without the first ``start`` bytes, a multiple of three."""
-    skip, held = shift + start // 3 * 4, ""
+    """The run decoded from character ``shift`` on, without the first ``start`` bytes."""
+    skip, extra, held = shift + start // 3 * 4, start % 3, ""
     for chars in run:
         skipped = min(skip, len(chars))
         skip -= skipped
         held += chars[skipped:]
         whole = len(held) // 4 * 4
-        yield _bytes_of(held[:whole])
+        data = _bytes_of(held[:whole])
+        yield data[extra:]
+        extra = max(0, extra - len(data))
         held = held[whole:]
-    yield _bytes_of(held)
+    yield _bytes_of(held)[extra:]
+
+
+def _inflating(decoded: Callable[[int], Iterator[bytes]], stream: Stream) -> Iterator[Stream]:
+    """Compressed data in bytes that come in chunks; ``decoded(at)`` gives them from one byte on."""
+
+    def inflated(at: int) -> Stream:
+        return Stream(lambda: _as_text(_inflated(decoded(at))), stream.begin, stream.end)
+
+    offset, held = 0, b""
+    for chunk in decoded(0):
+        data = held + chunk
+        done = max(0, len(data) - TRIED)
+        yield from (inflated(offset + at) for at in _compressed(data) if at < done)
+        offset, held = offset + done, data[done:]
+    yield from (inflated(offset + at) for at in _compressed(held))
+
+
+def _long_escaped(stream: Stream, pattern: re.Pattern) -> Iterator[Stream]:
+    """Compressed data whose bytes are written as escapes anywhere in a stream."""
+
+    def unescaped(start: int) -> Iterator[bytes]:
+        held = ""
+        for piece in stream.pieces():
+            text = held + piece
+            cut = _cut(text)
+            data, held = _unescaped(text[:cut], pattern), text[cut:]
+            yield data[start:]
+            start = max(0, start - len(data))
+        yield _unescaped(held, pattern)[start:]
+
+    yield from _inflating(unescaped, stream)
 
 
 def _long_decoded(stream: Stream, start: int) -> Iterator[Stream]:
@@ -288,16 +392,9 @@ def _long_decoded(stream: Stream, start: int) -> Iterator[Stream]:
 
     for shift in range(4):
         yield Stream(lambda shift=shift: _as_text(decoded(shift)), stream.begin, stream.end)
-        offset, held = 0, b""
-        for chunk in decoded(shift):
-            data = held + chunk
-            done = max(0, len(data) - TRIED) // 3 * 3
-            for at in _compressed(data):
-                if at < done:
-                    yield Stream(lambda shift=shift, at=offset + at: _as_text(_inflated(decoded(shift, at))), stream.begin, stream.end)
-            offset, held = offset + done, data[done:]
-        for at in _compressed(held):
-            yield Stream(lambda shift=shift, at=offset + at: _as_text(_inflated(decoded(shift, at))), stream.begin, stream.end)
+        if shift == 0 and _raw_deflate(next(decoded(0), b"")):
+            yield Stream(lambda: _as_text(_inflated(decoded(0), raw=True)), stream.begin, stream.end)
+        yield from _inflating(lambda at, shift=shift: decoded(shift, at), stream)
 
 
 def _streamed(stream: Stream, spans: set[tuple[int, int, int]]) -> Iterator[Layer | Stream]:
@@ -331,6 +428,9 @@ def _streamed(stream: Stream, spans: set[tuple[int, int, int]]) -> Iterator[Laye
         yield Stream(lambda: _replaced(stream.pieces(), PERCENT, _percent), stream.begin, stream.end)
     if escaped:
         yield Stream(lambda: _replaced(stream.pieces(), ESCAPE, _escape), stream.begin, stream.end)
+    for mark, pattern in ((percent, PERCENT_BYTE), (escaped, LITERAL_BYTE)):
+        if mark:
+            yield from _long_escaped(stream, pattern)
     for start in long:
         yield from _long_decoded(stream, start)
 
