@@ -61,6 +61,7 @@ HEADER = re.compile(rb"(?=\x1f\x8b\x08|[\x18\x28\x38\x48\x58\x68\x78][\x00-\xff]
 # Streams are read in pieces; what may straddle two pieces is read with the second again. A
 # compressed beginning is tried on so many bytes, and a line end or escape fits into a margin.
 PIECE, OVERLAP, TRIED, MARGIN = 1 << 22, 1 << 16, 1 << 16, 12
+CONVINCING = 256
 
 
 @dataclass
@@ -185,12 +186,18 @@ def _as_text(chunks: Iterable[bytes]) -> Iterator[str]:
 
 
 def _inflates(data: bytes, at: int) -> bool:
-    if data[at] != 0x1F and (data[at] << 8 | data[at + 1]) % 31:
+    """Whether compressed data begins there. The two bytes of zlib come up by chance, so a zlib stream must reach its
+    checksum or go on well for ``CONVINCING`` bytes; a gzip member may be cut anywhere."""
+    gzipped = data[at] == 0x1F
+    if not gzipped and (data[at] << 8 | data[at + 1]) % 31:
         return False
+    reader, begun = zlib.decompressobj(47), data[at : at + TRIED]
     try:
-        return bool(zlib.decompressobj(47).decompress(data[at : at + TRIED], TRIED))
+        inflated = reader.decompress(begun, TRIED)
     except zlib.error:
         return False
+    taken = len(begun) - len(reader.unconsumed_tail)
+    return bool(inflated) and (gzipped or reader.eof or len(inflated) >= TRIED or taken >= CONVINCING)
 
 
 def _compressed(data: bytes) -> Iterator[int]:
@@ -210,14 +217,24 @@ def _extent(data: bytes) -> int:
     return len(data) - len(reader.unused_data)
 
 
-def _raw_deflate(data: bytes) -> bool:
-    """Whether the bytes inflate to text without any header; anything may begin like deflate, but not like that."""
+def _raw_deflate(chunks: Iterable[bytes]) -> bool:
+    """Whether bytes without any header inflate, to what begins as text, and come to an end as deflate does."""
+    reader, begun = zlib.decompressobj(-15), None
     try:
-        begun = zlib.decompressobj(-15).decompress(data[:TRIED], 64)
+        for data in chunks:
+            if begun is None:
+                begun = zlib.decompressobj(-15).decompress(data[:TRIED], 64)
+                found = TEXT.match(begun)
+                if found is None or found.end() < len(begun) - 3:  # a character may be cut
+                    return False
+            while data and not reader.eof:
+                reader.decompress(data, PIECE)
+                data = reader.unconsumed_tail
+            if reader.eof:
+                return True
     except zlib.error:
-        return False
-    found = TEXT.match(begun)
-    return found is not None and found.end() > len(begun) - 4  # a character may be cut
+        pass
+    return False
 
 
 def _byte(m: re.Match) -> str:
@@ -276,7 +293,7 @@ def _decoded(layer: Layer, low: int, high: int) -> Iterator[Layer | Stream]:
     run = BREAK.sub("", text) if places else text
     for shift in range(min(4, len(run) - 15)):
         data = _bytes_of(run[shift:])
-        if shift == 0 and _raw_deflate(data):
+        if shift == 0 and _raw_deflate([data]):
             yield Stream(lambda rest=data: _as_text(_inflated([rest], raw=True)), *layer.source(low, high))
         for begin in _compressed(data):
             source = layer.source(int(place[shift + begin * 4 // 3]), high)
@@ -392,7 +409,7 @@ def _long_decoded(stream: Stream, start: int) -> Iterator[Stream]:
 
     for shift in range(4):
         yield Stream(lambda shift=shift: _as_text(decoded(shift)), stream.begin, stream.end)
-        if shift == 0 and _raw_deflate(next(decoded(0), b"")):
+        if shift == 0 and _raw_deflate(decoded(0)):
             yield Stream(lambda: _as_text(_inflated(decoded(0), raw=True)), stream.begin, stream.end)
         yield from _inflating(lambda at, shift=shift: decoded(shift, at), stream)
 
