@@ -56,6 +56,7 @@ PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/*()!'-])+")
 PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})")
 LITERAL_RUN = re.compile(r"""(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0\\'"/])|[ -\[\]-~])+""")
 LITERAL_BYTE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([abfnrtv0\\'"/]))""")
+UNWRITTEN = re.compile(r"[^ -~]")
 LETTERED = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "0": "\0"}
 HEADER = re.compile(rb"(?=\x1f\x8b\x08|[\x18\x28\x38\x48\x58\x68\x78][\x00-\xff])")
 # Streams are read in pieces; what may straddle two pieces is read with the second again. A
@@ -243,6 +244,8 @@ def _byte(m: re.Match) -> str:
 
 
 def _unescaped(text: str, pattern: re.Pattern) -> bytes:
+    """Bytes of escaped text. What no escaped text has, such as bytes decoded before, is a zero that ends compressed data."""
+    text = UNWRITTEN.sub("\0", text)
     text = text.replace("+", " ") if pattern is PERCENT_BYTE else text
     return pattern.sub(_byte, text).encode("latin-1", "replace")
 
