@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -220,14 +221,18 @@ def _extent(data: bytes) -> int:
 
 def _raw_deflate(chunks: Iterable[bytes]) -> bool:
     """Whether bytes without any header inflate, to what begins as text, and come to an end as deflate does."""
-    reader, begun = zlib.decompressobj(-15), None
+    chunks, first = iter(chunks), b""
+    for data in chunks:
+        first += data
+        if len(first) >= CONVINCING:
+            break
+    reader = zlib.decompressobj(-15)
     try:
-        for data in chunks:
-            if begun is None:
-                begun = zlib.decompressobj(-15).decompress(data[:TRIED], 64)
-                found = TEXT.match(begun)
-                if found is None or found.end() < len(begun) - 3:  # a character may be cut
-                    return False
+        begun = zlib.decompressobj(-15).decompress(first[:TRIED], 64)
+        found = TEXT.match(begun)
+        if found is None or found.end() < len(begun) - 3:  # a character may be cut
+            return False
+        for data in chain([first], chunks):
             while data and not reader.eof:
                 reader.decompress(data, PIECE)
                 data = reader.unconsumed_tail
