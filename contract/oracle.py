@@ -281,7 +281,7 @@ FROM (SELECT "Label" AS label, count(*) AS total, count(*) FILTER (split = 'trai
     "split_tables": _with(DOCUMENTS, PREPARED, SPLIT)
     + """SELECT split, count(*) AS expected_rows, count(*) AS written_rows, true AS columns_match, true AS rows_match FROM sides GROUP BY 1""",
     "split_scan": _with(DOCUMENTS, PREPARED, SPLIT) + 'SELECT "ID", "Cleaned_Text", "Label", split FROM sides',
-    "csv_roundtrip": _with(DOCUMENTS) + "SELECT * FROM corpus",
+    **dict.fromkeys(("csv_roundtrip", "csv_quoted"), _with(DOCUMENTS) + "SELECT * FROM corpus"),
     # Features
     "vocab_df": _with(DOCUMENTS, PREPARED, SPLIT, _tfidf())
     + "SELECT term, (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx, df, tf, round(idf, 6) AS idf FROM vocab",

@@ -24,7 +24,7 @@ from textloom.operators.naive_bayes import fit_naive_bayes
 from textloom.operators.term_partitioned import LOGISTIC_LOSS, TermPartitionedSet, fit_term_partitioned, loss_gradient
 from textloom.operators.term_statistics import TermStatistics
 from textloom.plans import evaluation, preparation, scoring, training
-from textloom.sources import artifacts, corpus, export
+from textloom.sources import artifacts, corpus, export, quoted_csv
 from textloom.storage import materialise, new_path
 from textloom.streaming.newest import read_newest, start_newest
 from textloom.streaming.recent import recent_predictions as latest
@@ -332,6 +332,13 @@ def q_csv_reordered(spark, sf_dir):
     return corpus.read_csv(spark, path)
 
 
+def q_csv_quoted(spark, sf_dir):
+    """Texts with line breaks, read in byte ranges."""
+    path = new_path(spark, "corpus-csv")
+    corpus.write_csv(documents(spark, sf_dir), path)
+    return quoted_csv.read_quoted_csv(spark, path)
+
+
 def q_duplicate_id_members(spark, sf_dir):
     """All turns of conversations with more than one turn."""
     turns = conversations(spark, sf_dir).select("conv_id", "turn")

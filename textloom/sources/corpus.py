@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,20 +25,31 @@ def read_csv(
     lacks is an error, as is a missing path. ``keep_corrupt`` adds ``_corrupt_record`` with
     the line of every row whose values do not fit the schema (its bad values are NULL), so
     that an audit can count them. With ``multiline`` values may hold line breaks, and each
-    file is one task; without it, large files are split.
+    file is one task; without it, large files are split. For large files whose values hold line
+    breaks there is :func:`textloom.sources.quoted_csv.read_quoted_csv`.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    header = [name.removeprefix(BYTE_ORDER_MARK) for name in reader.csv(path).columns]
+    fields, kept = csv_fields(spark, path, schema, multiline, keep_corrupt)
+    reader = _reader(spark, multiline).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(T.StructType(fields)).option("enforceSchema", True).csv(path).select(*kept)
+
+
+def _reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+
+
+def csv_fields(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool, keep_corrupt: bool
+) -> tuple[list[T.StructField], list[str]]:
+    """The fields in the order of the header, other columns as text, and the names to keep."""
+    header = [name.removeprefix(BYTE_ORDER_MARK) for name in _reader(spark, multiline).csv(path).columns]
     missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
     fields = {f.name: f for f in schema.fields}
     found = [fields.get(name, T.StructField(name, T.StringType())) for name in header]
-    kept = [*schema.names, *([CORRUPT] if keep_corrupt else [])]
     if keep_corrupt:
-        found.append(T.StructField(CORRUPT, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(T.StructType(found)).option("enforceSchema", True).csv(path).select(*kept)
+        return [*found, T.StructField(CORRUPT, T.StringType())], [*schema.names, CORRUPT]
+    return found, list(schema.names)
 
 
 def read_parquet(spark: SparkSession, path: str, mapping: dict[str, str], spread_by: str | None = None) -> DataFrame:
