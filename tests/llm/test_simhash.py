@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
+from textloom.llm import simhash
 from textloom.llm.simhash import PigeonringConfig, drop_near_duplicates, simhash_near_duplicates
 from tests.llm.conftest import texts
 
@@ -158,8 +161,11 @@ def test_block_edits_are_found_without_allowance(make_docs):
     assert {r.doc_id for r in drop_near_duplicates(make_docs(pairs)).collect()} == stays
 
 
-def test_near_copies_among_dissimilar_texts_of_one_file(make_docs):
-    """Texts of the same words in other orders have equal word fingerprints, so the links of a large file say little."""
+@pytest.mark.parametrize("cell", [4_096, 5])
+def test_near_copies_among_dissimilar_texts_of_one_file(make_docs, monkeypatch, cell):
+    """Texts of the same words in other orders have equal word fingerprints, so the links of a large file say little.
+    A file is one cell, or cut into blocks that meet in pairs."""
+    monkeypatch.setattr(simhash, "CELL_NODES", cell)
     rng, words, pairs = random.Random(23), [f"t{i}" for i in range(200)], []
     for _ in range(30):
         order = rng.sample(words, len(words))
@@ -176,3 +182,28 @@ def test_near_copies_among_dissimilar_texts_of_one_file(make_docs):
     stays = stay_by_brute_force(pairs)
     assert 25 <= len(pairs) - len(stays) <= 40 and len(stays) == 55
     assert {r.doc_id for r in drop_near_duplicates(make_docs(pairs)).collect()} == stays
+
+
+def test_groups_of_a_cell_are_compared_until_they_are_one():
+    """Links found in a cell connect what brute force connects, with and without blocks, and none is spare."""
+    rng = np.random.default_rng(5)
+    for round_ in range(30):
+        bases = [rng.choice(2**40, 60, replace=False) for _ in range(4)]
+        sets = [np.unique(np.append(rng.choice(b, rng.integers(50, 61), replace=False), i)).astype(np.uint64) for i in range(6) for b in bases]
+        label, block = rng.integers(0, 12, len(sets)), rng.integers(0, 2, len(sets)) * (round_ % 2)
+        size = np.array([len(s) for s in sets])
+        bits = np.stack([np.frombuffer(simhash._parity(s), np.uint64) for s in sets])
+        links = list(simhash._group_links(label, size, block, bits, [s.tobytes() for s in sets], 0.8))
+
+        def components(pairs):
+            group = label.copy()
+            for a, b in pairs:
+                group[group == group[b]] = group[a]
+            return group
+
+        across = len(set(block)) == 2
+        pairs = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if not across or block[a] != block[b]]
+        want = components([(a, b) for a, b in pairs if simhash._jaccard(sets[a], sets[b]) >= 0.8])
+        got = components(links)
+        assert [want.tolist().index(x) for x in want] == [got.tolist().index(x) for x in got]
+        assert len(links) == len(set(label)) - len(set(got.tolist()))

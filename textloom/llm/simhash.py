@@ -41,6 +41,8 @@ HASHES = 1 << 21
 # Shingles put last in the order of a prefix: at most so many, each in so many texts of a block or more.
 FREQUENT, OFTEN = 100_000, 4
 PARITY_BITS = 1024
+# A block of a file that is searched for similar pairs has about so many texts, and so many shingles, at most.
+CELL_NODES, CELL_HASHES = 4_096, 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -342,14 +344,15 @@ def _prefix(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similar
     return np.concatenate([rare, hashes[known][np.argsort(frequent[1][at[known]])[: n - len(rare)]]])
 
 
-def shared_prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+def shared_prefixes(texts: DataFrame, words: int, similarity: float, hashes: int) -> DataFrame:
     """``(file, node)`` over ``texts(node, text)``: the nodes that share a shingle of their prefixes.
 
     Hashes travel packed, 12 bytes each. Files of the same nodes are one, so near copies, which
-    share many shingles, meet once. Nodes may repeat.
+    share many shingles, meet once. Nodes may repeat. Buckets are made for so many ``hashes`` of all distinct texts.
     """
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
-    buckets = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, math.ceil(hashes * (1 - similarity) / HASHES))
     packed = np.dtype([("key", "<u4"), ("node", "<i8")])
 
     def packs(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
@@ -396,62 +399,83 @@ def shared_prefixes(texts: DataFrame, words: int, similarity: float) -> DataFram
     return moved.mapInArrow(meet, "file long, node long").distinct()
 
 
-def _candidates(members: DataFrame, similarity: float, tree: bool) -> DataFrame:
-    """``(a, b)`` of ``members(file, node, label, size, bits)``: pairs of a file, of different labels, that may be similar.
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets of hashes."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
 
-    Sizes and parities rule out only what cannot be. With ``tree``, a file's nodes are linked from
-    one to the next among those not reached yet, else all its pairs come.
+
+def _group_links(label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: np.ndarray, sets: list[bytes], similarity: float):
+    """Links, as positions, that connect whatever is similar: of one block if there is one, else of both.
+
+    Only nodes of different groups are compared, and a link makes two groups one. The largest group's nodes
+    are compared to others only. Sizes and parities rule out what cannot be similar, the sets decide.
+    """
+    order = np.argsort(size, kind="stable")
+    size, block, bits = size[order], block[order], bits[order]
+    group = np.unique(label[order], return_inverse=True)[1]
+    large = group == np.argmax(np.bincount(group))
+    apart, one_block, at = (1 - similarity) / (1 + similarity), bool((block == block[0]).all()), np.arange(len(size))
+    for one in np.flatnonzero(~large).tolist():
+        low = np.searchsorted(size, similarity * size[one] - 1e-9)
+        high = np.searchsorted(size, size[one] / similarity + 1e-9, "right")
+        others = at[low:high]
+        others = others[(group[others] != group[one]) & ((others > one) | large[others])]
+        if not one_block:
+            others = others[block[others] != block[one]]
+        differ = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
+        may = differ <= apart * (size[others] + size[one]) + 1e-9
+        others, differ = others[may], differ[may]
+        mine = np.frombuffer(sets[order[one]], np.uint64) if len(others) else None
+        for other in others[np.argsort(differ, kind="stable")].tolist():
+            if group[other] != group[one] and _jaccard(mine, np.frombuffer(sets[order[other]], np.uint64)) >= similarity:
+                yield int(order[one]), int(order[other])
+                group[group == group[other]] = group[one]
+
+
+def _prefix_links(files: DataFrame, labelled: DataFrame, texts_of, words: int, similarity: float) -> DataFrame:
+    """``(a, b)``: links that connect all similar nodes of different labels that ``files(file, node)`` have together.
+
+    A file is cut into blocks of bounded size, and each two blocks, and each one, are a cell: what a task holds is a
+    cell, and a node's set travels once per cell and not once per pair. Files of one label are left out.
     """
-    apart = (1 - similarity) / (1 + similarity)
-
-    def pairs(label: np.ndarray, size: np.ndarray, bits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        def may(one: int, others: np.ndarray) -> np.ndarray:
-            low, high = np.minimum(size[others], size[one]), np.maximum(size[others], size[one])
-            differ = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
-            return (low >= similarity * high - 1e-9) & (differ <= apart * (low + high) + 1e-9)
-
-        left = np.arange(len(label))
-        if not tree:
-            for one in left:
-                others = left[one + 1 :]
-                others = others[label[others] != label[one]]
-                yield int(one), others[may(one, others)]
-            return
-        while len(left):
-            frontier, left = [int(left[0])], left[1:]
-            while frontier and len(left):
-                one = frontier.pop()
-                same = label[left] == label[one]
-                near = same | may(one, left)
-                yield one, left[near & ~same]
-                frontier += left[near].tolist()
-                left = left[~near]
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            columns = [[_parity(s) for s in sets], [s.tobytes() for s in sets]]
+            columns = [batch.column("node"), *(pa.array(c, pa.binary()) for c in columns)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "bits", "hashes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["file"]):
-            file, node, label, size = (table.column(c).to_numpy() for c in ("file", "node", "label", "size"))
+        for table in sorted_groups(batches, ["file", "low", "high"]):
+            columns = ("file", "low", "high", "node", "label", "size", "block")
+            file, low, high, node, label, size, block = (table.column(c).to_numpy() for c in columns)
             bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(file), -1)
-            first = np.flatnonzero(np.concatenate(([True], file[1:] != file[:-1])))
-            found, total = [], 0
-            for low, high in zip(first, np.append(first[1:], len(file)), strict=True):
-                for one, others in pairs(label[low:high], size[low:high], bits[low:high]):
-                    if len(others):
-                        found.append(np.sort(np.stack([np.full(len(others), node[low + one]), node[low + others]], axis=1), axis=1))
-                        total += len(others)
-                    if total >= HASHES:
-                        yield _pair_batch(found)
-                        found, total = [], 0
+            sets = table.column("hashes").to_pylist()
+            new = (file[1:] != file[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            first = np.flatnonzero(np.concatenate(([True], new)))
+            found = []
+            for a, b in zip(first, np.append(first[1:], len(file)), strict=True):
+                cell = slice(a, b)
+                links = _group_links(label[cell], size[cell], block[cell], bits[cell], sets[a:b], similarity)
+                found += [sorted((int(node[a + x]), int(node[a + y]))) for x, y in links]
             if found:
-                yield _pair_batch(found)
-
-    several = members.groupBy("file").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
-    members = members.join(several.select("file"), "file", "left_semi")
-    return members.repartition("file").sortWithinPartitions("file").mapInArrow(run, "a long, b long").distinct()
-
-
-def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                pairs = np.unique(np.array(found, np.int64), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    members = files.join(labelled.select("node", "label", "size"), "node")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CELL_NODES), F.ceil(F.sum("size") / CELL_HASHES)).cast("long")
+    several = members.groupBy("file").agg(F.min("label").alias("_min"), F.max("label").alias("_max"), blocks.alias("blocks"))
+    members = members.join(several.filter("_min < _max").select("file", "blocks"), "file")
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "file", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "size"
+    )
+    cells = materialise(cells, "prefix-cells")
+    sets = texts_of(cells.select("node").distinct()).mapInArrow(packed, "node long, bits binary, hashes binary")
+    placed = cells.join(materialise(sets, "shingle-sets"), "node").repartition("file", "low", "high")
+    return placed.sortWithinPartitions("file", "low", "high").mapInArrow(run, "a long, b long").distinct()
 
 
 def drop_near_duplicates(
@@ -470,9 +494,9 @@ def drop_near_duplicates(
     groups by about one link each. The rest, such as copies with a block appended or replaced,
     whose words move a SimHash too far, and pairs whose file was linked by others that are not
     as similar, comes from an exact search: two texts as similar as asked share one of their
-    rarest shingles (prefix filter). Texts that do, and are not in one group yet, are linked
-    by a tree per file first and, where its links fail, by all remaining pairs; sizes and
-    parities of the shingle sets rule out only what cannot be similar, and shingles decide.
+    rarest shingles (prefix filter). Texts that do, and are not in one group yet, are compared
+    where the packed sets of a file's block, or of two, meet; groups become one with each link found. Sizes and
+    parities of the sets rule out only what cannot be similar, and the sets, 64 bits a shingle, decide.
 
     A text is known by 64 bits of its digest. Defined cases: texts without words are one
     group. Of equal ids the smaller text digest stays, of equal rows one. A null id comes
@@ -503,23 +527,19 @@ def drop_near_duplicates(
     distinct = prints.groupBy("digest", "node", "size", "bits", *names).agg(F.min("doc_id").alias("doc_id"))
     distinct = materialise(distinct, "distinct-texts")
 
-    def verified(links: DataFrame) -> DataFrame:
-        linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        named = distinct.join(linked, "node").select("node", "doc_id", "digest")
-        texts = rows.drop("node").join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
-        return materialise(_verified(links, materialise(texts, "near-texts"), words, similarity), "similar-links")
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        named = distinct.join(nodes, "node").select("node", "doc_id", "digest")
+        return rows.drop("node").join(named, ["doc_id", "digest"]).select("node", "text").dropDuplicates(["node"])
 
-    tested = materialise(near_links(distinct, names, config).distinct(), "near-links")
-    similar = verified(tested)
+    near = materialise(near_links(distinct, names, config).distinct(), "near-links")
+    texts = materialise(texts_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-texts")
+    similar = materialise(_verified(near, texts, words, similarity), "similar-links")
     labelled = _labelled(distinct, similar)
-    files = materialise(shared_prefixes(rows, words, similarity), "prefix-files")
-    for tree in (True, False):
-        members = files.join(labelled.select("node", "label", "size", "bits"), "node")
-        links = _candidates(members, similarity, tree).join(tested, ["a", "b"], "left_anti")
-        links = materialise(links, "prefix-links")
-        if not links.isEmpty():
-            tested, similar = tested.union(links), similar.union(verified(links))
-            labelled = _labelled(distinct, similar)
+    hashes = distinct.agg(F.sum("size")).first()[0] or 0
+    files = materialise(shared_prefixes(rows, words, similarity, hashes), "prefix-files")
+    more = materialise(_prefix_links(files, labelled, texts_of, words, similarity), "prefix-links")
+    if not more.isEmpty():
+        labelled = _labelled(distinct, similar.union(more))
     stays = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
     kept = rows.select("row", "doc_id", "digest").join(stays, ["doc_id", "digest"], "left_semi")
     return kept.dropDuplicates(["doc_id", "digest"]).select("row.*")
