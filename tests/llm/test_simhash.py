@@ -184,8 +184,8 @@ def test_near_copies_among_dissimilar_texts_of_one_file(make_docs, monkeypatch,
     assert {r.doc_id for r in drop_near_duplicates(make_docs(pairs)).collect()} == stays
 
 
-def test_groups_of_a_cell_are_compared_until_they_are_one():
-    """Links found in a cell connect what brute force connects, with and without blocks, and none is spare."""
+def test_groups_are_compared_until_they_are_one():
+    """Links found connect what brute force connects and none is spare; clusters, of one block or two, leave out no similar pair."""
     rng = np.random.default_rng(5)
     for round_ in range(30):
         bases = [rng.choice(2**40, 60, replace=False) for _ in range(4)]
@@ -193,17 +193,19 @@ def test_groups_of_a_cell_are_compared_until_they_are_one():
         label, block = rng.integers(0, 12, len(sets)), rng.integers(0, 2, len(sets)) * (round_ % 2)
         size = np.array([len(s) for s in sets])
         bits = np.stack([np.frombuffer(simhash._parity(s), np.uint64) for s in sets])
-        links = list(simhash._group_links(label, size, block, bits, [s.tobytes() for s in sets], 0.8))
+        pairs = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if simhash._jaccard(sets[a], sets[b]) >= 0.8]
 
-        def components(pairs):
+        def components(links):
             group = label.copy()
-            for a, b in pairs:
+            for a, b in links:
                 group[group == group[b]] = group[a]
-            return group
-
-        across = len(set(block)) == 2
-        pairs = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if not across or block[a] != block[b]]
-        want = components([(a, b) for a, b in pairs if simhash._jaccard(sets[a], sets[b]) >= 0.8])
-        got = components(links)
-        assert [want.tolist().index(x) for x in want] == [got.tolist().index(x) for x in got]
-        assert len(links) == len(set(label)) - len(set(got.tolist()))
+            return group.tolist()
+
+        links = list(simhash._group_links(label, size, bits, [s.tobytes() for s in sets], 0.8))
+        want, got = components(pairs), components(links)
+        assert [want.index(x) for x in want] == [got.index(x) for x in got]
+        assert len(links) == len(set(label.tolist())) - len(set(got))
+        cluster = simhash._clusters(label, size, block, bits, 0.8)
+        across = len(set(block.tolist())) == 2
+        met = [(a, b) for a, b in pairs if label[a] != label[b] and (not across or block[a] != block[b])]
+        assert met and all(cluster[a] == cluster[b] for a, b in met)

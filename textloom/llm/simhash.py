@@ -41,8 +41,8 @@ HASHES = 1 << 21
 # Shingles put last in the order of a prefix: at most so many, each in so many texts of a block or more.
 FREQUENT, OFTEN = 100_000, 4
 PARITY_BITS = 1024
-# A block of a file that is searched for similar pairs has about so many texts, and so many shingles, at most.
-CELL_NODES, CELL_HASHES = 4_096, 1 << 20
+# A block of a file that is searched for similar pairs has about so many texts at most.
+CELL_NODES = 4_096
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -405,27 +405,54 @@ def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def _group_links(label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: np.ndarray, sets: list[bytes], similarity: float):
-    """Links, as positions, that connect whatever is similar: of one block if there is one, else of both.
+def _may_be_similar(one: int, others: np.ndarray, size: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those that their sizes and parities do not rule out, and in how many bits they differ."""
+    differ = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
+    may = differ <= (1 - similarity) / (1 + similarity) * (size[others] + size[one]) + 1e-9
+    return others[may], differ[may]
 
-    Only nodes of different groups are compared, and a link makes two groups one. The largest group's nodes
-    are compared to others only. Sizes and parities rule out what cannot be similar, the sets decide.
-    """
-    order = np.argsort(size, kind="stable")
-    size, block, bits = size[order], block[order], bits[order]
-    group = np.unique(label[order], return_inverse=True)[1]
-    large = group == np.argmax(np.bincount(group))
-    apart, one_block, at = (1 - similarity) / (1 + similarity), bool((block == block[0]).all()), np.arange(len(size))
+
+def _partners(label: np.ndarray, size: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """By nodes in the order of size: for each node but those of the commonest label, nodes of fitting size of which
+    some may have its label. Every two nodes of different labels come up once."""
+    names = np.unique(label, return_inverse=True)[1]
+    large = names == np.argmax(np.bincount(names))
+    at = np.arange(len(size))
     for one in np.flatnonzero(~large).tolist():
         low = np.searchsorted(size, similarity * size[one] - 1e-9)
         high = np.searchsorted(size, size[one] / similarity + 1e-9, "right")
         others = at[low:high]
-        others = others[(group[others] != group[one]) & ((others > one) | large[others])]
+        yield one, others[(others > one) | large[others]]
+
+
+def _clusters(label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: np.ndarray, similarity: float) -> np.ndarray:
+    """A number per node: nodes of different labels that may be similar have the same, directly or through others.
+
+    Only nodes of one block are compared if there is one, else those of different blocks.
+    """
+    order = np.argsort(size, kind="stable")
+    label, size, block, bits = label[order], size[order], block[order], bits[order]
+    one_block, cluster = bool((block == block[0]).all()), np.arange(len(size))
+    for one, others in _partners(label, size, similarity):
+        others = others[(cluster[others] != cluster[one]) & (label[others] != label[one])]
         if not one_block:
             others = others[block[others] != block[one]]
-        differ = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
-        may = differ <= apart * (size[others] + size[one]) + 1e-9
-        others, differ = others[may], differ[may]
+        found = np.unique(cluster[_may_be_similar(one, others, size, bits, similarity)[0]])
+        if len(found):
+            cluster[np.isin(cluster, found)] = cluster[one]
+    out = np.empty_like(cluster)
+    out[order] = cluster
+    return out
+
+
+def _group_links(label: np.ndarray, size: np.ndarray, bits: np.ndarray, sets: list[bytes], similarity: float) -> Iterator[tuple[int, int]]:
+    """Links, as positions, that connect whatever is similar. Only nodes of different groups are compared, and a link
+    makes two groups one."""
+    order = np.argsort(size, kind="stable")
+    label, size, bits = label[order], size[order], bits[order]
+    group = np.unique(label, return_inverse=True)[1]
+    for one, others in _partners(label, size, similarity):
+        others, differ = _may_be_similar(one, others[group[others] != group[one]], size, bits, similarity)
         mine = np.frombuffer(sets[order[one]], np.uint64) if len(others) else None
         for other in others[np.argsort(differ, kind="stable")].tolist():
             if group[other] != group[one] and _jaccard(mine, np.frombuffer(sets[order[other]], np.uint64)) >= similarity:
@@ -433,49 +460,85 @@ def _group_links(label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: n
                 group[group == group[other]] = group[one]
 
 
-def _prefix_links(files: DataFrame, labelled: DataFrame, texts_of, words: int, similarity: float) -> DataFrame:
-    """``(a, b)``: links that connect all similar nodes of different labels that ``files(file, node)`` have together.
+def _bits_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(table.num_rows, -1)
 
-    A file is cut into blocks of bounded size, and each two blocks, and each one, are a cell: what a task holds is a
-    cell, and a node's set travels once per cell and not once per pair. Files of one label are left out.
-    """
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
-            columns = [[_parity(s) for s in sets], [s.tobytes() for s in sets]]
-            columns = [batch.column("node"), *(pa.array(c, pa.binary()) for c in columns)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "bits", "hashes"])
+def _borders(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    new = np.concatenate(([True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])))
+    first = np.flatnonzero(new)
+    return zip(first.tolist(), np.append(first[1:], len(new)).tolist(), strict=True)
+
+
+def _name_of(nodes: np.ndarray) -> int:
+    """64 bits of a set of nodes."""
+    digest = xxhash.xxh64_intdigest(np.sort(nodes).tobytes())
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def similar_clusters(files: DataFrame, labelled: DataFrame, similarity: float) -> DataFrame:
+    """``(cluster, node)`` over ``files(file, node)``: nodes of different labels that sizes and parities leave, directly or through others.
+
+    A file is cut into blocks of bounded size, and each two blocks, and each one, are a cell that a task holds. Clusters of
+    the same nodes are one, however many files have them. Files of one label are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["file", "low", "high"]):
             columns = ("file", "low", "high", "node", "label", "size", "block")
             file, low, high, node, label, size, block = (table.column(c).to_numpy() for c in columns)
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(file), -1)
-            sets = table.column("hashes").to_pylist()
-            new = (file[1:] != file[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            first = np.flatnonzero(np.concatenate(([True], new)))
-            found = []
-            for a, b in zip(first, np.append(first[1:], len(file)), strict=True):
-                cell = slice(a, b)
-                links = _group_links(label[cell], size[cell], block[cell], bits[cell], sets[a:b], similarity)
-                found += [sorted((int(node[a + x]), int(node[a + y]))) for x, y in links]
-            if found:
-                pairs = np.unique(np.array(found, np.int64), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    members = files.join(labelled.select("node", "label", "size"), "node")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CELL_NODES), F.ceil(F.sum("size") / CELL_HASHES)).cast("long")
+            bits, names, nodes = _bits_of(table), [], []
+            for a, b in _borders(file, low, high):
+                cluster = _clusters(label[a:b], size[a:b], block[a:b], bits[a:b], similarity)
+                order = np.argsort(cluster, kind="stable")
+                for x, y in _borders(cluster[order]):
+                    if y - x > 1:
+                        nodes.append(node[a:b][order[x:y]])
+                        names.append(np.full(y - x, _name_of(nodes[-1])))
+            if names:
+                columns = [pa.array(np.concatenate(c)) for c in (names, nodes)]
+                yield pa.RecordBatch.from_arrays(columns, ["cluster", "node"])
+
+    members = files.join(labelled.select("node", "label", "size", "bits"), "node")
+    blocks = F.ceil(F.count(F.lit(1)) / CELL_NODES).cast("long")
     several = members.groupBy("file").agg(F.min("label").alias("_min"), F.max("label").alias("_max"), blocks.alias("blocks"))
     members = members.join(several.filter("_min < _max").select("file", "blocks"), "file")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "file", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "size"
+        "file", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "size", "bits"
     )
-    cells = materialise(cells, "prefix-cells")
-    sets = texts_of(cells.select("node").distinct()).mapInArrow(packed, "node long, bits binary, hashes binary")
-    placed = cells.join(materialise(sets, "shingle-sets"), "node").repartition("file", "low", "high")
-    return placed.sortWithinPartitions("file", "low", "high").mapInArrow(run, "a long, b long").distinct()
+    cells = cells.repartition("file", "low", "high").sortWithinPartitions("file", "low", "high")
+    return cells.mapInArrow(run, "cluster long, node long").distinct()
+
+
+def _cluster_links(clusters: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: links that connect all similar nodes of different labels that a cluster has. A node's set,
+    ``sets(node, label, size, bits, hashes)``, travels once per cluster and not once per pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["cluster"]):
+            cluster, node, label, size = (table.column(c).to_numpy() for c in ("cluster", "node", "label", "size"))
+            bits, sets, found = _bits_of(table), table.column("hashes").to_pylist(), []
+            for a, b in _borders(cluster):
+                links = _group_links(label[a:b], size[a:b], bits[a:b], sets[a:b], similarity)
+                found += [sorted((int(node[a + x]), int(node[a + y]))) for x, y in links]
+            if found:
+                pairs = np.unique(np.array(found, np.int64), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    placed = clusters.join(sets, "node").repartition("cluster").sortWithinPartitions("cluster")
+    return placed.mapInArrow(run, "a long, b long").distinct()
+
+
+def _packed_sets(texts: DataFrame, words: int) -> DataFrame:
+    """``(node, hashes)`` of ``texts(node, text)``: the shingle sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
 def drop_near_duplicates(
@@ -494,9 +557,9 @@ def drop_near_duplicates(
     groups by about one link each. The rest, such as copies with a block appended or replaced,
     whose words move a SimHash too far, and pairs whose file was linked by others that are not
     as similar, comes from an exact search: two texts as similar as asked share one of their
-    rarest shingles (prefix filter). Texts that do, and are not in one group yet, are compared
-    where the packed sets of a file's block, or of two, meet; groups become one with each link found. Sizes and
-    parities of the sets rule out only what cannot be similar, and the sets, 64 bits a shingle, decide.
+    rarest shingles (prefix filter). Texts that do, are not in one group yet and are not ruled out by the sizes and
+    parities of their sets make up clusters; the packed sets, 64 bits a shingle, meet there once and decide, and groups
+    become one with each link found.
 
     A text is known by 64 bits of its digest. Defined cases: texts without words are one
     group. Of equal ids the smaller text digest stays, of equal rows one. A null id comes
@@ -537,7 +600,10 @@ def drop_near_duplicates(
     labelled = _labelled(distinct, similar)
     hashes = distinct.agg(F.sum("size")).first()[0] or 0
     files = materialise(shared_prefixes(rows, words, similarity, hashes), "prefix-files")
-    more = materialise(_prefix_links(files, labelled, texts_of, words, similarity), "prefix-links")
+    clusters = materialise(similar_clusters(files, labelled, similarity), "similar-clusters")
+    named = labelled.select("node", "label", "size", "bits")
+    sets = materialise(named.join(_packed_sets(texts_of(clusters.select("node").distinct()), words), "node"), "shingle-sets")
+    more = materialise(_cluster_links(clusters, sets, similarity), "prefix-links")
     if not more.isEmpty():
         labelled = _labelled(distinct, similar.union(more))
     stays = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
