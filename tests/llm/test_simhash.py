@@ -201,7 +201,7 @@ def test_groups_are_compared_until_they_are_one():
                 group[group == group[b]] = group[a]
             return group.tolist()
 
-        links = list(simhash._group_links(label, size, bits, [s.tobytes() for s in sets], 0.8))
+        links = list(simhash._group_links(label, size, np.zeros(len(sets), int), bits, sets, 0.8))
         want, got = components(pairs), components(links)
         assert [want.index(x) for x in want] == [got.index(x) for x in got]
         assert len(links) == len(set(label.tolist())) - len(set(got))

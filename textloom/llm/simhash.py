@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import NO_ID_LAST, hex64, sorted_groups
@@ -41,8 +41,8 @@ HASHES = 1 << 21
 # Shingles put last in the order of a prefix: at most so many, each in so many texts of a block or more.
 FREQUENT, OFTEN = 100_000, 4
 PARITY_BITS = 1024
-# A block of a file that is searched for similar pairs has about so many texts at most.
-CELL_NODES = 4_096
+# A block of a file that is searched for similar pairs has about so many texts at most, and so many shingles where those are read.
+CELL_NODES, CELL_HASHES = 4_096, 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -445,17 +445,20 @@ def _clusters(label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: np.n
     return out
 
 
-def _group_links(label: np.ndarray, size: np.ndarray, bits: np.ndarray, sets: list[bytes], similarity: float) -> Iterator[tuple[int, int]]:
-    """Links, as positions, that connect whatever is similar. Only nodes of different groups are compared, and a link
-    makes two groups one."""
+def _group_links(
+    label: np.ndarray, size: np.ndarray, block: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], similarity: float
+) -> Iterator[tuple[int, int]]:
+    """Links, as positions, that connect whatever is similar, of one block or of different ones. Only nodes of different
+    groups are compared, and a link makes two groups one."""
     order = np.argsort(size, kind="stable")
-    label, size, bits = label[order], size[order], bits[order]
-    group = np.unique(label, return_inverse=True)[1]
+    label, size, block, bits = label[order], size[order], block[order], bits[order]
+    one_block, group = bool((block == block[0]).all()), np.unique(label, return_inverse=True)[1]
     for one, others in _partners(label, size, similarity):
-        others, differ = _may_be_similar(one, others[group[others] != group[one]], size, bits, similarity)
-        mine = np.frombuffer(sets[order[one]], np.uint64) if len(others) else None
+        others = others[(group[others] != group[one]) & (one_block | (block[others] != block[one]))]
+        others, differ = _may_be_similar(one, others, size, bits, similarity)
+        mine = sets[order[one]]
         for other in others[np.argsort(differ, kind="stable")].tolist():
-            if group[other] != group[one] and _jaccard(mine, np.frombuffer(sets[order[other]], np.uint64)) >= similarity:
+            if group[other] != group[one] and _jaccard(mine, sets[order[other]]) >= similarity:
                 yield int(order[one]), int(order[other])
                 group[group == group[other]] = group[one]
 
@@ -470,75 +473,70 @@ def _borders(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(first.tolist(), np.append(first[1:], len(new)).tolist(), strict=True)
 
 
-def _name_of(nodes: np.ndarray) -> int:
-    """64 bits of a set of nodes."""
-    digest = xxhash.xxh64_intdigest(np.sort(nodes).tobytes())
-    return digest - (1 << 64) if digest >> 63 else digest
+CELL = ("file", "low", "high")
 
 
-def similar_clusters(files: DataFrame, labelled: DataFrame, similarity: float) -> DataFrame:
-    """``(cluster, node)`` over ``files(file, node)``: nodes of different labels that sizes and parities leave, directly or through others.
+def _cells(members: DataFrame, blocks: Column) -> DataFrame:
+    """``members(file, node, label, size, ...)`` of several labels, each file cut into so many blocks; each two blocks, and each one,
+    are a cell. Files of one label are left out."""
+    carried = [c for c in members.columns if c != "file"]
+    several = members.groupBy("file").agg(F.min("label").alias("_min"), F.max("label").alias("_max"), blocks.cast("long").alias("blocks"))
+    cut = members.join(several.filter("_min < _max").select("file", "blocks"), "file")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return cut.select("file", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", *carried)
 
-    A file is cut into blocks of bounded size, and each two blocks, and each one, are a cell that a task holds. Clusters of
-    the same nodes are one, however many files have them. Files of one label are left out.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["file", "low", "high"]):
-            columns = ("file", "low", "high", "node", "label", "size", "block")
-            file, low, high, node, label, size, block = (table.column(c).to_numpy() for c in columns)
-            bits, names, nodes = _bits_of(table), [], []
-            for a, b in _borders(file, low, high):
-                cluster = _clusters(label[a:b], size[a:b], block[a:b], bits[a:b], similarity)
-                order = np.argsort(cluster, kind="stable")
-                for x, y in _borders(cluster[order]):
-                    if y - x > 1:
-                        nodes.append(node[a:b][order[x:y]])
-                        names.append(np.full(y - x, _name_of(nodes[-1])))
-            if names:
-                columns = [pa.array(np.concatenate(c)) for c in (names, nodes)]
-                yield pa.RecordBatch.from_arrays(columns, ["cluster", "node"])
+def _by_cell(cells: DataFrame) -> DataFrame:
+    return cells.repartition(*CELL).sortWithinPartitions(*CELL)
 
-    members = files.join(labelled.select("node", "label", "size", "bits"), "node")
-    blocks = F.ceil(F.count(F.lit(1)) / CELL_NODES).cast("long")
-    several = members.groupBy("file").agg(F.min("label").alias("_min"), F.max("label").alias("_max"), blocks.alias("blocks"))
-    members = members.join(several.filter("_min < _max").select("file", "blocks"), "file")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "file", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "size", "bits"
-    )
-    cells = cells.repartition("file", "low", "high").sortWithinPartitions("file", "low", "high")
-    return cells.mapInArrow(run, "cluster long, node long").distinct()
+
+def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _cluster_links(clusters: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: links that connect all similar nodes of different labels that a cluster has. A node's set,
-    ``sets(node, label, size, bits, hashes)``, travels once per cluster and not once per pair."""
+def may_be_similar(members: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: links that connect the nodes of different labels which a file of ``members(file, node, label, size, bits)``
+    has together and which sizes and parities do not rule out. A task holds a cell, of some 16 and more numbers a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["cluster"]):
-            cluster, node, label, size = (table.column(c).to_numpy() for c in ("cluster", "node", "label", "size"))
-            bits, sets, found = _bits_of(table), table.column("hashes").to_pylist(), []
-            for a, b in _borders(cluster):
-                links = _group_links(label[a:b], size[a:b], bits[a:b], sets[a:b], similarity)
-                found += [sorted((int(node[a + x]), int(node[a + y]))) for x, y in links]
-            if found:
-                pairs = np.unique(np.array(found, np.int64), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        for table in sorted_groups(batches, list(CELL)):
+            file, low, high, node, label, size, block = (table.column(c).to_numpy() for c in (*CELL, "node", "label", "size", "block"))
+            bits, found = _bits_of(table), []
+            for a, b in _borders(file, low, high):
+                cluster = _clusters(label[a:b], size[a:b], block[a:b], bits[a:b], similarity)
+                hub = np.full(b - a, np.iinfo(np.int64).max)
+                np.minimum.at(hub, cluster, node[a:b])
+                pairs = np.stack([hub[cluster], node[a:b]], axis=1)
+                found.append(pairs[pairs[:, 0] != pairs[:, 1]])
+            found = np.unique(np.concatenate(found), axis=0)
+            if len(found):
+                yield _pair_batch(found)
 
-    placed = clusters.join(sets, "node").repartition("cluster").sortWithinPartitions("cluster")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    cells = _cells(members, F.ceil(F.count(F.lit(1)) / CELL_NODES))
+    return _by_cell(cells).mapInArrow(run, "a long, b long").distinct()
 
 
-def _packed_sets(texts: DataFrame, words: int) -> DataFrame:
-    """``(node, hashes)`` of ``texts(node, text)``: the shingle sets."""
+def _cluster_links(clusters: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``(a, b)``: links that connect all similar nodes of different labels in ``clusters(file, node, label, size)``.
+
+    A node is in one cluster. Clusters are cut into blocks of bounded size, so a text, ``texts(node, text)``, travels once, or once per
+    block of a large cluster, and never once per pair; its shingle set is made where it arrives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
+        for table in sorted_groups(batches, list(CELL)):
+            file, low, high, node, label, size, block = (table.column(c).to_numpy() for c in (*CELL, "node", "label", "size", "block"))
+            text, found = table.column("text"), []
+            for a, b in _borders(file, low, high):
+                sets = [shingle_set(text[i].as_py(), words) for i in range(a, b)]
+                bits = np.stack([np.frombuffer(_parity(s), np.uint64) for s in sets])
+                links = _group_links(label[a:b], size[a:b], block[a:b], bits, sets, similarity)
+                found += [sorted((int(node[a + x]), int(node[a + y]))) for x, y in links]
+            if found:
+                yield _pair_batch(np.unique(np.array(found, np.int64), axis=0))
 
-    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
+    cells = _cells(clusters, F.greatest(F.ceil(F.count(F.lit(1)) / CELL_NODES), F.ceil(F.sum("size") / CELL_HASHES)))
+    return _by_cell(cells.join(texts, "node")).mapInArrow(run, "a long, b long").distinct()
 
 
 def drop_near_duplicates(
@@ -558,7 +556,7 @@ def drop_near_duplicates(
     whose words move a SimHash too far, and pairs whose file was linked by others that are not
     as similar, comes from an exact search: two texts as similar as asked share one of their
     rarest shingles (prefix filter). Texts that do, are not in one group yet and are not ruled out by the sizes and
-    parities of their sets make up clusters; the packed sets, 64 bits a shingle, meet there once and decide, and groups
+    parities of their sets make up clusters; a cluster's texts meet once, and their sets, 64 bits a shingle, decide. Groups
     become one with each link found.
 
     A text is known by 64 bits of its digest. Defined cases: texts without words are one
@@ -600,10 +598,12 @@ def drop_near_duplicates(
     labelled = _labelled(distinct, similar)
     hashes = distinct.agg(F.sum("size")).first()[0] or 0
     files = materialise(shared_prefixes(rows, words, similarity, hashes), "prefix-files")
-    clusters = materialise(similar_clusters(files, labelled, similarity), "similar-clusters")
-    named = labelled.select("node", "label", "size", "bits")
-    sets = materialise(named.join(_packed_sets(texts_of(clusters.select("node").distinct()), words), "node"), "shingle-sets")
-    more = materialise(_cluster_links(clusters, sets, similarity), "prefix-links")
+    members = files.join(labelled.select("node", "label", "size", "bits"), "node")
+    plausible = connected(materialise(may_be_similar(members, similarity), "plausible-links"))
+    clusters = plausible.select("node", F.col("label").alias("file")).join(labelled.select("node", "label", "size"), "node")
+    clusters = materialise(clusters, "similar-clusters")
+    more = _cluster_links(clusters, texts_of(clusters.select("node")), words, similarity)
+    more = materialise(more, "prefix-links")
     if not more.isEmpty():
         labelled = _labelled(distinct, similar.union(more))
     stays = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest")).alias("_stays")).select("_stays.*")
