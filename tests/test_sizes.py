@@ -20,3 +20,20 @@ def test_stream_score_of_a_folder(spark, turns, tmp_path, parts):
     scored = QUERIES["stream_score"](spark, str(tmp_path)).collect()
     assert sorted(r.ID for r in scored) == [c * 1_000_000 + t for c in range(6) for t in range(2)]
     assert all(r.predicted_label for r in scored)
+
+
+def test_training_in_tables_starts_with_a_short_step(spark):
+    """The first step shrinks with the number of documents: at 40,000 none of the lengths tried before made the loss smaller,
+    and training stopped at weights of zero."""
+    from textloom.operators.term_partitioned import TermPartitionedSet, fit_term_partitioned
+
+    rows = spark.range(40_000).selectExpr(
+        "id AS ID", "if(id % 3 = 0, 'a', 'b') AS Label", "concat(if(id % 7 = 0, 'x', if(id % 3 = 0, 'u', 'v')), ' common') AS Cleaned_Text"
+    )
+    data = TermPartitionedSet(rows, buckets=2)
+    try:
+        model = fit_term_partitioned(data, "tables", max_iter=4)
+    finally:
+        data.close()
+    by_term = {r.term: r.weights for r in model.terms.collect()}
+    assert by_term["u"][0] > 1 > 0 > by_term["v"][0]
