@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from contract.queries import QUERIES
+from textloom.sources import corpus
 
 
 @pytest.fixture
@@ -37,3 +39,14 @@ def test_training_in_tables_starts_with_a_short_step(spark):
         data.close()
     by_term = {r.term: r.weights for r in model.terms.collect()}
     assert by_term["u"][0] > 1 > 0 > by_term["v"][0]
+
+
+def test_scans_are_spread_by_the_text_they_hold(spark, tmp_path, monkeypatch):
+    """As many pieces as the text has, however well it was stored and however many cores there are."""
+    rows = spark.range(400).select("id", F.repeat(F.lit("x"), 1_000).alias("text"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(corpus, "TASK_TEXT_BYTES", 10_000)
+    table = corpus.read_parquet(spark, f"{tmp_path}/t", {"ID": "id", "Text": "text"}, "ID")
+    sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert table.rdd.getNumPartitions() == 40 and sum(sizes) == 400 and max(sizes) < 40
+    assert corpus.spread(table, "ID").rdd.getNumPartitions() == 40
