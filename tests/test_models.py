@@ -92,6 +92,21 @@ def test_hot_terms_take_the_other_way(headlines):
         assert sorted(skewed.select(columns).collect(), key=key) == sorted(plain.select(columns).collect(), key=key)
 
 
+@pytest.mark.parametrize("ids", ["ID", "if(ID < 6, 1, if(ID = 7, null, ID))"])
+def test_large_tables_are_looked_up_by_pieces(headlines, monkeypatch, ids):
+    """Same features with ids that repeat or are missing, out of pieces that ask for a term once; nothing is copied by salt."""
+    model = tfidf.fit_tfidf(headlines)
+    rows = headlines.withColumn("ID", F.expr(ids))
+    key = lambda r: (str(r.ID), r.term, r.tf, r.df, r.Label, round(r.tfidf, 12))
+    want = sorted(key(r) for r in model.transform(rows, ["Label"]).collect())
+    monkeypatch.setattr(tfidf, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(tfidf, "PIECE_TERMS", 5)
+    got = model.transform(rows, ["Label"])
+    assert sorted(key(r) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().toString()
+    assert "_salt" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
 def test_terms_keep_numbers_and_mixed_script(headlines):
     terms = {r.term for r in tfidf.fit_tfidf(headlines, tfidf.TfidfConfig(min_df=1)).vocabulary.collect()}
     assert {"5g", "10", "5g स्मार्टफोन", "मुख्यमंत्री"} <= terms
