@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.columns import CORPUS_SCHEMA
-from textloom.sizing import MAX_BROADCAST_BYTES
 from textloom.sources.corpus import CORRUPT, csv_fields
 from textloom.storage import materialise
 
@@ -30,7 +29,7 @@ FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+)'
 CLOSED = rf"\A(?:{FIELD},)*+{FIELD}\z"
 QUOTE = '"'
 # What a range takes in the broadcast table of entry states, amply.
-RANGE_BYTES = 64
+RANGE_BYTES, MAX_RANGES_BYTES = 64, 256 * 1024 * 1024
 
 RANGES = "file long, start long, from_closed boolean, from_open boolean, begins boolean"
 PIECES = "record binary, file long, opener long, start long, header boolean"
@@ -56,7 +55,7 @@ def read_quoted_csv(
     lines = _lines(spark, path)
     ranges = materialise(lines.drop("value").mapInArrow(_range_functions, RANGES), "csv-ranges")
     entered = materialise(_entered(ranges), "csv-entered")
-    if entered.count() > MAX_BROADCAST_BYTES // RANGE_BYTES:
+    if entered.count() > MAX_RANGES_BYTES // RANGE_BYTES:
         raise ValueError(f"{path} has too many ranges; raise spark.sql.files.maxPartitionBytes")
     # A broadcast join leaves the lines of a task in the order of the scan.
     placed = lines.join(F.broadcast(entered), ["file", "start"], "left")
