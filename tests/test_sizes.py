@@ -50,3 +50,28 @@ def test_scans_are_spread_by_the_text_they_hold(spark, tmp_path, monkeypatch):
     sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
     assert table.rdd.getNumPartitions() == 40 and sum(sizes) == 400 and max(sizes) < 40
     assert corpus.spread(table, "ID").rdd.getNumPartitions() == 40
+
+
+def test_a_training_pass_stores_few_numbers_of_a_document(spark, headlines, monkeypatch):
+    """Five vectors in place of eighteen, in as many tasks as cores however many partitions a shuffle has."""
+    from textloom.operators.term_partitioned import SQUARED_HINGE, TermPartitionedSet, fit_term_partitioned
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    data, stored, own = TermPartitionedSet(headlines), [], TermPartitionedSet.bucketed
+
+    def seen(self, rows, keys, **options):
+        name, path = own(self, rows, keys, **options)
+        if "u" in rows.columns:
+            held = spark.table(name).agg(F.sum(F.octet_length("a") + F.octet_length("u")))
+            stored.append((held.first()[0], spark.table(name).rdd.getNumPartitions()))
+        return name, path
+
+    monkeypatch.setattr(TermPartitionedSet, "bucketed", seen)
+    try:
+        fit_term_partitioned(data, "tables", SQUARED_HINGE, max_iter=2)
+    finally:
+        data.close()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert stored and all(held == 13 * 4 * 8 * 10 for held, _ in stored)
+    assert max(tasks for _, tasks in stored) <= max(8, spark.sparkContext.defaultParallelism)
