@@ -75,3 +75,17 @@ def test_a_training_pass_stores_few_numbers_of_a_document(spark, headlines, monk
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert stored and all(held == 13 * 4 * 8 * 10 for held, _ in stored)
     assert max(tasks for _, tasks in stored) <= max(8, spark.sparkContext.defaultParallelism)
+
+
+def test_documents_are_sorted_in_pieces_of_their_text(spark, headlines, monkeypatch):
+    """As many tasks as the text has pieces; before, merged partitions held more of it the larger the table was."""
+    from textloom.operators import tfidf
+    from textloom.operators.term_statistics import counted
+
+    model = tfidf.fit_tfidf(headlines)
+    want = {(r.ID, r.term): r.tfidf for r in model.transform(headlines).collect()}
+    monkeypatch.setattr(tfidf, "DOCUMENT_TEXT_BYTES", 8)
+    for rows in (headlines, headlines.drop("Text"), counted(headlines)):
+        placed = tfidf.by_document(rows, model.columns)
+        assert placed.rdd.getNumPartitions() > max(13, spark.sparkContext.defaultParallelism) and placed.count() == 13
+        assert {(r.ID, r.term): r.tfidf for r in model.transform(rows).collect()} == pytest.approx(want)
