@@ -89,3 +89,23 @@ def test_documents_are_sorted_in_pieces_of_their_text(spark, headlines, monkeypa
         placed = tfidf.by_document(rows, model.columns)
         assert placed.rdd.getNumPartitions() > max(13, spark.sparkContext.defaultParallelism) and placed.count() == 13
         assert {(r.ID, r.term): r.tfidf for r in model.transform(rows).collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("ngram_range", [(1, 2), (2, 4), (1, 1)])
+def test_statistics_count_a_term_once_a_batch(spark, monkeypatch, ngram_range):
+    """What is grouped is a row per term and batch, with the counts that documents have one by one."""
+    import pyarrow as pa
+
+    from textloom.operators import tfidf
+    from textloom.operators.term_statistics import TermStatistics, counted
+
+    texts = ["a b a b", "b a", "", None, "c", "!!", "a b c d a b", "ü_1 a b", *["a b"] * 50]
+    rows = spark.createDataFrame(list(enumerate(texts)), "ID long, Cleaned_Text string").repartition(3)
+    config = tfidf.TfidfConfig(ngram_range=ngram_range, min_df=1)
+    want = {tuple(r) for r in TermStatistics.of(counted(rows, config), config).table.collect()}
+    found = TermStatistics.of(rows, config)
+    assert {tuple(r) for r in found.table.collect()} == want and found.n_docs == len(texts)
+    monkeypatch.setattr(tfidf, "BATCH_WORDS", 100)
+    batches = [pa.record_batch([pa.array(part, pa.string())], ["words"]) for part in (["a b"] * 40, ["a b"] * 40, [None], ["d"])]
+    out = [r for b in tfidf._batch_statistics(1, 2)(iter(batches)) for r in b.to_pylist() if r["term"]]
+    assert sorted((r["term"], r["df"], r["tf"]) for r in out) == [("a", 80, 80), ("a b", 80, 80), ("b", 80, 80), ("d", 1, 1)]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.columns import DEFAULT_COLUMNS, Columns
-from textloom.operators.tfidf import COUNTS, TfidfConfig, TfidfModel, model_of, term_counts_of
+from textloom.operators.tfidf import COUNTS, TfidfConfig, TfidfModel, all_term_statistics, model_of, term_counts_of
 from textloom.storage import materialise
 
 
@@ -38,9 +38,7 @@ class TermStatistics:
     @classmethod
     def of(cls, df: DataFrame, config: TfidfConfig = TfidfConfig(), columns: Columns = DEFAULT_COLUMNS) -> TermStatistics:
         """One pass over the documents; only partial counts per term are shuffled."""
-        document = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
-        counts = df.select(F.inline(F.concat(document, term_counts_of(df, config, columns)))).groupBy("term")
-        stored = materialise(counts.agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf")), "term-statistics")
+        stored = materialise(all_term_statistics(df, config, columns), "term-statistics")
         n_docs = stored.filter(F.col("term").isNull()).select("df").first()
         return cls(stored.filter(F.col("term").isNotNull()), n_docs[0] if n_docs else 0, tuple(config.ngram_range))
 
