@@ -60,3 +60,12 @@ def test_an_empty_side_of_terms(spark):
         data.close()
     assert model.terms.agg(F.count("*")).first()[0] == 0
     assert model.intercepts[0] - model.intercepts[1] == pytest.approx(np.log(3), abs=1e-4)
+
+
+def test_small_vectors_are_few_tasks(spark, headlines):
+    """Spark ML runs a job over the vectors for every step; thirteen documents were as many tasks as files before."""
+    from textloom.operators.linear import TrainingSet
+
+    data = TrainingSet(headlines.repartition(7, "ID"))
+    assert data.on_driver and data.packed.rdd.getNumPartitions() == 1
+    assert sorted(r.ID for r in data.packed.collect()) == list(range(1, 14))
